@@ -64,9 +64,7 @@ def click_preferences(events: DataFrame, content: DataFrame) -> DataFrame:
 
 def user_features(events: DataFrame, content: DataFrame) -> DataFrame:
     """All-time counts and preferences per user (no point-in-time cut, as the first generation has it)."""
-    # a user without any row that has an item is not in the pivot
-    pivot = event_pivot(events.where(F.col("item_id").isNotNull()))
-    joined = pivot.join(click_preferences(events, content), "user_id", "left")
+    joined = event_pivot(events).join(click_preferences(events, content), "user_id", "left")
     return joined.select(
         "user_id",
         *COUNTED_TYPES.values(),

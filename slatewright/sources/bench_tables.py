@@ -23,14 +23,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, folder: str, types: list[str] | None = None) -> DataFrame:
     """The event log; ``types`` filters on the stored names so that it reaches the scan."""
+    raw = table(spark, folder, "events")
+    if types is not None:
+        raw = raw.where(F.col("event_type").isin([given for given, name in EVENT_TYPE_NAMES.items() if name in types]))
+    return as_events(raw)
+
+
+def as_events(raw: DataFrame) -> DataFrame:
     week = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 7).cast("int").cast("string")
     kind = F.col("event_type")
     mapped = None
     for given, name in EVENT_TYPE_NAMES.items():
         mapped = F.when(kind == given, name) if mapped is None else mapped.when(kind == given, name)
-    raw = table(spark, folder, "events")
-    if types is not None:
-        raw = raw.where(kind.isin([given for given, name in EVENT_TYPE_NAMES.items() if name in types]))
     return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -50,16 +54,18 @@ def content(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("p_size") % 2 == 0, "rss").otherwise("hackernews").alias("source_type"),
         F.col("p_name").alias("title"),
         F.col("p_type").alias("category"),
-        (F.lit("2023-12-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=F.col("p_partkey").cast("int"))).alias(
-            "published_at"
-        ),
+        F.concat(F.lit("/items/"), F.col("p_partkey").cast("string")).alias("url"),
+        (
+            F.lit("2023-12-01 00:00:00").cast("timestamp")
+            + F.make_dt_interval(hours=(F.col("p_partkey") % 1000).cast("int"))
+        ).alias("published_at"),
     )
 
 
 def impressions(spark: SparkSession, folder: str) -> DataFrame:
     """Impression and click events as impression rows with the click as label."""
     shown = events(spark, folder, ["impression", "click"])
-    items = content(spark, folder).drop("title")
+    items = content(spark, folder).drop("title", "url")
     joined = shown.join(items, "item_id", "left")
     placed = running(
         joined,
