@@ -76,7 +76,8 @@ def svd_vectors(weights: DataFrame, key: str, dims: int = MAX_DIMS) -> DataFrame
         ).alias("v")
     )
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(dense, "v"))
-    axes = matrix.computeSVD(d, computeU=False).V.toArray()
+    _, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())  # ascending eigenvalues
+    axes = vectors[:, ::-1][:, :d]
     loadings = spark.createDataFrame(
         [(term, [float(x) for x in np.ravel(axes[i])]) for i, term in enumerate(vocab)], "term string, axis array<double>"
     )
@@ -120,11 +121,14 @@ def user_centroids(impressions: DataFrame, items: DataFrame, dims: int) -> DataF
     )
 
 
-def similarity(rows: DataFrame, items: DataFrame, users: DataFrame, dims: int) -> DataFrame:
+def similarity(
+    rows: DataFrame, items: DataFrame, users: DataFrame, dims: int, pairs: DataFrame | None = None
+) -> DataFrame:
     """Append cosine, both norms and the affinity bucket.
 
     Norms are taken on the small tables and the product once per distinct
-    (user, item) pair, so vectors never travel with the log.
+    (user, item) pair, so vectors never travel with the log. ``pairs`` is a cheaper
+    frame with the same (user_id, item_id) values.
     """
     item_side = items.select("item_id", V.aligned(F.col("item_vector"), dims).alias("_iv")).withColumn(
         "item_embedding_norm", V.norm(F.col("_iv"))
@@ -133,7 +137,7 @@ def similarity(rows: DataFrame, items: DataFrame, users: DataFrame, dims: int) -
         "user_embedding_norm", V.norm(F.col("_uv"))
     )
     pairs = (
-        rows.select("user_id", "item_id").distinct().join(item_side, "item_id", "left").join(user_side, "user_id", "left")
+        (rows if pairs is None else pairs).select("user_id", "item_id").distinct().join(item_side, "item_id", "left").join(user_side, "user_id", "left")
     )
     zero = F.lit(0.0)
     norms = pairs.withColumns({c: F.coalesce(c, zero) for c in ("item_embedding_norm", "user_embedding_norm")})

@@ -154,10 +154,12 @@ def greedy_rerank(
 def with_freshness(df: DataFrame, slate: Sequence[str], age: str = "age_hours", max_bonus: float = 0.15) -> DataFrame:
     """Add ``freshness_bonus``; a missing age takes the median age of its slate.
 
-    The median is looked up only for slates that have a missing age.
+    The median is looked up only where some age is missing.
     """
     gaps = df.where(F.col(age).isNull()).select(*slate).distinct()
-    medians = median_within(df.join(gaps, list(slate), "left_semi"), slate, age, "_median")
+    if gaps.isEmpty():
+        return df.withColumn("freshness_bonus", S.freshness_bonus(age, max_bonus))
+    medians = median_within(df.select(*slate, age).join(gaps, list(slate), "left_semi"), slate, age, "_median")
     filled = df.join(medians, list(slate), "left")
     return filled.withColumn("freshness_bonus", S.freshness_bonus(F.coalesce(age, "_median"), max_bonus)).select(
         *df.columns, "freshness_bonus"

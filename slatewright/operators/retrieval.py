@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from slatewright.operators.groups import last_known, most_frequent, top_k
 from slatewright.operators.running import running
+from slatewright.session import written
 
 # fixed values: strategy weights, in blend order
 STRATEGY_WEIGHTS = {
@@ -144,7 +145,7 @@ def _entry(df: DataFrame, **given: Column) -> Column:
 
 def unseen(impressions: DataFrame, k: int = 20, head: int = HEAD_ITEMS, stats: DataFrame | None = None) -> DataFrame:
     """Per user the k newest items the user has not been shown; score n..1."""
-    stats = item_stats(impressions) if stats is None else stats
+    stats = written(item_stats(impressions), "items") if stats is None else stats
     lists = _unseen_lists(impressions, stats, k, head, None)
     return lists.select("user_id", F.explode("_own").alias("_e")).select("user_id", "_e.*")
 
@@ -198,8 +199,10 @@ def _unseen_lists(
             ),
         ).alias("_own"),
     )
-    tail = _unseen_tail(impressions, stats, free.where(~complete).select("user_id"), k, item_columns)
-    return in_head.unionByName(tail)
+    users = free.where(~complete).select("user_id")
+    if users.isEmpty():
+        return in_head
+    return in_head.unionByName(_unseen_tail(impressions, stats, users, k, item_columns))
 
 
 def _unseen_tail(
@@ -250,7 +253,8 @@ def retrieve(
 
     ``item_columns`` (keyed by item_id) come back as the struct ``item``.
     """
-    base = item_base(impressions)
+    # read by every list below; one row per item, category and source
+    base = written(item_base(impressions), "items")
     stats = _rolled(base, "item_id")
     asked = impressions.select("user_id").distinct() if users is None else users.select("user_id").distinct()
 

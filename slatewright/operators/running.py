@@ -4,12 +4,13 @@ A plain window partitioned by user or item puts a whole key into one task, so a
 key that owns a third of the log stalls the job. Here a key above ``hot_rows``
 is cut into consecutive slices of its own order. Every slice is windowed alone
 (partition key = key + slice) and receives the carry of the slices before it,
-which comes from a small per-slice aggregate. Ordinary keys keep a single slice
-and cost one exchange, exactly like a plain window.
+which comes from a small per-slice aggregate. Without such keys the plan is the
+plain window: one exchange.
 
-Hot keys are found by exact counts, so re-running a lost task decides the same
-way. At most ``MAX_HOT_KEYS`` keys can qualify (the threshold never falls below
-that share of all rows), which bounds the broadcast.
+Hot keys are counted first, in a job that reads the key columns only. The counts
+are exact, so re-running a lost task decides the same way, and at most
+``MAX_HOT_KEYS`` keys can qualify (the threshold never falls below that share of
+all rows), which bounds both the driver's list and the broadcast.
 """
 
 from __future__ import annotations
@@ -27,21 +28,24 @@ SLICE_SECONDS = 600
 _HOT, _SLICE, _GROUP = "_hot", "_slice", "_group"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys owning more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg((F.sum("_n") / F.lit(MAX_HOT_KEYS)).alias("share")).scalar()
-    return counts.where(F.col("_n") > F.greatest(F.lit(float(hot_rows)), share)).select(*keys, F.lit(True).alias(_HOT))
-
-
-def slice_hot(
-    df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
-) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, ``slice_by`` for hot ones.
-
-    ``counted`` is a cheaper frame with the same keys per row, used for counting.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys owning more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows,
+    as a local frame; None when there is none. No keys means the whole frame is the group.
     """
-    hot = hot_keys(df if counted is None else counted, keys, hot_rows)
+    frame = df.select(*keys) if keys else df.select(F.lit(0).alias(_GROUP))
+    counts = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
+    # the share is only needed when some key passes the first threshold
+    large = counts.where(F.col("_n") > hot_rows)
+    found = large.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+    if not found:
+        return None
+    total = df.count() if len(found) == MAX_HOT_KEYS else 0
+    rows = [tuple(r[c] for c in frame.columns) for r in found if r["_n"] > total / MAX_HOT_KEYS]
+    return df.sparkSession.createDataFrame(rows, frame.schema).withColumn(_HOT, F.lit(True))
+
+
+def slice_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
+    """Add the slice number: 0 for ordinary keys, ``slice_by`` for hot ones."""
     lowest = F.lit(-(2**62))
     return df.join(F.broadcast(hot), list(keys), "left").withColumn(
         _SLICE, F.when(F.col(_HOT), F.coalesce(slice_by.cast("long"), lowest)).otherwise(F.lit(0).cast("long"))
@@ -70,13 +74,13 @@ def running(
     previous: value on the row just before
     latest:   last non-null value up to and including this row
     ``slice_by`` must not decrease along ``order``; no keys means the whole frame.
+    ``counted`` is a cheaper frame with (about) the same keys per row, used to find hot keys.
     """
     sums, previous, latest = dict(sums or {}), dict(previous or {}), dict(latest or {})
     out_columns = df.columns
+    hot = hot_keys(df if counted is None else counted, keys, hot_rows)
     if not keys:
-        df = df.withColumn(_GROUP, F.lit(0))
-        counted = None
-        keys = [_GROUP]
+        df, keys = df.withColumn(_GROUP, F.lit(0)), [_GROUP]
     keys = list(keys)
     df = df.withColumns(
         {
@@ -85,9 +89,8 @@ def running(
             **{f"_l_{n}": c for n, c in latest.items()},
         }
     )
-    sliced = slice_hot(df, keys, slice_by, hot_rows, counted)
-
-    along = W.partitionBy(*keys, _SLICE).orderBy(*order)
+    sliced = df if hot is None else slice_hot(df, keys, slice_by, hot)
+    along = W.partitionBy(*keys, *([] if hot is None else [_SLICE])).orderBy(*order)
     upto = along.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     through = along.rowsBetween(W.unboundedPreceding, 0)
     windowed = sliced.withColumns(
@@ -97,6 +100,13 @@ def running(
             **{f"_wl_{n}": F.last(f"_l_{n}", ignorenulls=True).over(through) for n in latest},
         }
     )
+    if hot is None:
+        return windowed.select(
+            *out_columns,
+            *[F.coalesce(F.col(f"_ws_{n}"), F.lit(0)).alias(n) for n in sums],
+            *[F.col(f"_wp_{n}")["v"].alias(n) for n in previous],
+            *[F.col(f"_wl_{n}").alias(n) for n in latest],
+        )
 
     place = F.struct(*order)
     totals = (
@@ -106,10 +116,7 @@ def running(
             F.count(F.lit(1)).alias("_rows"),
             *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums],
             *[F.max_by(F.struct(F.col(f"_p_{n}").alias("v")), place).alias(f"_p_{n}") for n in previous],
-            *[
-                F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_l_{n}")
-                for n in latest
-            ],
+            *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_l_{n}") for n in latest],
         )
     )
     before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
@@ -121,14 +128,10 @@ def running(
         *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_cl_{n}") for n in latest],
     )
     joined = windowed.join(carry, [*keys, _SLICE], "left")
-
-    def total(n):
-        zero = F.lit(0)
-        return F.coalesce(F.col(f"_ws_{n}"), zero) + F.coalesce(F.col(f"_cs_{n}"), zero)
-
+    zero = F.lit(0)
     return joined.select(
         *out_columns,
-        *[total(n).alias(n) for n in sums],
+        *[(F.coalesce(F.col(f"_ws_{n}"), zero) + F.coalesce(F.col(f"_cs_{n}"), zero)).alias(n) for n in sums],
         *[F.coalesce(f"_wp_{n}", f"_cp_{n}")["v"].alias(n) for n in previous],
         *[F.coalesce(f"_wl_{n}", f"_cl_{n}").alias(n) for n in latest],
     )
@@ -146,6 +149,7 @@ def asof_join(
     strict: bool = False,
     hot_rows: int = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with the last right row of its key at or before its time.
 
@@ -170,7 +174,7 @@ def asof_join(
         F.struct(*columns, F.col(right_time).alias("_rt")).alias("_right"),
     )
     stacked = lefts.unionByName(rights, allowMissingColumns=True)
-    counted = lefts.select(key).union(rights.select(key))
+    counted = lefts.select(key).union(rights.select(key)) if counted is None else counted
     swept = running(
         stacked,
         [key],
@@ -263,13 +267,21 @@ def softmax(
     A hot key is spread over salts (a hash of ``spread_by``); each salt keeps its
     own maximum and sum, and the salts of one key merge as (max, rescaled sum).
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(256))
-    sliced = slice_hot(df, keys, salt, hot_rows)
-    local = W.partitionBy(*keys, _SLICE)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        sliced, local = df, W.partitionBy(*keys)
+    else:
+        sliced = slice_hot(df, keys, F.pmod(F.xxhash64(*spread_by), F.lit(256)), hot)
+        local = W.partitionBy(*keys, _SLICE)
     peaked = sliced.withColumns({f"_m_{o}": F.max(s).over(local) for o, s in scores.items()})
     summed = peaked.withColumns(
         {f"_z_{o}": F.sum(F.exp(F.col(s) - F.col(f"_m_{o}"))).over(local) for o, s in scores.items()}
     )
+    if hot is None:
+        return summed.select(
+            *df.columns,
+            *[(F.exp(F.col(s) - F.col(f"_m_{o}")) / F.col(f"_z_{o}")).alias(o) for o, s in scores.items()],
+        )
     parts = (
         summed.where(F.col(_HOT))
         .groupBy(*keys, _SLICE)

@@ -22,8 +22,11 @@ def item_features(content: DataFrame, as_of: str) -> DataFrame:
     """Age, text lengths, publishing time and source flags; a missing age takes the median age."""
     now = F.lit(as_of).cast("timestamp")
     # age falls linearly with the publishing time, so the median age follows from the median time
-    median = median_time_micros(content, "published_at").select("median").scalar()
-    age = F.coalesce(S.hours_between(now, "published_at"), (F.unix_micros(now) - median) / F.lit(3.6e9))
+    age = S.hours_between(now, "published_at")
+    undated = content.where(F.col("published_at").isNull())
+    if not undated.isEmpty():
+        median = median_time_micros(content, "published_at")
+        age = F.coalesce(age, (F.unix_micros(now) - F.lit(median)) / F.lit(3.6e9))
     text = {c: F.length(F.coalesce(F.col(c), F.lit(""))) if c in content.columns else F.lit(0) for c in ("title", "description")}
     return content.select(
         "item_id",

@@ -17,6 +17,7 @@ from slatewright.operators.rerank import rerank_v1, rerank_v2
 from slatewright.operators.retrieval import HEAD_ITEMS, retrieve
 from slatewright.plans.features import COUNTED_TYPES, context_columns
 from slatewright.schemas import existing
+from slatewright.session import written
 from slatewright.sources import online
 from slatewright.sources.content import newest
 
@@ -230,7 +231,7 @@ def rank_feed_v2(
     """
     check_limit(limit)
     tie = list(tie)
-    items = item_side(training, tie, online_items)
+    items = written(item_side(training, tie, online_items), "item_rows")
     candidates = retrieve(
         impressions, users, max(10, 2 * limit), max(20, 3 * limit), head=head, item_columns=items
     )

@@ -116,6 +116,7 @@ def priors(
     suffix: str = "",
     previous: dict | None = None,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Clicks, impressions and click rate of the key before each row."""
     clicks, shown, ctr = (f"{prefix}_{n}{suffix}" for n in ("prev_clicks", "prev_impressions", "ctr_prior"))
@@ -127,6 +128,7 @@ def priors(
         sums={clicks: F.col("clicked").cast("long"), shown: F.lit(1).cast("long")},
         previous=previous,
         hot_rows=hot_rows,
+        counted=counted,
     )
     return swept.withColumn(ctr, S.rate(clicks, shown))
 
@@ -172,6 +174,7 @@ def point_in_time(
         existing(users, tie),
         strict,
         hot_rows,
+        counted=impressions.select("user_id"),
     )
     joined = asof_join(
         with_user,
@@ -184,6 +187,7 @@ def point_in_time(
         existing(items, tie),
         strict,
         hot_rows,
+        counted=impressions.select("item_id"),
     )
     have = set(joined.columns)
     filled = joined.withColumns(
@@ -218,7 +222,7 @@ def training_rows(
 def event_priors(events: DataFrame, tie: Sequence[str] = ("event_id",), hot_rows: int = HOT_ROWS) -> DataFrame:
     """User and item priors and recency on an event log (``timestamp``, ``clicked``, ``age_hours``)."""
     by_user = priors(events, "user_id", "user", "timestamp", tie, "_sim", hot_rows=hot_rows)
-    by_item = priors(by_user, "item_id", "item", "timestamp", tie, "_sim", hot_rows=hot_rows)
+    by_item = priors(by_user, "item_id", "item", "timestamp", tie, "_sim", hot_rows=hot_rows, counted=events.select("item_id"))
     return by_item.withColumn("recency_decay_sim", S.recency_decay("age_hours"))
 
 

@@ -16,7 +16,7 @@ from slatewright.operators.position import day_level, split_by_time, split_strat
 from slatewright.operators.rerank import rerank_v1, rerank_v2
 from slatewright.operators.running import asof_join
 from slatewright.plans import features, feed, history, metrics, models, policy, quality
-from slatewright.session import checkpoint_dir, configure
+from slatewright.session import checkpoint_dir, configure, written
 from slatewright.sources import bench_tables as B
 from slatewright.sources import content as C
 from slatewright.sources import online
@@ -59,8 +59,9 @@ def training(spark: SparkSession, folder: str) -> DataFrame:
 
 def embedded(spark: SparkSession, folder: str) -> DataFrame:
     rows, items = training(spark, folder), B.item_vectors(spark, folder)
-    users = embeddings.user_centroids(B.impressions(spark, folder), items, B.VECTOR_DIMS)
-    return embeddings.similarity(rows, items, users, B.VECTOR_DIMS)
+    shown = B.impressions(spark, folder)
+    users = embeddings.user_centroids(shown, items, B.VECTOR_DIMS)
+    return embeddings.similarity(rows, items, users, B.VECTOR_DIMS, pairs=shown)
 
 
 def sim_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,7 +224,9 @@ def item_popularity_7d(spark, folder):
 @query
 def user_average_dwell(spark, folder):
     rows = B.events(spark, folder).select("event_id", "user_id", "timestamp", "dwell_time")
-    return r6(features.average_dwell(rows, ["timestamp", "event_id"]), "avg_dwell_time").select("event_id", "avg_dwell_time")
+    swept = features.average_dwell(rows, ["timestamp", "event_id"])
+    # the nudge keeps exact halves from rounding by representation
+    return swept.select("event_id", F.round(F.col("avg_dwell_time") + 1e-9, 6).alias("avg_dwell_time"))
 
 
 @query
@@ -358,6 +361,7 @@ def online_lookup(spark, folder):
 @query
 def online_overlay(spark, folder):
     rows = training(spark, folder)
+    rows = written(rows, "training")
     laid = online.overlay(rows, online.user_snapshot(rows, list(TIE)), online.item_snapshot(rows, list(TIE)))
     return r6(laid, "item_ctr_prior", "recency_decay").select(
         "event_id", "user_prev_clicks", "item_prev_clicks", "item_ctr_prior", "preferred_category_match",
@@ -517,14 +521,15 @@ def rank_feed_v1(spark, folder):
 
 @query
 def rank_feed_v2(spark, folder):
-    ranked = feed.rank_feed_v2(B.impressions(spark, folder), embedded(spark, folder), limit=10, tie=TIE)
+    rows = written(embedded(spark, folder), "training")
+    ranked = feed.rank_feed_v2(B.impressions(spark, folder), rows, limit=10, tie=TIE)
     return r6(ranked, "blended_retrieval_score", "model_score", "final_score")
 
 
 @query
 def rank_feed_v2_online(spark, folder):
     """The feed with online user and item values laid over the offline ones."""
-    rows = embedded(spark, folder)
+    rows = written(embedded(spark, folder), "training")
     ranked = feed.rank_feed_v2(
         B.impressions(spark, folder),
         rows,
@@ -579,7 +584,7 @@ def feed_quality_report(spark, folder):
 
 @query
 def policy_delta(spark, folder):
-    return r6(metrics.policy_delta(policy_log(spark, folder), 5), "logged", "target", "delta")
+    return r6(metrics.policy_delta(written(policy_log(spark, folder), "policy"), 5), "logged", "target", "delta")
 
 
 @query
@@ -622,12 +627,12 @@ def split_random(spark, folder):
 
 
 def _first_split(spark, folder):
-    rows = features.training_dataset(B.events(spark, folder), B.content(spark, folder), AS_OF)
+    rows = written(features.training_dataset(B.events(spark, folder), B.content(spark, folder), AS_OF), "training")
     return split_stratified(rows, "clicked", ["event_id"])
 
 
 def _second_split(spark, folder):
-    return split_by_time(embedded(spark, folder), "impression_time", ["event_id"])
+    return split_by_time(written(embedded(spark, folder), "training"), "impression_time", ["event_id"])
 
 
 @query
@@ -662,7 +667,7 @@ def train_forest(spark, folder):
 
 @query
 def train_simulated(spark, folder):
-    rows = split_by_time(history.event_priors(sim_log(spark, folder)), "timestamp", ["event_id"])
+    rows = split_by_time(written(history.event_priors(sim_log(spark, folder)), "training"), "timestamp", ["event_id"])
     return models.train_simulated(rows)[1]
 
 
