@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from slatewright.functions import scalars as S
 from slatewright.functions import vectors as V
 from slatewright.operators.groups import latest_row
+from slatewright.session import written
 
 # fixed value: a token is a run of at least two letters, digits or underscores
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -22,17 +23,16 @@ MAX_DIMS = 16
 
 def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """All unigrams and bigrams of every text, one row each."""
-    tokens = df.select(key, F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), 0).alias("_t"))
-    t = F.col("_t")
-    pairs = F.when(
-        F.size(t) > 1,
-        F.zip_with(
-            F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0))),
-            F.slice(t, F.lit(2), F.greatest(F.size(t) - 1, F.lit(0))),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return tokens.select(key, F.explode(F.concat(t, pairs)).alias("term"))
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), 0)
+
+    def with_pairs(t):
+        rest = F.greatest(F.size(t) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(t, F.lit(1), rest), F.slice(t, F.lit(2), rest), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.concat(t, pairs)
+
+    # the one-element array binds the tokens, so the text is matched once
+    both = F.get(F.transform(F.array(tokens), with_pairs), F.lit(0))
+    return df.select(key, F.explode(both).alias("term"))
 
 
 def vocabulary(terms: DataFrame, size: int = VOCABULARY) -> DataFrame:
@@ -44,7 +44,8 @@ def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFra
     """(key, term, weight): tf * (ln((1+n)/(1+df)) + 1), rows scaled to length 1."""
     terms = _terms(df, key, text)
     vocab = F.broadcast(vocabulary(terms, size).select("term"))
-    tf = terms.join(vocab, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+    # read for the document frequencies and for the weights
+    tf = written(terms.join(vocab, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf")), "tf")
     n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = tf.groupBy("term").agg(
         (F.log((n + F.lit(1.0)) / (F.count(F.lit(1)) + F.lit(1.0))) + F.lit(1.0)).alias("_idf")

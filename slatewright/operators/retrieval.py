@@ -189,13 +189,13 @@ def _unseen_lists(
     )
     # the list is complete when it holds every item, else k free places are needed
     complete = (F.size("free") >= k) | (length < head)
-    kept = F.slice("free", 1, k)
-    in_head = free.where(complete).select(
+    kept = free.where(complete).select("user_id", F.slice("free", 1, k).alias("_kept"), listed.alias("_items"))
+    in_head = kept.select(
         "user_id",
         F.transform(
-            kept,
-            lambda p, i: F.get(listed, p - 1)["entry"].withField(
-                "retrieval_score", (F.size(kept) - i).cast("double")
+            "_kept",
+            lambda p, i: F.get(F.col("_items"), p - 1)["entry"].withField(
+                "retrieval_score", (F.size("_kept") - i).cast("double")
             ),
         ).alias("_own"),
     )

@@ -33,15 +33,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     as a local frame; None when there is none. No keys means the whole frame is the group.
     """
     frame = df.select(*keys) if keys else df.select(F.lit(0).alias(_GROUP))
-    counts = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
-    # the share is only needed when some key passes the first threshold
-    large = counts.where(F.col("_n") > hot_rows)
-    found = large.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
-    if not found:
-        return None
-    total = df.count() if len(found) == MAX_HOT_KEYS else 0
-    rows = [tuple(r[c] for c in frame.columns) for r in found if r["_n"] > total / MAX_HOT_KEYS]
-    return df.sparkSession.createDataFrame(rows, frame.schema).withColumn(_HOT, F.lit(True))
+    spark = df.sparkSession
+    memo = (spark.sparkContext.applicationId, frame.semanticHash(), frame.schema.simpleString(), hot_rows)
+    rows = _counted.get(memo)
+    if rows is None:
+        counts = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
+        found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
+        # the share only matters once the list is full
+        floor = df.count() / MAX_HOT_KEYS if len(found) == MAX_HOT_KEYS else 0
+        rows = [tuple(r[c] for c in frame.columns) for r in found if r["_n"] > floor]
+        if len(_counted) >= 256:
+            _counted.clear()
+        _counted[memo] = rows
+    return spark.createDataFrame(rows, frame.schema).withColumn(_HOT, F.lit(True)) if rows else None
+
+
+# which keys of a frame were hot when last counted; a stale answer costs balance, never rows
+_counted: dict[tuple, list] = {}
 
 
 def slice_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:

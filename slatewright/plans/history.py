@@ -174,7 +174,7 @@ def point_in_time(
         existing(users, tie),
         strict,
         hot_rows,
-        counted=impressions.select("user_id"),
+        counted=impressions,
     )
     joined = asof_join(
         with_user,
@@ -187,7 +187,7 @@ def point_in_time(
         existing(items, tie),
         strict,
         hot_rows,
-        counted=impressions.select("item_id"),
+        counted=impressions,
     )
     have = set(joined.columns)
     filled = joined.withColumns(
@@ -222,7 +222,7 @@ def training_rows(
 def event_priors(events: DataFrame, tie: Sequence[str] = ("event_id",), hot_rows: int = HOT_ROWS) -> DataFrame:
     """User and item priors and recency on an event log (``timestamp``, ``clicked``, ``age_hours``)."""
     by_user = priors(events, "user_id", "user", "timestamp", tie, "_sim", hot_rows=hot_rows)
-    by_item = priors(by_user, "item_id", "item", "timestamp", tie, "_sim", hot_rows=hot_rows, counted=events.select("item_id"))
+    by_item = priors(by_user, "item_id", "item", "timestamp", tie, "_sim", hot_rows=hot_rows, counted=events)
     return by_item.withColumn("recency_decay_sim", S.recency_decay("age_hours"))
 
 

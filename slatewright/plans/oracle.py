@@ -477,7 +477,7 @@ ORACLE["rerank_freshness_diversity"] = (
             """a0 AS (SELECT *, CASE WHEN category <> 'PROMO' THEN age_hours END AS age FROM lg),
 a1 AS (SELECT *, 0.15 * exp(-greatest(coalesce(age, median(age) OVER (PARTITION BY session_id)), 0.0) / 24.0) AS fb FROM a0),
 pool AS (SELECT session_id AS slate, event_id AS tie, category, source, fb,
-  score / 100000.0 + 1.0 * coalesce(fb, 0.0) AS score FROM a1)""",
+  score / 99991.0 + 1.0 * coalesce(fb, 0.0) AS score FROM a1)""",
             _greedy("slate", "tie", 5, 0.08, 0.10, "varchar", "bigint"),
         ]
     )
@@ -491,7 +491,7 @@ ORACLE["rerank_retrieval_recency"] = (
         [
             LG,
             """pool AS (SELECT session_id AS slate, event_id AS tie, category, source,
-  score / 100000.0 + 0.05 * rank_position + 0.20 * (1.0 / (1.0 + age_hours)) AS score FROM lg)""",
+  score / 99991.0 + 0.05 * rank_position + 0.20 * (1.0 / (1.0 + age_hours)) AS score FROM lg)""",
             _greedy("slate", "tie", 5, 0.05, 0.05, "varchar", "bigint"),
         ]
     )

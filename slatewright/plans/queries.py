@@ -473,7 +473,7 @@ def rerank_freshness_diversity(spark, folder):
     rows = B.scored_log(spark, folder).select(
         "session_id", F.col("event_id").alias("item_id"), "source", "category",
         F.when(F.col("category") != "PROMO", F.col("age_hours")).alias("age_hours"),
-        (F.col("score") / 100000.0).alias("model_score"),
+        (F.col("score") / 99991.0).alias("model_score"),
     )
     out = rerank_v1(rows, ["session_id"], 5)
     return r6(out, "freshness_bonus", "category_repeat_penalty", "source_repeat_penalty", "final_score").select(
@@ -486,7 +486,7 @@ def rerank_freshness_diversity(spark, folder):
 def rerank_retrieval_recency(spark, folder):
     rows = B.scored_log(spark, folder).select(
         "session_id", F.col("event_id").alias("item_id"), "source", "category",
-        (F.col("score") / 100000.0).alias("model_score"),
+        (F.col("score") / 99991.0).alias("model_score"),
         F.col("rank_position").cast("double").alias("blended_retrieval_score"),
         S.recency_decay("age_hours").alias("recency_decay"),
     )
@@ -726,7 +726,8 @@ EVENT_FILE = T.StructType(
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return B.as_events(spark.readStream.schema(EVENT_FILE).parquet(f"{folder}/events.parquet"))
+    files = spark.readStream.schema(EVENT_FILE).option("pathGlobFilter", "events.parquet")
+    return B.as_events(files.parquet(folder))
 
 
 def drained(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:

@@ -74,7 +74,7 @@ def impressions(spark: SparkSession, folder: str) -> DataFrame:
         clock_slice("timestamp"),
         sums={"rank_position": F.lit(1).cast("long")},
         inclusive=True,
-        counted=shown.select("session_id"),
+        counted=shown,
     )
     return placed.select(
         "event_id",
