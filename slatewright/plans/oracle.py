@@ -325,7 +325,7 @@ WINDOW w AS (PARTITION BY item_id ORDER BY s RANGE BETWEEN 604800 PRECEDING AND
 ORACLE["user_average_dwell"] = with_(EV) + """SELECT event_id, round(avg(dwell_time) OVER w + 1e-9, 6) AS avg_dwell_time FROM ev
 WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 ORACLE["global_ctr"] = with_(EV) + """SELECT event_id, round(coalesce(count(*) FILTER (event_type = 'click') OVER w
-  / nullif(count(*) FILTER (event_type = 'impression') OVER w, 0), 0.0), 6) AS global_ctr FROM ev
+  / nullif(count(*) FILTER (event_type = 'impression') OVER w, 0), 0.0) + 1e-9, 6) AS global_ctr FROM ev
 WINDOW w AS (ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 

@@ -17,6 +17,11 @@ _SETTINGS = {
 }
 
 
+# settings only a new session takes: capturing the call site of every column
+# expression costs more than building the plans
+BUILDER_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings to a session somebody else built."""
     for key, value in _SETTINGS.items():
