@@ -28,10 +28,24 @@ def latest_row(df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str]
     return keep_first(df, keys, order)
 
 
-def most_frequent(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Most frequent non-null value per key, alphabetical among equals."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(name))
+def most_frequent(
+    df: DataFrame, keys: Sequence[str], values: dict[str, str], weight: Column | None = None
+) -> DataFrame:
+    """Most frequent non-null value of each column per key, alphabetical among equals.
+
+    ``values`` maps column to output name; ``weight`` counts a row more than once.
+    All columns go through the same two aggregations, both with map-side merging.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in values])
+    tall = df.select(*keys, (F.lit(1) if weight is None else weight).alias("_w"), F.explode(pairs).alias("_p"))
+    counts = tall.groupBy(*keys, "_p").agg(F.sum("_w").alias("_n"))
+    v, n = F.col("_p.v"), F.col("_n")
+    return counts.groupBy(*keys).agg(
+        *[
+            F.min_by(v, F.when((F.col("_p.c") == c) & v.isNotNull(), F.struct(-n, v))).alias(name)
+            for c, name in values.items()
+        ]
+    )
 
 
 def last_known(value: Column, place: Column) -> Column:

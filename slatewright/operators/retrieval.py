@@ -38,6 +38,19 @@ def item_base(impressions: DataFrame) -> DataFrame:
     )
 
 
+def pair_base(impressions: DataFrame) -> DataFrame:
+    """One row per (user, item, category, source): all that retrieval needs from the log."""
+    place = F.struct("impression_time", "event_id")
+    given = [
+        F.max(F.when(F.col(n).isNotNull(), F.struct(place, F.col(n).alias("v")))).alias(f"_given_{n}")
+        for n in ("preferred_category", "preferred_source")
+        if n in impressions.columns
+    ]
+    return impressions.groupBy("user_id", "item_id", "category", "source").agg(
+        F.sum("clicked").alias("clicks"), F.count(F.lit(1)).alias("shown"), F.max(place).alias("newest"), *given
+    )
+
+
 def _rolled(base: DataFrame, *keys: str) -> DataFrame:
     """Roll the base up; a source or category that is not a key becomes its last known value."""
     picked = [
@@ -111,19 +124,19 @@ def by_attribute(base: DataFrame, attribute: str, k: int = 20) -> DataFrame:
 
 def preferences(impressions: DataFrame) -> DataFrame:
     """Per user: last non-null preferred_* if the column exists, else the most frequent value seen."""
-    users = impressions.groupBy("user_id").agg(
-        *[
-            last_known(F.col(name), F.struct("impression_time", "event_id")).alias(f"_given_{name}")
-            for name in ("preferred_category", "preferred_source")
-            if name in impressions.columns
-        ],
-        F.count(F.lit(1)).alias("_n"),
+    return _preferences(pair_base(impressions))
+
+
+def _preferences(pairs: DataFrame) -> DataFrame:
+    names = {"category": "preferred_category", "source": "preferred_source"}
+    usual = most_frequent(pairs, ["user_id"], names, F.col("shown"))
+    given = [n for n in names.values() if f"_given_{n}" in pairs.columns]
+    if not given:
+        return usual
+    last = pairs.groupBy("user_id").agg(*[F.max(f"_given_{n}")["v"].alias(f"_{n}") for n in given])
+    return usual.join(last, "user_id").select(
+        "user_id", *[F.coalesce(f"_{n}", n).alias(n) if n in given else F.col(n) for n in names.values()]
     )
-    for name, column in (("preferred_category", "category"), ("preferred_source", "source")):
-        usual = most_frequent(impressions, ["user_id"], column, f"_usual_{name}")
-        given = F.col(f"_given_{name}") if name in impressions.columns else F.lit(None).cast("string")
-        users = users.join(usual, "user_id", "left").withColumn(name, F.coalesce(given, F.col(f"_usual_{name}")))
-    return users.select("user_id", "preferred_category", "preferred_source")
 
 
 def _with_item(df: DataFrame, item_columns: DataFrame | None) -> DataFrame:
@@ -151,7 +164,7 @@ def unseen(impressions: DataFrame, k: int = 20, head: int = HEAD_ITEMS, stats: D
 
 
 def _unseen_lists(
-    impressions: DataFrame, stats: DataFrame, k: int, head: int, item_columns: DataFrame | None
+    seen_log: DataFrame, stats: DataFrame, k: int, head: int, item_columns: DataFrame | None
 ) -> DataFrame:
     """One row per user with the list of unseen newest items.
 
@@ -179,7 +192,7 @@ def _unseen_lists(
 
     places = newest.select("item_id", "place")
     seen = (
-        impressions.join(F.broadcast(places), "item_id", "left").groupBy("user_id").agg(F.collect_set("place").alias("seen"))
+        seen_log.join(F.broadcast(places), "item_id", "left").groupBy("user_id").agg(F.collect_set("place").alias("seen"))
     )
     free = seen.select(
         "user_id",
@@ -202,11 +215,11 @@ def _unseen_lists(
     users = free.where(~complete).select("user_id")
     if users.isEmpty():
         return in_head
-    return in_head.unionByName(_unseen_tail(impressions, stats, users, k, item_columns))
+    return in_head.unionByName(_unseen_tail(seen_log, stats, users, k, item_columns))
 
 
 def _unseen_tail(
-    impressions: DataFrame, stats: DataFrame, users: DataFrame, k: int, item_columns: DataFrame | None, block: int = 64
+    seen_log: DataFrame, stats: DataFrame, users: DataFrame, k: int, item_columns: DataFrame | None, block: int = 64
 ) -> DataFrame:
     aged = stats.withColumn("_age", -F.unix_micros(F.col("last_seen_time").cast("timestamp")))
     placed = running(
@@ -216,7 +229,7 @@ def _unseen_tail(
         F.floor(F.col("_age") / F.lit(600_000_000)),
         sums={"place": F.lit(1).cast("long")},
     ).withColumn("_block", F.floor(F.col("place") / block))
-    seen = impressions.join(users, "user_id", "left_semi").select("user_id", "item_id").distinct()
+    seen = seen_log.join(users, "user_id", "left_semi").select("user_id", "item_id").distinct()
     reach = seen.groupBy("user_id").agg((F.count(F.lit(1)) + k).alias("_reach"))
     blocks = F.sequence(F.lit(0).cast("long"), F.floor(F.col("_reach") / block))
     wanted = reach.select("user_id", "_reach", F.explode(blocks).alias("_block"))
@@ -253,10 +266,18 @@ def retrieve(
 
     ``item_columns`` (keyed by item_id) come back as the struct ``item``.
     """
-    # read by every list below; one row per item, category and source
-    base = written(item_base(impressions), "items")
+    # the log is read once; everything below starts from these two tables
+    pairs = written(pair_base(impressions), "pairs")
+    base = written(
+        pairs.groupBy("item_id", "category", "source").agg(
+            F.sum("clicks").alias("clicks"), F.sum("shown").alias("shown"), F.max("newest").alias("newest")
+        ),
+        "items",
+    )
     stats = _rolled(base, "item_id")
-    asked = impressions.select("user_id").distinct() if users is None else users.select("user_id").distinct()
+    prefs = _preferences(pairs).withColumn("_known", F.lit(True))
+    if users is not None:
+        prefs = users.select("user_id").distinct().join(prefs, "user_id", "left")
 
     def listing(df: DataFrame, name: str, *keys: str) -> DataFrame:
         df = _with_item(df, item_columns)
@@ -267,8 +288,7 @@ def retrieve(
     # a user never seen before has seen nothing: the newest items are all unseen
     fresh = listing(newest.withColumn("retrieval_strategy", F.lit("unseen_recent")), "l").scalar()
     rows = (
-        asked.join(preferences(impressions).withColumn("_known", F.lit(True)), "user_id", "left")
-        .join(_unseen_lists(impressions, stats, each_k, head, item_columns), "user_id", "left")
+        prefs.join(_unseen_lists(pairs, stats, each_k, head, item_columns), "user_id", "left")
         .join(listing(by_attribute(base, "category", each_k), "_cat", "key"), F.col("preferred_category") == F.col("key"), "left")
         .drop("key")
         .join(listing(by_attribute(base, "source", each_k), "_src", "key"), F.col("preferred_source") == F.col("key"), "left")

@@ -60,9 +60,7 @@ def click_preferences(events: DataFrame, content: DataFrame) -> DataFrame:
         .select("user_id", "item_id")
         .join(content.select("item_id", "source", "category"), "item_id", "left")
     )
-    source = most_frequent(clicks, ["user_id"], "source", "preferred_source")
-    category = most_frequent(clicks, ["user_id"], "category", "preferred_category")
-    return source.join(category, "user_id", "full")
+    return most_frequent(clicks, ["user_id"], {"source": "preferred_source", "category": "preferred_category"})
 
 
 def user_features(events: DataFrame, content: DataFrame) -> DataFrame:

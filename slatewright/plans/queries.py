@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from slatewright.operators.position import day_level, split_by_time, split_strat
 from slatewright.operators.rerank import rerank_v1, rerank_v2
 from slatewright.operators.running import asof_join
 from slatewright.plans import features, feed, history, metrics, models, policy, quality
-from slatewright.session import checkpoint_dir, configure, written
+from slatewright.session import configure, fresh_folder, written
 from slatewright.sources import bench_tables as B
 from slatewright.sources import content as C
 from slatewright.sources import online
@@ -734,11 +733,7 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def drained(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     """Run a stream over everything there is and read what it wrote, in a fresh shared folder."""
-    base = checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        scratch = f"{base.rstrip('/')}/{name}-{spark.sql('select uuid()').first()[0]}"
-    else:
-        scratch = tempfile.mkdtemp(prefix=f"{name}-", dir=base.removeprefix("file://").removeprefix("file:"))
+    scratch = fresh_folder(spark, name)
     streams.write_stream(rows, f"{scratch}/out", f"{scratch}/state").awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{scratch}/out")
 
@@ -773,8 +768,7 @@ def stream_labels(spark, folder):
 @query
 def stream_snapshot(spark, folder):
     """User snapshots kept by a stream of impressions."""
-    base = checkpoint_dir(spark)
-    scratch = tempfile.mkdtemp(prefix="snapshot-", dir=base.removeprefix("file://").removeprefix("file:"))
+    scratch = fresh_folder(spark, "snapshot")
     shown = event_stream(spark, folder).where(F.col("event_type").isin("impression", "click"))
     rows = shown.select("event_id", "timestamp", "user_id", "item_id", F.col("event_type").alias("preferred_category"))
     streams.keep_snapshot(rows, f"{scratch}/store", f"{scratch}/state", ["event_id"]).awaitTermination()

@@ -45,6 +45,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several later steps read to the shared folder and read it back.
 
@@ -52,6 +57,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     it, and a lost executor costs a re-read. Unlike a checkpoint it stays columnar.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
