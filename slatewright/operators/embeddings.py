@@ -35,6 +35,13 @@ def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.explode(both).alias("term"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the input has fewer files than cores (a file may be one
+    unsplittable block); larger inputs are split by their files and stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def vocabulary(terms: DataFrame, size: int = VOCABULARY) -> DataFrame:
     """The ``size`` most frequent terms (alphabetical among equals), at most ``size`` rows."""
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("_freq")).orderBy(F.desc("_freq"), F.asc("term")).limit(size)
@@ -42,7 +49,7 @@ def vocabulary(terms: DataFrame, size: int = VOCABULARY) -> DataFrame:
 
 def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFrame:
     """(key, term, weight): tf * (ln((1+n)/(1+df)) + 1), rows scaled to length 1."""
-    terms = _terms(df, key, text)
+    terms = _terms(spread(df.select(key, text), key), key, text)
     vocab = F.broadcast(vocabulary(terms, size).select("term"))
     # read for the document frequencies and for the weights
     tf = written(terms.join(vocab, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf")), "tf")

@@ -28,6 +28,11 @@ from pyspark.sql import functions as F
 from slatewright.functions import scalars as S
 from slatewright.operators.groups import top_k
 from slatewright.operators.position import median_within
+from slatewright.operators.running import hot_keys
+from slatewright.session import written
+
+# rows a single fold may hold before its slate is cut
+LARGE_SLATE = 5_000
 
 _PICKS = "array<struct<pos:int,category_penalty:double,source_penalty:double,final_score:double>>"
 
@@ -46,6 +51,17 @@ def prune(df: DataFrame, slate: Sequence[str], score: str, tie: str, k: int) ->
     return rows.select(*df.columns)
 
 
+def _cut_large(df: DataFrame, slate: Sequence[str], score: str, tie: str, k: int) -> DataFrame:
+    """Prune the slates above ``LARGE_SLATE`` rows; shorter ones are folded as they are."""
+    keys = list(slate)
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LARGE_SLATE).select(*keys)
+    if large.isEmpty():
+        return df
+    large = written(large, "large")
+    rest = df.join(large, keys, "left_anti").select(*df.columns)
+    return rest.unionByName(prune(df.join(large, keys, "left_semi").select(*df.columns), keys, score, tie, k))
+
+
 def _fold(scores: np.ndarray, cats: np.ndarray, srcs: np.ndarray, steps: int, wc: float, ws: float):
     """Greedy picks for a block of padded slates (-inf marks padding)."""
     rows = np.arange(len(scores))
@@ -125,7 +141,7 @@ def greedy_rerank(
     Equal adjusted scores go to the higher raw score, then the smaller ``tie``.
     ``bounded`` skips the cut for slates whose length a parameter already limits.
     """
-    pool = df if bounded else prune(df, slate, score, tie, k)
+    pool = df if bounded else _cut_large(df, slate, score, tie, k)
     rest = [c for c in df.columns if c not in slate]
     slates = pool.groupBy(*slate).agg(
         F.sort_array(
@@ -159,7 +175,14 @@ def with_freshness(df: DataFrame, slate: Sequence[str], age: str = "age_hours",
     gaps = df.where(F.col(age).isNull()).select(*slate).distinct()
     if gaps.isEmpty():
         return df.withColumn("freshness_bonus", S.freshness_bonus(age, max_bonus))
-    medians = median_within(df.select(*slate, age).join(gaps, list(slate), "left_semi"), slate, age, "_median")
+    keys = list(slate)
+    aged = written(df.select(*keys, age).join(gaps, keys, "left_semi"), "ages")
+    large = hot_keys(aged, keys, LARGE_SLATE)
+    plain = aged if large is None else aged.join(F.broadcast(large), keys, "left_anti")
+    medians = plain.groupBy(*keys).agg(F.percentile(age, 0.5).alias("_median"))
+    if large is not None:
+        inside = aged.join(F.broadcast(large), keys, "left_semi")
+        medians = medians.unionByName(median_within(inside, keys, age, "_median"))
     filled = df.join(medians, list(slate), "left")
     return filled.withColumn("freshness_bonus", S.freshness_bonus(F.coalesce(age, "_median"), max_bonus)).select(
         *df.columns, "freshness_bonus"

@@ -608,7 +608,7 @@ def binary_metrics(spark, folder):
 
 @query
 def split_time(spark, folder):
-    rows = B.scored_log(spark, folder).select("event_id", "impression_time")
+    rows = written(B.scored_log(spark, folder).select("event_id", "impression_time"), "log")
     return split_by_time(rows, "impression_time", ["event_id"], levels=day_level("impression_time")).select("event_id", "split")
 
 
@@ -620,7 +620,7 @@ def split_time_events(spark, folder):
 
 @query
 def split_random(spark, folder):
-    rows = B.scored_log(spark, folder).select("event_id", "clicked")
+    rows = written(B.scored_log(spark, folder).select("event_id", "clicked"), "log")
     return split_stratified(rows, "clicked", ["event_id"])
 
 

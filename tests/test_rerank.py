@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from slatewright.operators import rerank
 from slatewright.operators.rerank import greedy_rerank, prune, rerank_v1, rerank_v2, with_freshness
 
 SCHEMA = "slate int, item_id int, score double, category string, source string"
@@ -32,7 +33,8 @@ def greedy(rows, k, wc, ws):
 
 
 @pytest.mark.parametrize("shape", [(20, 12, "abc", "xy"), (6, 60, "abcdefgh", "stuvwxyz"), (4, 200, "a", "xyz")])
-def test_greedy_equals_brute_force_with_and_without_pruning(spark, shape):
+def test_greedy_equals_brute_force_with_and_without_pruning(spark, shape, monkeypatch):
+    monkeypatch.setattr(rerank, "LARGE_SLATE", 50)
     n, m, cats, srcs = shape
     rows = slates(n, m, cats, srcs, 11)
     frame = spark.createDataFrame(rows, SCHEMA)
@@ -43,7 +45,8 @@ def test_greedy_equals_brute_force_with_and_without_pruning(spark, shape):
             assert got == greedy([r for r in rows if r[0] == s], 4, 0.08, 0.10)
 
 
-def test_pruning_bounds_a_slate(spark):
+def test_pruning_bounds_a_slate(spark, monkeypatch):
+    monkeypatch.setattr(rerank, "LARGE_SLATE", 100)
     rows = [(0, i, (i * 37 % 1000) / 1000.0, f"c{i % 50}", f"s{i % 41}") for i in range(4000)]
     frame = spark.createDataFrame(rows, SCHEMA)
     k = 3
@@ -62,7 +65,9 @@ def test_count_and_ranks(spark):
     assert greedy_rerank(frame.where("false"), ["slate"], "score", 5).count() == 0
 
 
-def test_freshness_bonus(spark):
+@pytest.mark.parametrize("large", [5000, 1])
+def test_freshness_bonus(spark, monkeypatch, large):
+    monkeypatch.setattr(rerank, "LARGE_SLATE", large)
     frame = spark.createDataFrame([(1, 0.0), (1, 24.0), (1, 200.0), (1, None), (2, 1.0), (2, 100.0)], "slate int, age_hours double")
     got = [(r["slate"], r["age_hours"], r["freshness_bonus"]) for r in with_freshness(frame, ["slate"]).collect()]
     assert len(got) == 6
