@@ -32,7 +32,8 @@ def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
 
     # the one-element array binds the tokens, so the text is matched once
     both = F.get(F.transform(F.array(tokens), with_pairs), F.lit(0))
-    return df.select(key, F.explode(both).alias("term"))
+    # the outer form adds no emptiness test, which would match the text a second time
+    return df.select(key, F.explode_outer(both).alias("term")).where(F.col("term").isNotNull())
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -157,7 +157,8 @@ def greedy_rerank(
             F.transform(rows, lambda r: r["row"]["source"]),
         ),
     )
-    return picked.select(*slate, "_rows", F.posexplode("_picks").alias("_step", "_pick")).select(
+    # the outer form adds no emptiness test, which would run the fold a second time
+    return picked.select(*slate, "_rows", F.posexplode_outer("_picks").alias("_step", "_pick")).select(
         *slate,
         *[F.col("_rows")[F.col("_pick.pos")]["row"][c].alias(c) for c in rest],
         F.col("_pick.category_penalty").alias("category_repeat_penalty"),

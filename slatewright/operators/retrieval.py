@@ -295,7 +295,7 @@ def retrieve(
     )
     lists = rows.select(
         "user_id",
-        F.explode(
+        F.explode_outer(
             F.flatten(
                 F.array_compact(
                     F.array(everyone, F.when(F.col("_known"), F.col("_own")).otherwise(fresh), F.col("_cat"), F.col("_src"))
@@ -303,7 +303,7 @@ def retrieve(
             )
         ).alias("_e"),
     )
-    return blend(lists.select("user_id", "_e.*"), final_k)
+    return blend(lists.where(F.col("_e").isNotNull()).select("user_id", "_e.*"), final_k)
 
 
 def blend(candidates: DataFrame, final_k: int = 50) -> DataFrame:
