@@ -28,8 +28,12 @@ GOOD = 0.7
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-#: rows of an Arrow batch: texts may be long, and a task holds a batch at a time
-SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
+#: rows of an Arrow batch: texts may be long, and a task holds a batch at a time;
+#: groups a task may hold in a map before it sorts: the lists gathered here are short
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "32768",
+}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
