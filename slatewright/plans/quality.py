@@ -41,12 +41,13 @@ def newest_events(events: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
-def null_counts(df: DataFrame, limit: int = 20) -> DataFrame:
-    """Nulls per column, most first, in one pass over the frame."""
+def null_counts(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Nulls per column, most first, in one pass over the frame; all columns, or the ``limit`` first."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in df.columns])
     tall = counted.select(F.explode(pairs).alias("_p")).select("_p.*")
-    return tall.orderBy(F.desc("nulls"), F.asc("column_name")).limit(limit)
+    ordered = tall.orderBy(F.desc("nulls"), F.asc("column_name"))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], limit: int = 10) -> DataFrame:

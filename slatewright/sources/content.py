@@ -21,7 +21,6 @@ RSS_ITEM_SCHEMA = "title string, description string, link string, author string,
 
 # fixed values: the configured feeds (name, category)
 FEEDS = [("techcrunch", "tech"), ("ars_technica", "tech"), ("venturebeat", "tech"), ("bbc_world", "world")]
-FEED_ENTRIES = 50
 
 
 def _fetched(value: str | Column) -> Column:
@@ -51,20 +50,23 @@ def read_stories(spark: SparkSession, path: str, fetched_at: str) -> DataFrame:
     return stories(spark.read.schema(STORY_SCHEMA).json(path), fetched_at)
 
 
-def feed_entries(df: DataFrame, feeds: DataFrame, fetched_at: str | Column) -> DataFrame:
-    """Entries of fetched feed documents (``feed`` name, ``xml`` text of one response).
+def feed_entries(df: DataFrame, feeds: DataFrame, fetched_at: str | Column, first: int | None = None) -> DataFrame:
+    """Entries of fetched feed documents (``feed`` name, ``xml`` text of one response), in document order.
 
-    The first 50 entries of each document, in document order.
+    All entries, or the ``first`` so many of each document. Feeds that are not listed have the category unknown.
     """
     items = F.regexp_extract_all("xml", F.lit(r"(?s)<item[\s>].*?</item>"), 0)
-    rows = df.select("feed", F.posexplode(items).alias("place", "item")).where(F.col("place") < FEED_ENTRIES)
+    rows = df.select("feed", F.posexplode(items).alias("place", "item"))
+    if first is not None:
+        rows = rows.where(F.col("place") < first)
     parsed = rows.withColumn("e", F.from_xml("item", RSS_ITEM_SCHEMA, {"rowTag": "item"}))
     text = {n: F.coalesce(F.col(f"e.{n}"), F.lit("")) for n in ("title", "description", "link")}
     stamp = F.regexp_replace("e.pubDate", r"^\s*[A-Za-z]+,\s*", "")
     published = F.coalesce(
         F.try_to_timestamp(stamp, F.lit("d MMM yyyy HH:mm:ss Z")), F.try_to_timestamp(stamp, F.lit("d MMM yyyy HH:mm:ss z"))
     )
-    return parsed.join(feeds.select(F.col("name").alias("feed"), F.col("category")), "feed").select(
+    named = parsed.join(feeds.select(F.col("name").alias("feed"), F.col("category")), "feed", "left")
+    return named.withColumn("category", F.coalesce("category", F.lit("unknown"))).select(
         S.content_hash_id(text["link"], text["title"]).alias("item_id"),
         F.col("feed").alias("source"),
         F.lit("rss").alias("source_type"),
@@ -81,11 +83,13 @@ def feed_entries(df: DataFrame, feeds: DataFrame, fetched_at: str | Column) -> D
     )
 
 
-def read_feeds(spark: SparkSession, path: str, fetched_at: str, feeds: DataFrame | None = None) -> DataFrame:
+def read_feeds(
+    spark: SparkSession, path: str, fetched_at: str, feeds: DataFrame | None = None, first: int | None = None
+) -> DataFrame:
     """Landing layout: ``path/feed=<name>/<response>.xml``."""
     listed = spark.createDataFrame(FEEDS, "name string, category string") if feeds is None else feeds
     raw = spark.read.option("wholetext", True).text(path).select("feed", F.col("value").alias("xml"))
-    return feed_entries(raw, listed, fetched_at)
+    return feed_entries(raw, listed, fetched_at, first)
 
 
 def editorial(df: DataFrame, fetched_at: str | Column) -> DataFrame:

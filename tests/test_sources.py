@@ -21,7 +21,7 @@ def test_stories(spark, tmp_path):
     assert str(got["hn_1"]["published_at"]).startswith("2024-01-01") and got["hn_4"]["title"] == ""
 
 
-def test_feeds_keep_the_first_fifty_entries(spark, tmp_path):
+def test_feeds_keep_all_entries_unless_told_otherwise(spark, tmp_path):
     folder = tmp_path / "feed=bbc_world"
     folder.mkdir()
     entries = "".join(
@@ -30,7 +30,10 @@ def test_feeds_keep_the_first_fifty_entries(spark, tmp_path):
     )
     (folder / "one.xml").write_text(f"<rss><channel><title>feed</title>{entries}</channel></rss>")
     got = C.read_feeds(spark, str(tmp_path), NOW).orderBy("place").collect()
-    assert [r["title"] for r in got] == [f"t{i}" for i in range(50)]
+    assert [r["title"] for r in got] == [f"t{i}" for i in range(60)]
+    assert C.read_feeds(spark, str(tmp_path), NOW, first=50).count() == 50
+    unlisted = spark.createDataFrame([("other", "tech")], "name string, category string")
+    assert {r["category"] for r in C.read_feeds(spark, str(tmp_path), NOW, unlisted).collect()} == {"unknown"}
     assert got[3]["category"] == "world" and got[3]["published_at"].hour == 3 and got[3]["description"] == ""
 
 
