@@ -9,8 +9,8 @@
    t - m + 1, within the threshold of at least one of the m partitions. Dynamic programming
    picks m and the thresholds with the fewest expected candidates; the expectation comes from
    statistics of all fingerprints. Values probe all variants within the threshold.
-4. Probes whose bucket holds no other class stop there; the rest are verified, and the links
-   between classes are closed by connected components.
+4. Probes meet only fingerprints of other classes; those are verified, and the links between
+   classes are closed by connected components.
 """
 
 from __future__ import annotations
@@ -199,7 +199,6 @@ def near_copies(docs: DataFrame, width: int = 4, distance: int = 4, id_column: s
     placed = unique.join(classes, F.col("fp") == F.col("node"), "left")
     placed = placed.select("fp", "first", F.coalesce("component", "fp").alias("class"))
     named = placed.groupBy("class").agg(F.min("first").alias("component"))
-    # equal fingerprints may be a third of all rows: those of many rows are few, and their map is
-    # joined apart so that no task receives them all
+    # equal fingerprints may be a third of all rows: a plain join, so that adaptive execution can split them
     lookup = placed.join(named, "class").select("fp", "component")
     return rows.join(written(lookup, "lookup"), "fp").select("id", "fp", "component")
