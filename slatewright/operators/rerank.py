@@ -62,16 +62,19 @@ def _cut_large(df: DataFrame, slate: Sequence[str], score: str, tie: str, k: int
     return rest.unionByName(prune(df.join(large, keys, "left_semi").select(*df.columns), keys, score, tie, k))
 
 
-def _fold(scores: np.ndarray, cats: np.ndarray, srcs: np.ndarray, steps: int, wc: float, ws: float):
-    """Greedy picks for a block of padded slates (-inf marks padding)."""
+def _fold(scores: np.ndarray, inside: np.ndarray, cats: np.ndarray, srcs: np.ndarray, steps: int, wc: float, ws: float):
+    """Greedy picks for a block of padded slates; rows without a score (NaN) follow the scored ones in their order."""
     rows = np.arange(len(scores))
     seen_c, seen_s = np.zeros(scores.shape), np.zeros(scores.shape)
-    open_ = np.isfinite(scores)
+    # infinities compare as the largest numbers there are, so that -inf can stand for closed rows
+    finite = np.clip(scores, np.finfo(float).min, np.finfo(float).max)
+    scored, open_ = inside & ~np.isnan(scores), inside.copy()
     out = []
     for _ in range(steps):
-        adjusted = np.where(open_, scores - seen_c * wc - seen_s * ws, -np.inf)
-        at = adjusted.argmax(axis=1)
-        out.append((at, seen_c[rows, at] * wc, seen_s[rows, at] * ws, adjusted[rows, at]))
+        adjusted = np.where(open_ & scored, finite - seen_c * wc - seen_s * ws, -np.inf)
+        at = np.where((open_ & scored).any(axis=1), adjusted.argmax(axis=1), open_.argmax(axis=1))
+        lost_c, lost_s = seen_c[rows, at] * wc, seen_s[rows, at] * ws
+        out.append((at, lost_c, lost_s, scores[rows, at] - lost_c - lost_s))
         open_[rows, at] = False
         seen_c += cats == cats[rows, at][:, None]
         seen_s += srcs == srcs[rows, at][:, None]
@@ -86,7 +89,7 @@ def _pick_udf(k: int, category_weight: float, source_weight: float):
     def picks(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for scores, cats, srcs in batches:
             sizes = scores.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = scores.flatten().to_numpy(zero_copy_only=False)
+            flat = scores.flatten().to_numpy(zero_copy_only=False).astype(float)  # null is NaN
             cat, src = _codes(cats.flatten()), _codes(srcs.flatten())
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
             kept = np.minimum(sizes, k)
@@ -109,15 +112,14 @@ def _pick_udf(k: int, category_weight: float, source_weight: float):
                 lane = np.arange(width)
                 inside = lane < sizes[block][:, None]
                 index = np.where(inside, starts[block][:, None] + lane, 0)
-                padded = np.where(inside, flat[index], -np.inf)
-                folded = _fold(padded, cat[index], src[index], min(k, width), category_weight, source_weight)
+                folded = _fold(flat[index], inside, cat[index], src[index], min(k, width), category_weight, source_weight)
                 step = np.arange(min(k, width))
                 real = step < kept[block][:, None]
                 slot = (ends[block] - kept[block])[:, None] + step
                 for column, values in zip(columns, folded):
                     column[slot[real]] = values[real]
             fields = pa.StructArray.from_arrays(
-                [pa.array(columns[0].astype(np.int32)), *[pa.array(c) for c in columns[1:]]],
+                [pa.array(columns[0].astype(np.int32)), *[pa.array(c, from_pandas=True) for c in columns[1:]]],
                 names=["pos", "category_penalty", "source_penalty", "final_score"],
             )
             yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), fields)
@@ -139,13 +141,20 @@ def greedy_rerank(
     """Rows of every slate in greedy order with penalties, ``final_score`` and rank.
 
     Equal adjusted scores go to the higher raw score, then the smaller ``tie``.
+    Rows whose score is null or NaN come after all others, by ``tie``, with a null ``final_score``.
     ``bounded`` skips the cut for slates whose length a parameter already limits.
     """
-    pool = df if bounded else _cut_large(df, slate, score, tie, k)
     rest = [c for c in df.columns if c not in slate]
+    clean = df.withColumn("_score", S.number(score, None))
+    pool = clean if bounded else _cut_large(clean, slate, "_score", tie, k)
     slates = pool.groupBy(*slate).agg(
         F.sort_array(
-            F.collect_list(F.struct((-F.col(score)).alias("_neg"), F.col(tie).alias("_tie"), F.struct(*rest).alias("row")))
+            F.collect_list(
+                F.struct(
+                    F.isnull("_score").alias("_none"), (-F.col("_score")).alias("_neg"), F.col(tie).alias("_tie"),
+                    F.struct(*rest).alias("row"),
+                )
+            )
         ).alias("_rows")
     )
     rows = F.col("_rows")
@@ -193,7 +202,7 @@ def with_freshness(df: DataFrame, slate: Sequence[str], age: str = "age_hours",
 def rerank_v1(
     scored: DataFrame, slate: Sequence[str], k: int = 10, freshness_weight: float = 1.0, bounded: bool = False
 ) -> DataFrame:
-    """model_score + weighted freshness, then greedy with penalties .08 / .10."""
+    """model_score + weighted freshness, then greedy with penalties .08 / .10; rows without a score come last."""
     fresh = with_freshness(scored, slate)
     prepared = fresh.withColumn(
         "preliminary_score", F.col("model_score") + F.lit(freshness_weight) * F.coalesce("freshness_bonus", F.lit(0.0))
@@ -202,7 +211,7 @@ def rerank_v1(
 
 
 def rerank_v2(scored: DataFrame, slate: Sequence[str], k: int = 10, bounded: bool = False) -> DataFrame:
-    """model_score + .05 retrieval + .20 recency, then greedy with penalties .05 / .05."""
+    """model_score + .05 retrieval + .20 recency, then greedy with penalties .05 / .05; a sum that is null or NaN is 0."""
     def part(name: str) -> Column:
         return S.number(name) if name in scored.columns else F.lit(0.0)
 
@@ -213,7 +222,7 @@ def rerank_v2(scored: DataFrame, slate: Sequence[str], k: int = 10, bounded: boo
             "source": S.known("source"),
             "category": S.known("category"),
         }
-    ).withColumn("base_final_score", F.col("model_score") + F.col("retrieval_bonus") + F.col("freshness_bonus"))
+    ).withColumn("base_final_score", S.number(F.col("model_score") + F.col("retrieval_bonus") + F.col("freshness_bonus")))
     return greedy_rerank(
         prepared, slate, "base_final_score", k, 0.05, 0.05, rank_as="rank", bounded=bounded
     )

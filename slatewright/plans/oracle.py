@@ -498,6 +498,20 @@ ORACLE["rerank_retrieval_recency"] = (
     + """ SELECT slate AS session_id, tie AS item_id, round(fs, 6) AS final_score, CAST(step AS int) AS rank
 FROM g WHERE step > 0"""
 )
+ORACLE["rerank_bad_scores"] = (
+    "WITH RECURSIVE "
+    + ",\n".join(
+        [
+            LG,
+            """pool AS (SELECT session_id AS slate, event_id AS tie, category, source,
+  CASE WHEN rank_position % 3 = 0 OR rank_position % 7 = 0 THEN 0.0
+    ELSE score / 99991.0 + 0.05 * rank_position + 0.20 * (1.0 / (1.0 + age_hours)) END AS score FROM lg)""",
+            _greedy("slate", "tie", 5, 0.05, 0.05, "varchar", "bigint"),
+        ]
+    )
+    + """ SELECT slate AS session_id, tie AS item_id, round(fs, 6) AS final_score, CAST(step AS int) AS rank
+FROM g WHERE step > 0"""
+)
 ORACLE["rank_feed_v1"] = (
     "WITH RECURSIVE "
     + ",\n".join(

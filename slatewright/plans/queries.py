@@ -495,6 +495,20 @@ def rerank_retrieval_recency(spark, folder):
     return r6(out, "final_score").select("session_id", "item_id", "final_score", "rank")
 
 
+@query
+def rerank_bad_scores(spark, folder):
+    rows = B.scored_log(spark, folder)
+    bad = F.when(F.col("rank_position") % 3 == 0, F.lit(None)).when(F.col("rank_position") % 7 == 0, F.lit(float("nan")))
+    rows = rows.select(
+        "session_id", F.col("event_id").alias("item_id"), "source", "category",
+        bad.otherwise(F.col("score") / 99991.0).alias("model_score"),
+        F.col("rank_position").cast("double").alias("blended_retrieval_score"),
+        S.recency_decay("age_hours").alias("recency_decay"),
+    )
+    out = rerank_v2(rows, ["session_id"], 5)
+    return r6(out, "final_score").select("session_id", "item_id", "final_score", "rank")
+
+
 def _first_scorer(frame: DataFrame):
     """A fixed logistic score of the first-generation features."""
     return S.sigmoid(

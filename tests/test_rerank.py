@@ -55,6 +55,26 @@ def test_pruning_bounds_a_slate(spark, monkeypatch):
     assert got == greedy(rows, k, 0.08, 0.10)
 
 
+@pytest.mark.parametrize("large", [5_000, 2])
+def test_rows_without_a_score_come_last_and_once(spark, monkeypatch, large):
+    monkeypatch.setattr(rerank, "LARGE_SLATE", large)
+    bad, inf = float("nan"), float("inf")
+    rows = [(0, 1, 0.9, "c", "s"), (0, 2, bad, "c", "s"), (0, 3, None, "d", "t"), (0, 4, 0.5, "d", "t"), (0, 5, -inf, "e", "u")]
+    rows += [(1, 1, None, "c", "s"), (1, 2, bad, "c", "s"), (1, 3, inf, "c", "s")]
+    for bounded in (True, False):
+        out = greedy_rerank(spark.createDataFrame(rows, SCHEMA), ["slate"], "score", 5, bounded=bounded)
+        got = {s: [(r["item_id"], r["final_score"]) for r in out.where(f"slate = {s}").orderBy("final_rank").collect()] for s in (0, 1)}
+        assert got[0] == [(1, 0.9), (4, 0.5), (5, -inf), (2, None), (3, None)]
+        assert got[1] == [(3, inf), (1, None), (2, None)]
+
+
+def test_second_rerank_counts_a_bad_base_as_zero(spark):
+    rows = [("s", 1, -0.2, "c", "x"), ("s", 2, float("nan"), "d", "y"), ("s", 3, None, "e", "z"), ("s", 4, 0.3, "f", "w")]
+    frame = spark.createDataFrame(rows, "slate string, item_id int, model_score double, category string, source string")
+    got = rerank_v2(frame, ["slate"], 4).orderBy("rank").collect()
+    assert [(r["item_id"], r["final_score"]) for r in got] == [(4, 0.3), (2, 0.0), (3, 0.0), (1, -0.2)]
+
+
 def test_count_and_ranks(spark):
     frame = spark.createDataFrame(slates(1, 10, "ab", "xy", 1), SCHEMA)
     assert greedy_rerank(frame, ["slate"], "score", 5).count() == 5
