@@ -63,15 +63,18 @@ def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFra
     return weighted.select(key, "term", (F.col("_w") / length).alias("weight"))
 
 
-def svd_vectors(weights: DataFrame, key: str, dims: int = MAX_DIMS) -> DataFrame:
+def svd_vectors(weights: DataFrame, key: str, dims: int = MAX_DIMS, texts: DataFrame | None = None) -> DataFrame:
     """Truncated SVD of the (key x term) matrix: (key, vector of <= dims).
 
     Spark sums the term-by-term Gram matrix on the executors; only that matrix,
-    bounded by the vocabulary, is decomposed on the driver.
+    bounded by the vocabulary, is decomposed on the driver. ``texts`` holds the keys
+    of all texts: those without a term of the vocabulary get a zero vector.
     """
+    texts = weights.select(key).distinct() if texts is None else texts.select(key)
     vocab = [r["term"] for r in weights.select("term").distinct().orderBy("term").collect()]  # <= vocabulary size
-    rows_n = weights.select(key).distinct().count()
-    d = max(1, min(dims, rows_n - 1, len(vocab) - 1))
+    d = max(1, min(dims, texts.count() - 1, len(vocab) - 1))
+    if not vocab:
+        return texts.withColumn("item_vector", F.array(F.lit(0.0)))
     spark = weights.sparkSession
     index = spark.createDataFrame(list(enumerate(vocab)), "i int, term string")
     packed = (
@@ -91,11 +94,13 @@ def svd_vectors(weights: DataFrame, key: str, dims: int = MAX_DIMS) -> DataFrame
         [(term, [float(x) for x in np.ravel(axes[i])]) for i, term in enumerate(vocab)], "term string, axis array<double>"
     )
     width = axes.shape[1]
-    return (
+    vectors = (
         weights.join(F.broadcast(loadings), "term")
         .groupBy(key)
         .agg(F.array(*[F.sum(F.col("weight") * F.col("axis")[j]) for j in range(width)]).alias("item_vector"))
     )
+    zero = F.array(*[F.lit(0.0)] * width)
+    return texts.join(vectors, key, "left").select(key, F.coalesce("item_vector", zero).alias("item_vector"))
 
 
 def item_embeddings(impressions: DataFrame, text: str | None = None, dims: int = MAX_DIMS) -> DataFrame:
@@ -106,7 +111,7 @@ def item_embeddings(impressions: DataFrame, text: str | None = None, dims: int =
     newest = latest_row(impressions, ["item_id"], "impression_time", ["event_id"])
     body = S.pseudo_text(newest.columns) if text is None else F.coalesce(text, F.lit("unknown"))
     items = newest.withColumn("embedding_text", body)
-    vectors = svd_vectors(tfidf(items, "item_id", "embedding_text"), "item_id", dims)
+    vectors = svd_vectors(tfidf(items, "item_id", "embedding_text"), "item_id", dims, items)
     meta = [c for c in ("source", "source_type", "category") if c in items.columns]
     return items.select("item_id", *meta).join(vectors, "item_id", "left")
 

@@ -217,7 +217,7 @@ def trailing(
     A RANGE frame re-adds its rows for every row, quadratic for a busy key. Here
     each contributing row leaves two marks, one where it enters the trailing
     window and one (negated) where it leaves it, and a running sum over marks
-    and rows answers every row in one sweep.
+    and rows answers every row in one sweep. A row without a time has an empty window.
     """
     second = F.unix_seconds(F.col(time).cast("timestamp"))
     names = list(measures)
@@ -264,7 +264,8 @@ def trailing(
         hot_rows=hot_rows,
         counted=base.select(*keys),
     )
-    return swept.where(F.col("_row").isNotNull()).select("_row.*", *names)
+    timeless = df.where(F.col(time).isNull()).withColumns({n: F.lit(0).cast("long") for n in names})
+    return swept.where(F.col("_row").isNotNull()).select("_row.*", *names).unionByName(timeless)
 
 
 def softmax(

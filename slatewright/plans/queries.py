@@ -399,7 +399,8 @@ def tfidf_terms(spark, folder):
 @query
 def item_svd(spark, folder):
     """Text vectors of the documents; the sign of an axis is arbitrary, so squares are reported."""
-    vectors = embeddings.svd_vectors(embeddings.tfidf(B.table(spark, folder, "documents"), "doc_id", "text"), "doc_id")
+    docs = B.table(spark, folder, "documents")
+    vectors = embeddings.svd_vectors(embeddings.tfidf(docs, "doc_id", "text"), "doc_id", texts=docs)
     return vectors.select("doc_id", F.transform("item_vector", lambda x: F.round(x * x, 6)).alias("squares"))
 
 

@@ -36,6 +36,16 @@ def test_svd_keeps_the_gram_matrix(spark):
     assert len(vectors[0]) == 4 and np.allclose(got, best, atol=1e-8)
 
 
+def test_svd_gives_texts_without_terms_a_zero_vector(spark):
+    texts = spark.createDataFrame([(0, "red apple"), (1, "green apple"), (2, None), (3, "")], "id int, text string")
+    weights = embeddings.tfidf(texts, "id", "text")
+    got = {r["id"]: r["item_vector"] for r in embeddings.svd_vectors(weights, "id", 16, texts).collect()}
+    assert set(got) == {0, 1, 2, 3} and {len(v) for v in got.values()} == {3}
+    assert got[2] == got[3] == [0.0] * 3 and any(got[0])
+    none = embeddings.svd_vectors(weights.where("false"), "id", 16, texts).collect()
+    assert [r["item_vector"] for r in none] == [[0.0]] * 4
+
+
 def test_centroid_falls_back_to_all_impressions(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "item_id int, item_vector array<double>")
     log = spark.createDataFrame([("u", 1, 0), ("u", 2, 0), ("v", 9, 0)], "user_id string, item_id int, clicked int")

@@ -77,6 +77,13 @@ def test_trailing_window(log, hot_rows):
         assert got[row[0]] == (sum(r[3] for r in near), len(near))
 
 
+def test_trailing_keeps_rows_without_a_time(log):
+    frame, rows = log
+    late = frame.withColumn("t", F.when(F.col("id") != rows[0][0], F.col("t")))
+    got = {r["id"]: r["n"] for r in trailing(late, ["user"], "t", 7200, {"n": F.lit(1)}).collect()}
+    assert len(got) == len(rows) and got[rows[0][0]] == 0
+
+
 def test_softmax_is_the_same_for_hot_keys(log):
     frame, _ = log
     scored = frame.withColumn("s", F.col("id") / 10.0)
