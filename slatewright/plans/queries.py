@@ -674,11 +674,11 @@ def train_boosted(spark, folder):
 @query
 def train_forest(spark, folder):
     train = _second_split(spark, folder)
-    fitted = models.fit_v2(train.where(F.col("split") == "train"), "forest", numTrees=20)
+    fitted = models.fit_v2(train.where(F.col("split") == "train"), "forest")
     numeric = [c for c in feed.NUMERIC_FEATURES if c in train.columns]
     text = [c for c in feed.CATEGORICAL_FEATURES if c in train.columns]
-    ready = models.fill_constant(train.where(F.col("split") == "test"), numeric, text)
-    return models.predict(fitted, ready).select("event_id", "clicked", "model_score")
+    ready = models.fill_constant(train, numeric, text)
+    return models.predict(fitted, ready).select("event_id", "split", "clicked", "model_score")
 
 
 @query
