@@ -685,17 +685,17 @@ ORACLE["stream_counts"] = with_(EV) + """SELECT * FROM (
     count(item_id) FILTER (event_type = 'click') AS recent_click_count,
     count(item_id) FILTER (event_type = 'save') AS recent_save_count,
     count(item_id) FILTER (event_type = 'hide') AS recent_hide_count
-  FROM ev GROUP BY 1, 2, 3) WHERE window_end <= (SELECT max("timestamp") - interval '1' hour FROM ev)"""
+  FROM ev GROUP BY 1, 2, 3)"""
 ORACLE["stream_sessions"] = with_(EV) + """SELECT min("timestamp") AS session_start,
   max("timestamp") + interval '12' hour AS session_end, user_id, count(*) AS events
 FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id) AS sid FROM (
   SELECT *, CASE WHEN "timestamp" < lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id)
     + interval '12' hour THEN 0 ELSE 1 END AS new FROM ev))
-GROUP BY user_id, sid HAVING max("timestamp") + interval '12' hour <= (SELECT max("timestamp") - interval '1' hour FROM ev)"""
+GROUP BY user_id, sid"""
 ORACLE["stream_labels"] = with_(EV) + """SELECT i.event_id, i.user_id, i.session_id, i.item_id,
   CAST(EXISTS (SELECT 1 FROM ev c WHERE c.event_type = 'click' AND c.user_id = i.user_id AND c.session_id = i.session_id
     AND c.item_id = i.item_id AND c."timestamp" >= i."timestamp" AND c."timestamp" <= i."timestamp" + interval '2' day) AS int) AS clicked
-FROM ev i WHERE i.event_type = 'impression' AND i."timestamp" < (SELECT max("timestamp") - interval '5' day FROM ev)"""
+FROM ev i WHERE i.event_type = 'impression'"""
 ORACLE["stream_snapshot"] = with_(EV) + """SELECT user_id, event_type AS user_prev_category, "timestamp" AS feature_timestamp
 FROM ev WHERE event_type IN ('impression', 'click')
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, event_id DESC) = 1"""
