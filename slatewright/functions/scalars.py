@@ -104,9 +104,22 @@ HEURISTIC_WEIGHTS = {
 }
 
 # fixed values: logged and target policy weights
-POLICY_TERMS = ["item_ctr", "user_ctr", "recency", "category_match", "source_match", "position"]
-LOGGED_WEIGHTS = dict(zip(POLICY_TERMS, [1.8, 0.8, 0.7, 0.8, 0.5, 1.0]))
-TARGET_WEIGHTS = dict(zip(POLICY_TERMS, [1.2, 0.6, 1.2, 1.0, 0.7, 0.6]))
+LOGGED_WEIGHTS = {
+    "item_ctr": 1.8,
+    "user_ctr": 0.8,
+    "recency": 0.7,
+    "category_match": 0.8,
+    "source_match": 0.5,
+    "position": 1.0,
+}
+TARGET_WEIGHTS = {
+    "item_ctr": 1.2,
+    "user_ctr": 0.6,
+    "recency": 1.2,
+    "category_match": 1.0,
+    "source_match": 0.7,
+    "position": 0.6,
+}
 
 # fixed values: click-probability logits, earlier and later form
 CLICK_LOGIT_V2 = {"bias": -2.2, "category": 1.0, "source": 0.7, "recency": 1.2, "position": 1.1, "activity": 0.3}

@@ -24,19 +24,19 @@ from slatewright.sources.content import newest
 Scorer = PipelineModel | Callable[[DataFrame], Column] | None
 
 # fixed values: inputs of the second-generation ranker
-NUMERIC_FEATURES = (
-    "rank_position hour day_of_week is_weekend item_age_hours title_length description_length hour_published "
-    "weekday_published is_hackernews is_rss recent_impression_count recent_click_count recent_save_count "
-    "recent_hide_count user_prev_clicks user_prev_impressions user_ctr_prior item_prev_impressions "
-    "item_prev_clicks item_ctr_prior preferred_source_match preferred_category_match "
-    "user_item_category_match_v2 user_item_source_match_v2 recency_decay user_item_embedding_cosine "
-    "user_embedding_norm item_embedding_norm"
-).split()
+NUMERIC_FEATURES = [
+    "rank_position", "hour", "day_of_week", "is_weekend", "item_age_hours", "title_length", "description_length",
+    "hour_published", "weekday_published", "is_hackernews", "is_rss", "recent_impression_count", "recent_click_count",
+    "recent_save_count", "recent_hide_count", "user_prev_clicks", "user_prev_impressions", "user_ctr_prior",
+    "item_prev_impressions", "item_prev_clicks", "item_ctr_prior", "preferred_source_match",
+    "preferred_category_match", "user_item_category_match_v2", "user_item_source_match_v2", "recency_decay",
+    "user_item_embedding_cosine", "user_embedding_norm", "item_embedding_norm",
+]
 RETRIEVAL_FEATURES = ["blended_retrieval_score", "retrieval_score_raw", "retrieval_strategy_count"]
-CATEGORICAL_FEATURES = (
-    "source source_type category policy_name model_version user_prev_category user_prev_source "
-    "embedding_affinity_bucket"
-).split()
+CATEGORICAL_FEATURES = [
+    "source", "source_type", "category", "policy_name", "model_version", "user_prev_category", "user_prev_source",
+    "embedding_affinity_bucket",
+]
 
 MAX_LIMIT = 50
 

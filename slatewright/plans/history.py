@@ -12,11 +12,11 @@ from slatewright.operators.running import HOT_ROWS, asof_join, clock_slice, runn
 from slatewright.schemas import canonical_names, ensure_columns, existing, require_columns
 
 # fixed values: backbone columns kept only when the input has them
-OPTIONAL_COLUMNS = (
-    "title_length description_length hour_published weekday_published is_hackernews is_rss "
-    "recent_impression_count recent_click_count recent_save_count recent_hide_count "
-    "preferred_source preferred_category preferred_source_match preferred_category_match"
-).split()
+OPTIONAL_COLUMNS = [
+    "title_length", "description_length", "hour_published", "weekday_published", "is_hackernews", "is_rss",
+    "recent_impression_count", "recent_click_count", "recent_save_count", "recent_hide_count", "preferred_source",
+    "preferred_category", "preferred_source_match", "preferred_category_match",
+]
 RECENT_COLUMNS = ["recent_impression_count", "recent_click_count", "recent_save_count", "recent_hide_count"]
 
 USER_HISTORY = [
@@ -33,19 +33,19 @@ ITEM_HISTORY = ["item_prev_impressions", "item_prev_clicks", "item_ctr_prior"]
 NUMERIC_FILL = {
     **{
         name: 0.0
-        for name in (
-            "user_prev_clicks user_prev_impressions user_ctr_prior recent_impression_count recent_click_count "
-            "recent_save_count recent_hide_count item_prev_impressions item_prev_clicks item_ctr_prior "
-            "item_age_hours title_length description_length is_hackernews is_rss "
-            "preferred_source_match preferred_category_match"
-        ).split()
+        for name in [
+            "user_prev_clicks", "user_prev_impressions", "user_ctr_prior", "recent_impression_count",
+            "recent_click_count", "recent_save_count", "recent_hide_count", "item_prev_impressions",
+            "item_prev_clicks", "item_ctr_prior", "item_age_hours", "title_length", "description_length",
+            "is_hackernews", "is_rss", "preferred_source_match", "preferred_category_match",
+        ]
     },
     "rank_position": -1.0,
 }
-TEXT_FILL = (
-    "source source_type category policy_name model_version user_prev_category user_prev_source "
-    "preferred_source preferred_category"
-).split()
+TEXT_FILL = [
+    "source", "source_type", "category", "policy_name", "model_version", "user_prev_category", "user_prev_source",
+    "preferred_source", "preferred_category",
+]
 
 
 def impression_backbone(df: DataFrame, order: Sequence[str] = ("user_id", "item_id", "session_id")) -> DataFrame:

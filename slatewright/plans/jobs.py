@@ -115,11 +115,11 @@ class Stages:
 
 
 # one generation after the other, each stage after its inputs
-ORDER = (
-    "item_features user_features context_features training_dataset impressions_v2 user_features_v2 item_features_v2 "
-    "train_dataset_v2 item_embeddings_v2 user_embeddings_v2 train_dataset_v2_embeddings candidates_v2 train_v1 train_v2 "
-    "online_features"
-).split()
+ORDER = [
+    "item_features", "user_features", "context_features", "training_dataset", "impressions_v2", "user_features_v2",
+    "item_features_v2", "train_dataset_v2", "item_embeddings_v2", "user_embeddings_v2", "train_dataset_v2_embeddings",
+    "candidates_v2", "train_v1", "train_v2", "online_features",
+]
 
 
 def main(argv: list[str]) -> None:

@@ -17,20 +17,20 @@ from slatewright.plans.metrics import binary_metrics, feed_quality_report, ranki
 from slatewright.schemas import existing
 
 # fixed values: inputs of the first-generation ranker
-V1_NUMERIC = (
-    "age_hours title_length description_length hour_published weekday_published recent_impression_count "
-    "recent_click_count recent_save_count recent_hide_count hour_of_day weekday is_weekend "
-    "preferred_source_match preferred_category_match"
-).split()
-V1_CATEGORICAL = "source source_type category preferred_source preferred_category".split()
+V1_NUMERIC = [
+    "age_hours", "title_length", "description_length", "hour_published", "weekday_published",
+    "recent_impression_count", "recent_click_count", "recent_save_count", "recent_hide_count", "hour_of_day",
+    "weekday", "is_weekend", "preferred_source_match", "preferred_category_match",
+]
+V1_CATEGORICAL = ["source", "source_type", "category", "preferred_source", "preferred_category"]
 
 # fixed values: inputs of the two models on simulated logs
-SIM_V3 = (
-    "rank_position age_hours title_length description_length recent_click_count recent_impression_count "
-    "recent_save_count recent_hide_count user_prev_clicks_sim user_prev_impressions_sim user_ctr_prior_sim "
-    "item_prev_clicks_sim item_prev_impressions_sim item_ctr_prior_sim preferred_category_match "
-    "preferred_source_match recency_decay_sim"
-).split()
+SIM_V3 = [
+    "rank_position", "age_hours", "title_length", "description_length", "recent_click_count",
+    "recent_impression_count", "recent_save_count", "recent_hide_count", "user_prev_clicks_sim",
+    "user_prev_impressions_sim", "user_ctr_prior_sim", "item_prev_clicks_sim", "item_prev_impressions_sim",
+    "item_ctr_prior_sim", "preferred_category_match", "preferred_source_match", "recency_decay_sim",
+]
 SIM_V2 = [c for c in SIM_V3 if c not in ("recent_save_count", "recent_hide_count")]
 
 # a tree model has one bin per category value at most this many

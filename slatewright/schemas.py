@@ -9,21 +9,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(), "t": T.TimestampType()}
-    return T.StructType(
-        [T.StructField(name, kinds[kind], True) for name, kind in (word.split(":") for word in spec.split())]
-    )
-
-
-CONTENT_ITEMS = _struct(
-    "item_id:s source:s source_type:s title:s description:s full_text:s url:s author:s "
-    "published_at:t fetched_at:t category:s topic:s language:s content_length:i"
+# fixed values: column names and types of the tables and feeds
+CONTENT_ITEMS = T.StructType(
+    [
+        T.StructField("item_id", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("source_type", T.StringType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("description", T.StringType()),
+        T.StructField("full_text", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("author", T.StringType()),
+        T.StructField("published_at", T.TimestampType()),
+        T.StructField("fetched_at", T.TimestampType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("content_length", T.IntegerType()),
+    ]
 )
 
-EVENTS = _struct(
-    "event_id:s timestamp:t user_id:s session_id:s event_type:s item_id:s rank_position:i model_version:s "
-    "score:d policy_name:s propensity:d dwell_time:d device_type:s metadata:s"
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("item_id", T.StringType()),
+        T.StructField("rank_position", T.IntegerType()),
+        T.StructField("model_version", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("policy_name", T.StringType()),
+        T.StructField("propensity", T.DoubleType()),
+        T.StructField("dwell_time", T.DoubleType()),
+        T.StructField("device_type", T.StringType()),
+        T.StructField("metadata", T.StringType()),
+    ]
 )
 
 # values an event row takes when the producer leaves them out
@@ -34,23 +56,38 @@ EVENT_DEFAULTS = {
     "metadata": "{}",
 }
 
-EVENT_TYPES = ["feed_request", "impression", "click", "save", "hide"]
-
-ITEM_FEATURES = _struct(
-    "item_id:s source:s source_type:s category:s age_hours:d title_length:i description_length:i "
-    "hour_published:i weekday_published:i is_hackernews:i is_rss:i"
-)
-
-CANDIDATE_COLUMNS = ["item_id", "last_seen_time", "source", "category", "retrieval_strategy", "retrieval_score"]
-
-FEED_V1 = _struct(
-    "user_id:s session_id:s model_version:s item_id:s title:s source:s source_type:s category:s url:s "
-    "published_at:s model_score:d freshness_bonus:d final_rank:i"
+FEED_V1 = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("model_version", T.StringType()),
+        T.StructField("item_id", T.StringType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("source_type", T.StringType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("published_at", T.StringType()),
+        T.StructField("model_score", T.DoubleType()),
+        T.StructField("freshness_bonus", T.DoubleType()),
+        T.StructField("final_rank", T.IntegerType()),
+    ]
 )
 
-FEED_V2 = _struct(
-    "user_id:s session_id:s candidate_count:i returned_count:i item_id:s source:s category:s "
-    "blended_retrieval_score:d model_score:d final_score:d rank:i"
+FEED_V2 = T.StructType(
+    [
+        T.StructField("user_id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("candidate_count", T.IntegerType()),
+        T.StructField("returned_count", T.IntegerType()),
+        T.StructField("item_id", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("blended_retrieval_score", T.DoubleType()),
+        T.StructField("model_score", T.DoubleType()),
+        T.StructField("final_score", T.DoubleType()),
+        T.StructField("rank", T.IntegerType()),
+    ]
 )
 
 

@@ -13,14 +13,14 @@ from slatewright.schemas import existing, feature_time
 TTL_HOURS = 24
 
 # fixed values: columns a user or item snapshot may carry
-USER_COLUMNS = (
-    "user_prev_clicks user_prev_impressions user_ctr_prior recent_impression_count recent_click_count "
-    "recent_save_count recent_hide_count user_prev_category user_prev_source user_embedding_norm"
-).split()
-ITEM_COLUMNS = (
-    "item_prev_impressions item_prev_clicks item_ctr_prior item_age_hours source source_type category "
-    "title_length description_length is_hackernews is_rss item_embedding_norm"
-).split()
+USER_COLUMNS = [
+    "user_prev_clicks", "user_prev_impressions", "user_ctr_prior", "recent_impression_count", "recent_click_count",
+    "recent_save_count", "recent_hide_count", "user_prev_category", "user_prev_source", "user_embedding_norm",
+]
+ITEM_COLUMNS = [
+    "item_prev_impressions", "item_prev_clicks", "item_ctr_prior", "item_age_hours", "source", "source_type",
+    "category", "title_length", "description_length", "is_hackernews", "is_rss", "item_embedding_norm",
+]
 USER_ALIASES = {
     "user_prev_clicks_sim": "user_prev_clicks",
     "user_prev_impressions_sim": "user_prev_impressions",

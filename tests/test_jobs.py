@@ -6,10 +6,11 @@ from slatewright.plans.jobs import Stages
 from slatewright.sources import bench_tables as B
 from slatewright.sources.tables import read_report, write_parquet
 
-STAGES = (
-    "item_features user_features context_features training_dataset impressions_v2 user_features_v2 item_features_v2 "
-    "train_dataset_v2 item_embeddings_v2 user_embeddings_v2 train_dataset_v2_embeddings candidates_v2"
-).split()
+STAGES = [
+    "item_features", "user_features", "context_features", "training_dataset", "impressions_v2", "user_features_v2",
+    "item_features_v2", "train_dataset_v2", "item_embeddings_v2", "user_embeddings_v2", "train_dataset_v2_embeddings",
+    "candidates_v2",
+]
 
 
 def test_stages_in_order(spark, folder, tmp_path):
