@@ -276,24 +276,32 @@ def rank_feed_v2(
     )
 
 
+def _sorted_out(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests with a limit that can be served and the others, each with its ``status``."""
+    fits = F.coalesce(F.col("limit").between(1, MAX_LIMIT), F.lit(False))
+    marked = requests.withColumn("status", F.when(fits, "ok").otherwise("invalid limit"))
+    return marked.where(fits), marked.where(~fits)
+
+
 def serve_v1(feed: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests (user_id, session_id, limit) answered from a first-generation feed built for the
-    largest limit: the pool does not depend on the limit, so a shorter feed is its beginning."""
-    valid = requests.where(F.col("limit").between(1, MAX_LIMIT))
-    return valid.join(feed.drop("session_id"), "user_id").where(F.col("final_rank") <= F.col("limit"))
+    largest limit: the pool does not depend on the limit, so a shorter feed is its beginning.
+    A request with an invalid limit is one row with that ``status`` and no item."""
+    valid, invalid = _sorted_out(requests)
+    rows = valid.join(feed.drop("session_id"), "user_id").where(F.col("final_rank") <= F.col("limit"))
+    return rows.unionByName(invalid, allowMissingColumns=True)
 
 
 def serve_v2(impressions: DataFrame, training: DataFrame, requests: DataFrame, **options) -> DataFrame:
     """Requests answered by the second-generation feed. The candidate pool depends on the
-    limit, so there is one plan per distinct valid limit (at most 50 values)."""
-    valid = requests.where(F.col("limit").between(1, MAX_LIMIT))
+    limit, so there is one plan per distinct valid limit (at most 50 values). A request with an
+    invalid limit is one row with that ``status`` and no item."""
+    valid, invalid = _sorted_out(requests)
     limits = sorted(r["limit"] for r in valid.select("limit").distinct().collect())
-    if not limits:
-        limits = [1]
     served = None
-    for limit in limits:
-        group = valid.where(F.col("limit") == limit).select("user_id", "session_id")
-        feed = rank_feed_v2(impressions, training, group, limit, **options)
+    for limit in limits or [1]:
+        group = valid.where(F.col("limit") == limit).select("user_id", "session_id", "status")
+        feed = rank_feed_v2(impressions, training, group.drop("status"), limit, **options)
         rows = group.join(feed, "user_id")
         served = rows if served is None else served.unionByName(rows)
-    return served
+    return served.unionByName(invalid.drop("limit"), allowMissingColumns=True)

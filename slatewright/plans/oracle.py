@@ -512,9 +512,11 @@ ORACLE["rerank_bad_scores"] = (
     + """ SELECT slate AS session_id, tie AS item_id, round(fs, 6) AS final_score, CAST(step AS int) AS rank
 FROM g WHERE step > 0"""
 )
-ORACLE["rank_feed_v1"] = (
-    "WITH RECURSIVE "
-    + ",\n".join(
+
+
+def _feed_v1(users: str, limit: int) -> str:
+    """``users``: the user features of those the feed is built for."""
+    return "WITH RECURSIVE " + ",\n".join(
         [
             EV,
             CT,
@@ -526,15 +528,27 @@ fr AS (SELECT u.*, n.item_id, n.title, n.source, n.source_type, n.category, n.ur
     0.15 * exp(-greatest(i.age_hours, 0.0) / 24.0) AS freshness_bonus,
     1.0 / (1.0 + exp(-(-1.0 + 0.8 * CAST(n.category = u.preferred_category AS int) + 0.5 * CAST(n.source = u.preferred_source AS int)
       + 0.02 * i.title_length - 0.001 * i.age_hours + 0.01 * u.recent_click_count))) AS model_score
-  FROM uf u, np n JOIN itf i ON n.item_id = i.item_id),
+  FROM ({users}) u, np n JOIN itf i ON n.item_id = i.item_id),
 pool AS (SELECT user_id AS slate, item_id AS tie, category, source, model_score + 1.0 * freshness_bonus AS score FROM fr)""",
-            _greedy("slate", "tie", 10, 0.08, 0.10, "int", "bigint"),
+            _greedy("slate", "tie", limit, 0.08, 0.10, "int", "bigint"),
         ]
     )
-    + """ SELECT f.user_id, 'fixed' AS model_version, f.item_id, f.title, f.source, f.source_type, f.category, f.url,
+
+
+ORACLE["rank_feed_v1"] = _feed_v1("SELECT * FROM uf", 10) + """ SELECT f.user_id, 'fixed' AS model_version, f.item_id, f.title, f.source, f.source_type, f.category, f.url,
   round(f.model_score, 6) AS model_score, round(f.freshness_bonus, 6) AS freshness_bonus, CAST(g.step AS int) AS final_rank
 FROM g JOIN fr f ON g.slate = f.user_id AND g.tie = f.item_id WHERE g.step > 0"""
-)
+ORACLE["rank_feed_requests"] = _feed_v1(
+    """SELECT user_id, preferred_category, preferred_source, recent_click_count FROM uf
+    UNION ALL SELECT user_id + 1000000, 'unknown', 'unknown', 0 FROM uf WHERE user_id % 50 = 0""",
+    50,
+) + """, asking AS (
+  SELECT user_id, concat('r', user_id) AS session_id, CAST(user_id % 60 - 4 AS int) AS "limit"
+  FROM (SELECT user_id FROM uf UNION ALL SELECT user_id + 1000000 FROM uf WHERE user_id % 50 = 0))
+SELECT a.*, 'ok' AS status, f.item_id, round(f.model_score, 6) AS model_score, CAST(g.step AS int) AS final_rank
+FROM asking a JOIN g ON g.slate = a.user_id JOIN fr f ON g.slate = f.user_id AND g.tie = f.item_id
+WHERE a."limit" BETWEEN 1 AND 50 AND g.step BETWEEN 1 AND a."limit"
+UNION ALL SELECT *, 'invalid limit', NULL, NULL, NULL FROM asking WHERE "limit" NOT BETWEEN 1 AND 50"""
 
 
 def _feed_v2(user_row: str) -> str:

@@ -535,6 +535,24 @@ def rank_feed_v1(spark, folder):
     )
 
 
+@query
+def rank_feed_requests(spark, folder):
+    """A request per user, with limits from -4 to 55, and of users without any event."""
+    log, items = B.events(spark, folder), B.content(spark, folder)
+    users = written(features.user_features(log, items), "users")
+    asking = users.select("user_id")
+    unknown = asking.where(F.col("user_id") % 50 == 0).select((F.col("user_id") + 1_000_000).alias("user_id"))
+    session = F.concat(F.lit("r"), F.col("user_id").cast("string"))
+    limit = (F.col("user_id") % 60 - 4).cast("int")
+    requests = asking.unionByName(unknown).select("user_id", session.alias("session_id"), limit.alias("limit"))
+    largest = feed.rank_feed_v1(
+        requests.select("user_id"), items, features.item_features(items, AS_OF), users, AS_OF, _first_scorer, feed.MAX_LIMIT, "fixed"
+    )
+    return r6(feed.serve_v1(largest, requests), "model_score").select(
+        "user_id", "session_id", "limit", "status", "item_id", "model_score", "final_rank"
+    )
+
+
 @query
 def rank_feed_v2(spark, folder):
     rows = written(embedded(spark, folder), "training")

@@ -13,8 +13,12 @@ def test_feed_limits_and_requests(spark, folder):
     shown, rows = B.impressions(spark, folder), queries.training(spark, folder)
     requests = spark.createDataFrame([(1, "a", 3), (2, "b", 5), (10**9, "ghost", 5), (3, "c", 0), (3, "c", 51)], "user_id long, session_id string, limit int")
     got = feed.serve_v2(shown, rows, requests, tie=("event_id",)).collect()
+    bad = [r for r in got if r["status"] == "invalid limit"]
+    assert [(r["session_id"], r["item_id"]) for r in bad] == [("c", None)] * 2
     ranks = {}
     for r in got:
+        if r in bad:
+            continue
         ranks.setdefault(r["session_id"], []).append(r["rank"])
         assert r["returned_count"] == (3 if r["session_id"] == "a" else 5)
     assert {s: sorted(v) for s, v in ranks.items()} == {"a": [1, 2, 3], "b": [1, 2, 3, 4, 5], "ghost": [1, 2, 3, 4, 5]}
