@@ -48,10 +48,6 @@ def non_negative(value: Column | str) -> Column:
     return F.greatest(_c(value), F.lit(0.0))
 
 
-def text_length(value: Column | str) -> Column:
-    return F.length(F.coalesce(_c(value), F.lit("")))
-
-
 def is_weekend(ts: Column | str) -> Column:
     return F.weekday(_c(ts)).isin(5, 6).cast("int")
 

@@ -456,6 +456,7 @@ def _value_counts(source: str, columns: list[str]) -> str:
     )
 
 
+ORACLE["candidates_per_user"] = with_(*E_BASE, _blended(10, 25)) + "SELECT user_id, count(item_id) AS candidates FROM bl GROUP BY user_id"
 ORACLE["candidate_profile"] = with_(*E_BASE, _blended(10, 25)) + _value_counts(
     "bl", ["category", "source", "retrieval_strategy_count"]
 )
@@ -679,6 +680,7 @@ ORACLE["quality_content"] = with_(PR) + """SELECT count(*) AS total_rows,
   count(*) FILTER (title IS NULL OR trim(title) = '') AS bad_titles FROM rec"""
 ORACLE["content_by_source"] = with_(PR) + "SELECT source_type, source, count(*) AS n FROM pg GROUP BY 1, 2"
 ORACLE["quality_events"] = with_(EV) + "SELECT user_id, event_type, count(*) AS n FROM ev GROUP BY 1, 2"
+ORACLE["event_types"] = with_(EV) + "SELECT event_type, count(*) AS n FROM ev GROUP BY 1"
 ORACLE["newest_events"] = with_(EV) + """SELECT "timestamp", user_id, session_id, event_type, item_id, event_id FROM ev
 ORDER BY "timestamp" DESC, event_id DESC LIMIT 20"""
 _NULLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slatewright.functions import scalars as S
-from slatewright.plans.metrics import counterfactual_report
 
 
 def group_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -78,7 +77,3 @@ def profile(df: DataFrame) -> DataFrame:
 
 def candidates_per_user(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("user_id").agg(F.count("item_id").alias("candidates"))
-
-
-def policy_report(df: DataFrame) -> DataFrame:
-    return counterfactual_report(df)

@@ -455,6 +455,11 @@ def cand_blended(spark, folder):
     )
 
 
+@query
+def candidates_per_user(spark, folder):
+    return quality.candidates_per_user(retrieval.retrieve(B.impressions(spark, folder), each_k=10, final_k=25))
+
+
 @query
 def candidate_profile(spark, folder):
     found = retrieval.retrieve(B.impressions(spark, folder), each_k=10, final_k=25)
@@ -704,6 +709,13 @@ def train_simulated(spark, folder):
     return models.train_simulated(rows)[1]
 
 
+@query
+def train_simulated_second(spark, folder):
+    """The model of fifteen inputs, not scaled."""
+    rows = split_by_time(written(history.event_priors(sim_log(spark, folder)), "training"), "timestamp", ["event_id"])
+    return models.train_simulated(rows, features=models.SIM_V2, standardize=False)[1]
+
+
 # --- checks ------------------------------------------------------------------------------------
 
 
@@ -722,6 +734,11 @@ def quality_events(spark, folder):
     return quality.group_counts(B.events(spark, folder), "user_id", "event_type")
 
 
+@query
+def event_types(spark, folder):
+    return quality.group_counts(B.events(spark, folder), "event_type")
+
+
 @query
 def newest_events(spark, folder):
     return quality.newest_events(B.events(spark, folder), 20)
