@@ -1,0 +1,60 @@
+"""The pipeline's near-copy stage against the Jaccard similarity of all pairs."""
+
+import random
+
+import corpus_pipeline
+from slatewright.llm import near_sets
+from slatewright.llm.queries import prepared
+
+
+def plain_components(texts):
+    """id -> smallest id joined to it by pairs of Jaccard similarity 0.8 or more over five-word shingles."""
+    sets = {}
+    for i, t in texts.items():
+        words = (t or "").lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    owner = {}
+    for a in sorted(sets):
+        todo = [] if a in owner else [a]
+        owner.setdefault(a, a)
+        while todo:
+            x = todo.pop()
+            for b in sets:
+                if b not in owner and len(sets[x] & sets[b]) >= 0.8 * len(sets[x] | sets[b]):
+                    owner[b] = owner[x]
+                    todo.append(b)
+    return owner
+
+
+def edited_texts():
+    draw, rows = random.Random(3), []
+    word = lambda: f"w{draw.randint(0, 5000)}"
+    for size in (4, 5, 9, 30, 120, 400):
+        for _ in range(4):
+            base = [word() for _ in range(size)]
+            for edits in range(0, 12):
+                text = list(base)
+                for _ in range(edits * size // 120 + (edits % 3 == 1)):
+                    text[draw.randrange(len(text))] = word()
+                rows.append(" ".join(text if edits % 4 else text + text))
+    chain = [word() for _ in range(200)]
+    for k in range(0, 90, 9):
+        rows.append(" ".join(chain[k : k + 110]))
+    return rows + [None, "", " \n", "One two", "one  TWO"]
+
+
+def test_groups_are_those_of_all_pairs(spark, folder):
+    prepared(spark)
+    texts = edited_texts() + [r.text for r in spark.read.parquet(folder + "/documents.parquet").select("text").collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.id: r.component for r in near_sets.near_copies(docs).collect()}
+    want = plain_components(dict(enumerate(texts)))
+    assert got == want and 10 < len(set(want.values())) < len(texts) - 50
+
+
+def test_stage_drops_texts_with_a_few_edits(spark, folder):
+    words = [f"w{k}" for k in range(300)]
+    edited = [*words[:40], "other", *words[41:150], "word", *words[151:260], "here", *words[261:]]
+    far = [w if k % 20 else "x" for k, w in enumerate(words)]
+    docs = spark.createDataFrame([(3, " ".join(words)), (1, " ".join(edited)), (2, " ".join(far))], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, folder).collect()) == [1, 2]
