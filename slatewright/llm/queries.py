@@ -18,6 +18,7 @@ from slatewright.llm import (
     simhash,
     token_counts,
     url_blocks,
+    whitening,
 )
 from slatewright.session import configure
 
@@ -123,3 +124,11 @@ def op10_simhash(spark, folder):
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op13_whitening(spark, folder):
+    """deviation is null where it is beyond 64 bits."""
+    vectors = table(spark, folder, "embeddings")
+    found = whitening.whitened(vectors, whitening.fitted(vectors)).withColumnRenamed("id", "vec_id")
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
