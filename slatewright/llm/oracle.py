@@ -148,3 +148,40 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": _DECONTAMINATE,
     "op8_url_blocks": _URL_BLOCKS,
 }
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k AS words, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k
+),
+counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE words = 1 GROUP BY lang),
+candidates AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words > 1 AND f >= 10),
+heads AS (
+  SELECT lang, phrase, words, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM candidates, (VALUES (1), (2)) v(k) WHERE k < words
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.words, c.a, k, l.f AS l, r.f AS r,
+    ((1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM heads c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS most
+  FROM candidates, (VALUES (1), (2)) v(i) WHERE words = 3 GROUP BY 1, 2
+),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase AND s.words = 2
+  WHERE g.most IS NULL OR 100 * g.most < 50 * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""

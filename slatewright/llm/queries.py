@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatewright.llm import (
+    collocations,
     decontaminate,
     licenses,
     main_text,
@@ -126,6 +127,11 @@ def op10_simhash(spark, folder):
     )
 
 
+@query
+def op11_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 @query
 def op13_whitening(spark, folder):
     """deviation is null where it is beyond 64 bits."""
