@@ -13,6 +13,7 @@ from slatewright.llm import (
     licenses,
     main_text,
     personal_data,
+    pivot_search,
     quality_model,
     quality_rules,
     sentence_pieces,
@@ -132,6 +133,11 @@ def op11_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+@query
+def op12_nearest(spark, folder):
+    return pivot_search.nearest(table(spark, folder, "embeddings"))
+
+
 @query
 def op13_whitening(spark, folder):
     """deviation is null where it is beyond 64 bits."""
