@@ -27,7 +27,7 @@ from slatewright.session import written
 #: occurrences a partition is sized for, n-grams a task holds, phrases a task holds
 PARTITION_MASS = 1 << 24
 ROOM = 1 << 23
-PHRASES = 1 << 19
+PHRASES = 1 << 20
 #: bits of the map of survivors: 2**23 for each partition, 2**28 (32 MB) at most whatever the input
 PART_BITS, FILTER_BITS = 23, 28
 
@@ -112,16 +112,32 @@ def _part(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), dtype=np.int64)
 
 
-def _tallied(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often they occur or the sum of their counts."""
-    if counts is None:
-        return np.unique(keys, return_counts=True)
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each distinct value of an ordered array begins."""
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _tallied(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of their counts."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+    first = _firsts(keys)
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
+def _thin(keys: np.ndarray) -> bytes:
+    """Ordered keys as steps, the low bytes of all first: the high ones, mostly zero, compress."""
+    steps = np.diff(keys, prepend=np.zeros(1, dtype=np.uint32))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _wide(held: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(held, dtype=np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 class Summary:
     """A Misra-Gries summary of at most ``capacity`` counters; merging keeps its guarantee.
 
@@ -135,6 +151,7 @@ class Summary:
         self.keys, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
 
     def merge(self, keys: np.ndarray, counts: np.ndarray, lost: int = 0) -> None:
+        """Take in another summary, or several: a key may repeat."""
         self.keys, self.counts = _tallied(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
         self.lost += lost
         if len(self.keys) > self.capacity:
@@ -157,18 +174,22 @@ def summaries(docs: DataFrame, widths: int, bits: int) -> DataFrame:
         held: list[np.ndarray] = []
 
         def folded() -> pa.RecordBatch:
-            keys, counts = _tallied(np.concatenate(held) >> np.uint64(32 - bits))
-            part = (keys >> np.uint64(32)).astype(np.int64)
-            names, first = np.unique(part, return_index=True)
-            stops = [*first[1:].tolist(), len(keys)]
-            short = keys.astype(np.uint32)
-            counts = counts.astype(np.uint32)
+            keys = np.concatenate(held)
+            held.clear()
+            keys >>= np.uint64(32 - bits)
+            keys.sort()
+            first = _firsts(keys)
+            counts = np.diff(first, append=len(keys)).astype(np.uint32)
+            keys = keys[first]
+            part = (keys >> np.uint64(32)).astype(np.int32)
+            keys = keys.astype(np.uint32)
+            bounds = _firsts(part)
+            spans = list(zip(bounds.tolist(), [*bounds[1:].tolist(), len(keys)]))
             rows = [
-                pa.array(names.astype(np.int32)),
-                pa.array([short[a:b].tobytes() for a, b in zip(first.tolist(), stops)], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in zip(first.tolist(), stops)], pa.binary()),
+                pa.array(part[bounds]),
+                pa.array([_thin(keys[a:b]) for a, b in spans], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
             ]
-            held.clear()
             return pa.RecordBatch.from_arrays(rows, ["part", "keys", "counts"])
 
         for batch in batches:
@@ -189,8 +210,13 @@ def survivors(docs: DataFrame, widths: int, threshold: int) -> tuple[int, np.nda
 
     def run(parts: pa.Table, mass: pa.Table) -> pa.Table:
         summary = Summary(sum(mass["mass"].to_pylist()) // threshold + 1)
-        for keys, counts in zip(parts["keys"], parts["counts"]):
-            summary.merge(np.frombuffer(keys.as_py(), dtype=np.uint32), np.frombuffer(counts.as_py(), dtype=np.uint32).astype(np.int64))
+        waiting, size = [], 0
+        for row, (keys, counts) in enumerate(zip(parts["keys"], parts["counts"])):
+            waiting.append((_wide(keys.as_py()), np.frombuffer(counts.as_py(), dtype=np.uint32).astype(np.int64)))
+            size += len(waiting[-1][0])
+            if size >= max(len(summary.keys), 1 << 20) or row == len(parts) - 1:
+                summary.merge(*(np.concatenate(x) for x in zip(*waiting)))
+                waiting, size = [], 0
         place = summary.frequent(threshold) >> np.uint32(32 - own)
         flags = np.zeros((1 << own) // 8, dtype=np.uint8)
         np.bitwise_or.at(flags, place >> np.uint32(3), np.uint8(128) >> (place & np.uint32(7)).astype(np.uint8))
