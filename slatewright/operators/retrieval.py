@@ -226,7 +226,6 @@ def _unseen_tail(
         aged,
         [],
         ["_age", "item_id"],
-        F.floor(F.col("_age") / F.lit(600_000_000)),
         sums={"place": F.lit(1).cast("long")},
     ).withColumn("_block", F.floor(F.col("place") / block))
     seen = seen_log.join(users, "user_id", "left_semi").select("user_id", "item_id").distinct()

@@ -1,16 +1,19 @@
 """Running (prefix) aggregates, as-of joins and trailing-window sums.
 
 A plain window partitioned by user or item puts a whole key into one task, so a
-key that owns a third of the log stalls the job. Here a key above ``hot_rows``
-is cut into consecutive slices of its own order. Every slice is windowed alone
-(partition key = key + slice) and receives the carry of the slices before it,
-which comes from a small per-slice aggregate. Without such keys the plan is the
-plain window: one exchange.
+key that owns a third of the log stalls the job. Here the rows of keys above
+``hot_rows`` go through a distributed prefix scan: they are dealt by ranges of the
+full order (key, time, tie) and written, each range is windowed alone, and receives
+the carry of the ranges of its key before it, which comes from one small aggregate
+per key and range. As ranges follow the whole order, rows of one key and one time
+are spread like any others. Without such keys the plan is the plain window: one
+exchange.
 
 Hot keys are counted first, in a job that reads the key columns only. The counts
-are exact, so re-running a lost task decides the same way, and at most
-``MAX_HOT_KEYS`` keys can qualify (the threshold never falls below that share of
-all rows), which bounds both the driver's list and the broadcast.
+are exact, so re-running a lost task decides the same way. A key counts as hot above
+``hot_rows`` rows and a share of 1/MAX_HOT_KEYS of all rows, so at most MAX_HOT_KEYS
+keys qualify, which bounds the driver's list and the broadcast; a key below both is
+no larger than other tasks.
 """
 
 from __future__ import annotations
@@ -20,18 +23,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
+
+from slatewright.session import written
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
-SLICE_SECONDS = 600
 
-_HOT, _SLICE, _GROUP = "_hot", "_slice", "_group"
+_HOT, _SLICE, _GROUP, _KEY, _RANGE, _SPREAD = "_hot", "_slice", "_group", "_key", "_range", "_spread"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys owning more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows,
-    as a local frame; None when there is none. No keys means the whole frame is the group.
-    """
+def _hot_counts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame, list[tuple]]:
+    """The key columns, and the hot keys with their number of rows. No keys means the whole frame is the group."""
     frame = df.select(*keys) if keys else df.select(F.lit(0).alias(_GROUP))
     spark = df.sparkSession
     memo = (spark.sparkContext.applicationId, frame.semanticHash(), frame.schema.simpleString(), hot_rows)
@@ -41,34 +44,39 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         found = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
         # the share only matters once the list is full
         floor = df.count() / MAX_HOT_KEYS if len(found) == MAX_HOT_KEYS else 0
-        rows = [tuple(r[c] for c in frame.columns) for r in found if r["_n"] > floor]
+        rows = [tuple(r) for r in found if r["_n"] > floor]
         if len(_counted) >= 256:
             _counted.clear()
         _counted[memo] = rows
-    return spark.createDataFrame(rows, frame.schema).withColumn(_HOT, F.lit(True)) if rows else None
+    return frame, rows
 
 
 # which keys of a frame were hot when last counted; a stale answer costs balance, never rows
 _counted: dict[tuple, list] = {}
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys as a local frame; None when there is none."""
+    frame, rows = _hot_counts(df, keys, hot_rows)
+    return df.sparkSession.createDataFrame([r[:-1] for r in rows], frame.schema).withColumn(_HOT, F.lit(True)) if rows else None
+
+
 def slice_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
     """Add the slice number: 0 for ordinary keys, ``slice_by`` for hot ones."""
-    lowest = F.lit(-(2**62))
     return df.join(F.broadcast(hot), list(keys), "left").withColumn(
-        _SLICE, F.when(F.col(_HOT), F.coalesce(slice_by.cast("long"), lowest)).otherwise(F.lit(0).cast("long"))
+        _SLICE, F.when(F.col(_HOT), slice_by.cast("long")).otherwise(F.lit(0).cast("long"))
     )
 
 
-def clock_slice(time: str, seconds: int = SLICE_SECONDS) -> Column:
-    return F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(seconds * 1_000_000))
+def spread_of(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A hash of the columns, to tell rows apart whose order doesn't matter."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns if not isinstance(df.schema[c].dataType, MapType)])
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    slice_by: Column,
     sums: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     latest: Mapping[str, Column] | None = None,
@@ -81,15 +89,12 @@ def running(
     sums:     sum over the rows before this one (this one too when ``inclusive``)
     previous: value on the row just before
     latest:   last non-null value up to and including this row
-    ``slice_by`` must not decrease along ``order``; no keys means the whole frame.
+    No keys means the whole frame. Rows with a null key are a group of their own.
     ``counted`` is a cheaper frame with (about) the same keys per row, used to find hot keys.
     """
     sums, previous, latest = dict(sums or {}), dict(previous or {}), dict(latest or {})
     out_columns = df.columns
-    hot = hot_keys(df if counted is None else counted, keys, hot_rows)
-    if not keys:
-        df, keys = df.withColumn(_GROUP, F.lit(0)), [_GROUP]
-    keys = list(keys)
+    frame, hot = _hot_counts(df if counted is None else counted, keys, hot_rows)
     df = df.withColumns(
         {
             **{f"_s_{n}": c for n, c in sums.items()},
@@ -97,51 +102,75 @@ def running(
             **{f"_l_{n}": c for n, c in latest.items()},
         }
     )
-    sliced = df if hot is None else slice_hot(df, keys, slice_by, hot)
-    along = W.partitionBy(*keys, *([] if hot is None else [_SLICE])).orderBy(*order)
+    parts = {"sums": list(sums), "previous": list(previous), "latest": list(latest)}
+    if not hot:
+        if not keys:
+            df, keys = df.withColumn(_GROUP, F.lit(0)), [_GROUP]
+        swept = _windowed(df, list(keys), order, inclusive, **parts)
+        return swept.select(*out_columns, *sums, *previous, *latest)
+    ranges = sum(r[-1] for r in hot) // max(1, hot_rows) + 1
+    if not keys:
+        swept = _scanned(df.withColumn(_KEY, F.struct(F.lit(0).alias(_GROUP))), order, inclusive, ranges, **parts)
+        return swept.select(*out_columns, *sums, *previous, *latest)
+    known = df.sparkSession.createDataFrame([r[:-1] for r in hot], frame.schema)
+    known = F.broadcast(known.select(F.struct(*keys).alias("_known")))
+    # structs of keys are equal where their nulls are
+    df = df.withColumn(_KEY, F.struct(*keys))
+    same = F.col(_KEY) == F.col("_known")
+    rest = _windowed(df.join(known, same, "left_anti"), list(keys), order, inclusive, **parts)
+    busy = _scanned(df.join(known, same, "left_semi"), order, inclusive, ranges, **parts)
+    columns = [*out_columns, *sums, *previous, *latest]
+    return rest.select(*columns).unionByName(busy.select(*columns))
+
+
+def _windowed(
+    df: DataFrame, keys: list[str], order: Sequence[str], inclusive: bool, sums: list[str], previous: list[str], latest: list[str]
+) -> DataFrame:
+    """The running columns by a plain window; ``previous`` of a first row and ``latest`` before any value are null."""
+    along = W.partitionBy(*keys).orderBy(*order)
     upto = along.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     through = along.rowsBetween(W.unboundedPreceding, 0)
-    windowed = sliced.withColumns(
+    return df.withColumns(
         {
-            **{f"_ws_{n}": F.sum(f"_s_{n}").over(upto) for n in sums},
-            **{f"_wp_{n}": F.lag(F.struct(F.col(f"_p_{n}").alias("v"))).over(along) for n in previous},
-            **{f"_wl_{n}": F.last(f"_l_{n}", ignorenulls=True).over(through) for n in latest},
+            **{n: F.coalesce(F.sum(f"_s_{n}").over(upto), F.lit(0)) for n in sums},
+            **{n: F.lag(f"_p_{n}").over(along) for n in previous},
+            **{n: F.last(f"_l_{n}", ignorenulls=True).over(through) for n in latest},
         }
     )
-    if hot is None:
-        return windowed.select(
-            *out_columns,
-            *[F.coalesce(F.col(f"_ws_{n}"), F.lit(0)).alias(n) for n in sums],
-            *[F.col(f"_wp_{n}")["v"].alias(n) for n in previous],
-            *[F.col(f"_wl_{n}").alias(n) for n in latest],
-        )
 
+
+def _scanned(
+    df: DataFrame, order: Sequence[str], inclusive: bool, ranges: int, sums: list[str], previous: list[str], latest: list[str]
+) -> DataFrame:
+    """The same by a prefix scan over ranges of (``_key``, order).
+
+    The ranges are written, so that windows and carries see the same ones whatever is run again.
+    """
+    dealt = df.repartitionByRange(ranges, _KEY, *order).withColumn(_RANGE, F.spark_partition_id())
+    dealt = written(dealt, "ranges")
     place = F.struct(*order)
-    totals = (
-        sliced.where(F.col(_HOT))
-        .groupBy(*keys, _SLICE)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums],
-            *[F.max_by(F.struct(F.col(f"_p_{n}").alias("v")), place).alias(f"_p_{n}") for n in previous],
-            *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_l_{n}") for n in latest],
-        )
+    boxed = lambda n: F.struct(F.col(f"_p_{n}").alias("v"))  # noqa: E731  a null before a range is not the same as no row
+    totals = dealt.groupBy(_KEY, _RANGE).agg(
+        *[F.sum(f"_s_{n}").alias(f"_c_{n}") for n in sums],
+        *[F.max_by(boxed(n), place).alias(f"_c_{n}") for n in previous],
+        *[F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_c_{n}") for n in latest],
     )
-    before = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(_KEY).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     carry = totals.select(
-        *keys,
-        _SLICE,
-        *[F.sum(f"_s_{n}").over(before).alias(f"_cs_{n}") for n in sums],
-        *[F.last(f"_p_{n}", ignorenulls=True).over(before).alias(f"_cp_{n}") for n in previous],
-        *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_cl_{n}") for n in latest],
+        _KEY,
+        _RANGE,
+        *[F.sum(f"_c_{n}").over(before).alias(f"_c_{n}") for n in sums],
+        *[F.last(f"_c_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in [*previous, *latest]],
     )
-    joined = windowed.join(carry, [*keys, _SLICE], "left")
-    zero = F.lit(0)
-    return joined.select(
-        *out_columns,
-        *[(F.coalesce(F.col(f"_ws_{n}"), zero) + F.coalesce(F.col(f"_cs_{n}"), zero)).alias(n) for n in sums],
-        *[F.coalesce(f"_wp_{n}", f"_cp_{n}")["v"].alias(n) for n in previous],
-        *[F.coalesce(f"_wl_{n}", f"_cl_{n}").alias(n) for n in latest],
+    first = F.row_number().over(W.partitionBy(_KEY, _RANGE).orderBy(*order)) == 1
+    swept = _windowed(dealt.withColumn("_first", first), [_KEY, _RANGE], order, inclusive, sums, previous, latest)
+    joined = swept.join(carry, [_KEY, _RANGE])
+    return joined.withColumns(
+        {
+            **{n: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)) for n in sums},
+            **{n: F.when(F.col("_first"), F.col(f"_c_{n}")["v"]).otherwise(F.col(n)) for n in previous},
+            **{n: F.coalesce(n, f"_c_{n}") for n in latest},
+        }
     )
 
 
@@ -156,7 +185,6 @@ def asof_join(
     tie: Sequence[str] = (),
     strict: bool = False,
     hot_rows: int = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each left row with the last right row of its key at or before its time.
@@ -172,6 +200,7 @@ def asof_join(
         F.col(left_time).cast("timestamp").alias("_t"),
         F.lit(0 if strict else 1).alias("_side"),
         F.lit(None).cast(_tie_type(right, tie)).alias("_tie"),
+        spread_of(left, keep).alias(_SPREAD),  # left rows of one time may stand in any order
         F.struct(*[c for c in keep if c != key]).alias("_left"),
     )
     rights = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull()).select(
@@ -186,8 +215,7 @@ def asof_join(
     swept = running(
         stacked,
         [key],
-        ["_t", "_side", "_tie"],
-        clock_slice("_t", slice_seconds),
+        ["_t", "_side", "_tie", _SPREAD],
         latest={"_hit": F.col("_right")},
         hot_rows=hot_rows,
         counted=counted,
@@ -210,7 +238,6 @@ def trailing(
     seconds: int,
     measures: Mapping[str, Column],
     hot_rows: int = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Append sums of integer ``measures`` over [t - seconds, t - 1s] per key.
 
@@ -226,6 +253,7 @@ def trailing(
         *keys,
         second.alias("_sec"),
         F.lit(1).alias("_kind"),
+        spread_of(df, df.columns).alias(_SPREAD),  # rows of one second may stand in any order
         F.struct(*df.columns).alias("_row"),
         *[F.lit(0).cast("long").alias(n) for n in names],
     )
@@ -257,8 +285,7 @@ def trailing(
     swept = running(
         stacked,
         keys,
-        ["_sec", "_kind"],
-        F.floor(F.col("_sec") / F.lit(slice_seconds)),
+        ["_sec", "_kind", _SPREAD],
         sums={n: F.col(f"_m_{n}") for n in names},
         inclusive=True,
         hot_rows=hot_rows,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from slatewright.functions import scalars as S
 from slatewright.operators.groups import latest_row, most_frequent
 from slatewright.operators.position import median_time_micros
-from slatewright.operators.running import HOT_ROWS, clock_slice, running, trailing
+from slatewright.operators.running import HOT_ROWS, running, trailing
 
 COUNTED_TYPES = {
     "impression": "recent_impression_count",
@@ -126,7 +126,6 @@ def session_counts(events: DataFrame, order: list[str], hot_rows: int = HOT_ROWS
         events,
         ["session_id"],
         order,
-        clock_slice(order[0]),
         sums={name: (F.col("event_type") == kind).cast("long") for kind, name in COUNTED_TYPES.items()},
         hot_rows=hot_rows,
     )
@@ -138,7 +137,6 @@ def session_depth(events: DataFrame, order: list[str], hot_rows: int = HOT_ROWS)
         events,
         ["session_id"],
         order,
-        clock_slice(order[0]),
         sums={"session_depth": F.lit(1).cast("long")},
         inclusive=True,
         hot_rows=hot_rows,
@@ -178,7 +176,6 @@ def average_dwell(events: DataFrame, order: list[str], hot_rows: int = HOT_ROWS)
         events,
         ["user_id"],
         order,
-        clock_slice(order[0]),
         sums={
             "_dwell": F.coalesce(F.col("dwell_time"), F.lit(0.0)),
             "_dwells": F.col("dwell_time").isNotNull().cast("long"),
@@ -194,7 +191,6 @@ def global_ctr(events: DataFrame, order: list[str], hot_rows: int = HOT_ROWS) ->
         events,
         [],
         order,
-        clock_slice(order[0]),
         sums={
             "_clicks": (F.col("event_type") == "click").cast("long"),
             "_shown": (F.col("event_type") == "impression").cast("long"),

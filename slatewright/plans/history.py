@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slatewright.functions import scalars as S
-from slatewright.operators.running import HOT_ROWS, asof_join, clock_slice, running
+from slatewright.operators.running import HOT_ROWS, asof_join, running
 from slatewright.schemas import canonical_names, ensure_columns, existing, require_columns
 
 # fixed values: backbone columns kept only when the input has them
@@ -48,7 +48,9 @@ TEXT_FILL = [
 ]
 
 
-def impression_backbone(df: DataFrame, order: Sequence[str] = ("user_id", "item_id", "session_id")) -> DataFrame:
+def impression_backbone(
+    df: DataFrame, order: Sequence[str] = ("user_id", "item_id", "session_id"), hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Cleaned impressions: required ids, 0/1 label, time parts, non-negative age, defaults.
 
     Without an ``event_id`` rows are numbered 1..n in time order (``order`` breaks ties).
@@ -64,9 +66,9 @@ def impression_backbone(df: DataFrame, order: Sequence[str] = ("user_id", "item_
             rows,
             [],
             ["timestamp", *existing(rows, order)],
-            clock_slice("timestamp"),
             sums={"impression_id": F.lit(1).cast("long")},
             inclusive=True,
+            hot_rows=hot_rows,
         ).withColumn("impression_id", F.col("impression_id").cast("string"))
     rows = rows.withColumns(
         {
@@ -124,7 +126,6 @@ def priors(
         df,
         [key],
         [time, *tie],
-        clock_slice(time),
         sums={clicks: F.col("clicked").cast("long"), shown: F.lit(1).cast("long")},
         previous=previous,
         hot_rows=hot_rows,

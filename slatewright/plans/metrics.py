@@ -134,27 +134,25 @@ def binary_metrics(
     """AUC (null with one class), accuracy, precision and recall at the threshold.
 
     Equal scores merge first; negatives below each score come from a running sum
-    cut into score slices, so no task orders the whole frame.
+    over ranges of scores, so no task orders a large frame. Areas are whole numbers.
     """
     counts = df.groupBy(F.col(score).alias("_score")).agg(
         F.sum(F.col(label).cast("long")).alias("_pos"), F.sum(1 - F.col(label).cast("long")).alias("_neg")
     )
-    swept = running(
-        counts, [], ["_score"], F.floor(F.col("_score") * 100_000), sums={"_below": F.col("_neg")}, hot_rows=hot_rows
-    )
+    swept = running(counts, [], ["_score"], sums={"_below": F.col("_neg")}, hot_rows=hot_rows)
     over = F.col("_score") >= F.lit(threshold)
     return (
         swept.agg(
             F.sum("_pos").alias("_p"),
             F.sum("_neg").alias("_n"),
-            F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") * F.lit(0.5))).alias("_area"),
+            F.sum(F.col("_pos").cast("decimal(19,0)") * (2 * F.col("_below") + F.col("_neg"))).alias("_area"),
             F.coalesce(F.sum(F.when(over, F.col("_pos"))), F.lit(0)).alias("_tp"),
             F.coalesce(F.sum(F.when(over, F.col("_neg"))), F.lit(0)).alias("_fp"),
         )
         .where(F.col("_p").isNotNull())
         .select(
             (F.col("_p") + F.col("_n")).alias("n_rows"),
-            F.try_divide("_area", F.col("_p") * F.col("_n")).alias("auc"),
+            F.try_divide(F.col("_area").cast("double"), F.lit(2.0) * F.col("_p") * F.col("_n")).alias("auc"),
             ((F.col("_tp") + F.col("_n") - F.col("_fp")) / (F.col("_p") + F.col("_n"))).alias("accuracy"),
             S.rate("_tp", F.col("_tp") + F.col("_fp")).alias("precision"),
             S.rate("_tp", F.col("_p")).alias("recall"),

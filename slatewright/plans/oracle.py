@@ -324,8 +324,8 @@ FROM (SELECT *, epoch_us("timestamp") // 1000000 AS s FROM ev)
 WINDOW w AS (PARTITION BY item_id ORDER BY s RANGE BETWEEN 604800 PRECEDING AND 1 PRECEDING)"""
 ORACLE["user_average_dwell"] = with_(EV) + """SELECT event_id, round(avg(dwell_time) OVER w + 1e-9, 6) AS avg_dwell_time FROM ev
 WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-ORACLE["global_ctr"] = with_(EV) + """SELECT event_id, round(coalesce(count(*) FILTER (event_type = 'click') OVER w
-  / nullif(count(*) FILTER (event_type = 'impression') OVER w, 0), 0.0) + 1e-9, 6) AS global_ctr FROM ev
+ORACLE["global_ctr"] = with_(EV) + """SELECT event_id, coalesce(count(*) FILTER (event_type = 'click') OVER w
+  / nullif(count(*) FILTER (event_type = 'impression') OVER w, 0), 0.0) AS global_ctr FROM ev
 WINDOW w AS (ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
@@ -358,6 +358,11 @@ ORACLE["impressions_backbone"] = with_(LG) + """SELECT event_id AS impression_id
   age_hours AS item_age_hours FROM lg"""
 ORACLE["impressions_numbered"] = with_(LG) + """SELECT event_id AS row_key,
   CAST(row_number() OVER (ORDER BY impression_time, event_id) AS varchar) AS impression_id FROM lg"""
+ORACLE["impressions_numbered_ranges"] = ORACLE["impressions_numbered"]
+ORACLE["item_prior_ctr_ranges"] = with_(LG) + """SELECT event_id, CAST(clicks AS bigint) AS item_prev_clicks, shown AS item_prev_impressions,
+  coalesce(clicks / nullif(shown, 0), 0.0) AS item_ctr_prior
+FROM (SELECT event_id, coalesce(sum(clicked) OVER w, 0) AS clicks, count(*) OVER w AS shown FROM lg
+  WINDOW w AS (ORDER BY impression_time, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 ORACLE["user_prior_ctr"] = with_(*E_BASE, UH) + (
     "SELECT event_id, user_id, CAST(user_prev_clicks AS bigint) AS user_prev_clicks, user_prev_impressions, "
     "round(user_ctr_prior, 6) AS user_ctr_prior FROM uh"
@@ -372,6 +377,13 @@ ORACLE["pit_user_join"] = with_(*E_BASE, UH) + """SELECT e.event_id, e.user_id,
   round(u.user_ctr_prior, 6) AS user_ctr_prior, u.user_prev_category, u.feature_timestamp AS user_feature_time
 FROM (SELECT * FROM ev WHERE event_type IN ('save', 'hide')) e
 ASOF LEFT JOIN uh u ON e.user_id = u.user_id AND e."timestamp" > u.feature_timestamp"""
+ORACLE["pit_user_join_ranges"] = with_(EV) + """, clicks AS (
+  SELECT date_trunc('day', "timestamp") AS click_time, event_id AS click_id, item_id FROM ev WHERE event_type = 'click'
+  QUALIFY row_number() OVER (PARTITION BY date_trunc('day', "timestamp") ORDER BY event_id DESC) = 1
+)
+SELECT e.event_id, 'all' AS user_id, date_trunc('day', e."timestamp") AS "timestamp", click_id, c.item_id, click_time AS found_at
+FROM (SELECT * FROM ev WHERE event_type IN ('save', 'hide')) e
+ASOF LEFT JOIN clicks c ON date_trunc('day', e."timestamp") >= c.click_time"""
 ORACLE["pit_training_rows"] = with_(*E_TRAIN) + """SELECT event_id, CAST(user_prev_clicks AS double) AS user_prev_clicks,
   CAST(user_prev_impressions AS double) AS user_prev_impressions, round(user_ctr_prior, 6) AS user_ctr_prior,
   user_prev_category, user_prev_source, user_feature_time, CAST(item_prev_impressions AS double) AS item_prev_impressions,
@@ -652,13 +664,15 @@ ORACLE["counterfactual_report"] = with_(*E_POLICY) + """SELECT count(*) AS n_row
 FROM (SELECT *, target_propensity / greatest(logged_propensity, 1e-12) AS w FROM pol)"""
 ORACLE["ips_single"] = with_(*E_POLICY) + """SELECT round(avg(clicked / logged_propensity), 6) AS ips,
   round(sum(clicked / logged_propensity) / sum(1.0 / logged_propensity), 6) AS snips FROM pol"""
-ORACLE["binary_metrics"] = with_(LG) + """, p AS (SELECT clicked AS y, score / 105000.0 AS p FROM lg),
-r AS (SELECT y, p, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS rk FROM p),
-a AS (SELECT count(*) AS n, sum(y) AS np, sum(rk) FILTER (y = 1) AS sr, count(*) FILTER (p >= 0.5 AND y = 1) AS tp,
+_BINARY = """, p AS (SELECT clicked AS y, {p} AS p FROM lg),
+r AS (SELECT y, p, rank() OVER (ORDER BY p) * 2 + count(*) OVER (PARTITION BY p) - 1 AS rk FROM p),
+a AS (SELECT count(*) AS n, sum(y) AS np, CAST(sum(rk) FILTER (y = 1) AS bigint) AS sr, count(*) FILTER (p >= 0.5 AND y = 1) AS tp,
   count(*) FILTER (p >= 0.5 AND y = 0) AS fp FROM r)
-SELECT n AS n_rows, round((sr - np * (np + 1) / 2.0) / (np * (n - np)), 6) AS auc,
-  round((tp + (n - np) - fp) / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision,
-  round(tp / np, 6) AS recall FROM a""".replace(", p AS", ",\np AS", 1)
+SELECT n AS n_rows, (sr - np * (np + 1)) / (2.0::DOUBLE * np * (n - np)) AS auc,
+  (tp + (n - np) - fp) / n AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, tp / np AS recall FROM a"""
+ORACLE["binary_metrics"] = with_(LG) + _BINARY.format(p="score / 105000.0")
+ORACLE["binary_metrics_crowded"] = with_(LG) + _BINARY.format(p="0.5::DOUBLE + score / 105000.0::DOUBLE * 1e-9::DOUBLE")
+
 
 
 def _split(source: str, order: str) -> str:

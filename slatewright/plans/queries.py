@@ -232,8 +232,7 @@ def user_average_dwell(spark, folder):
 def global_ctr(spark, folder):
     rows = B.events(spark, folder).select("event_id", "timestamp", "event_type")
     swept = features.global_ctr(rows, ["timestamp", "event_id"])
-    # the nudge keeps exact halves from rounding by representation
-    return swept.select("event_id", F.round(F.col("global_ctr") + 1e-9, 6).alias("global_ctr"))
+    return swept.select("event_id", "global_ctr")
 
 
 @query
@@ -266,6 +265,19 @@ def impressions_numbered(spark, folder):
     return numbered.select(F.col("title_length").alias("row_key"), "impression_id")
 
 
+#: so few rows make a key hot in the queries over ranges
+RANGE_ROWS = 500
+
+
+@query
+def impressions_numbered_ranges(spark, folder):
+    """The same by a prefix scan over ranges: a day's rows are in many of them."""
+    rows = _log_input(spark, folder).withColumnRenamed("event_id", "row_key")
+    rows = rows.withColumn("title_length", F.col("row_key"))
+    numbered = history.impression_backbone(rows, ["row_key"], RANGE_ROWS)
+    return numbered.select(F.col("title_length").alias("row_key"), "impression_id")
+
+
 @query
 def user_prior_ctr(spark, folder):
     rows = B.impressions(spark, folder).select("event_id", "user_id", "impression_time", "clicked")
@@ -278,6 +290,14 @@ def item_prior_ctr(spark, folder):
     return r6(history.priors(rows, "item_id", "item", "impression_time", TIE), "item_ctr_prior").drop("impression_time", "clicked")
 
 
+@query
+def item_prior_ctr_ranges(spark, folder):
+    """Priors of one item that owns the whole log, with whole days of equal times."""
+    rows = B.scored_log(spark, folder).select("event_id", F.lit("all").alias("item_id"), "impression_time", "clicked")
+    found = history.priors(rows, "item_id", "item", "impression_time", TIE, hot_rows=RANGE_ROWS)
+    return found.select("event_id", "item_prev_clicks", "item_prev_impressions", "item_ctr_prior")
+
+
 @query
 def user_prev_attrs(spark, folder):
     return history.user_history(backbone(spark, folder), TIE).select("event_id", "user_prev_category", "user_prev_source")
@@ -293,6 +313,17 @@ def pit_user_join(spark, folder):
     return r6(joined, "user_ctr_prior")
 
 
+@query
+def pit_user_join_ranges(spark, folder):
+    """As-of join where one user owns all rows and times are whole days."""
+    day = lambda time: F.date_trunc("day", time)
+    left = B.events(spark, folder, ["save", "hide"]).select("event_id", F.lit("all").alias("user_id"), day("timestamp").alias("timestamp"))
+    right = B.events(spark, folder, ["click"]).select(
+        F.lit("all").alias("user_id"), day("timestamp").alias("click_time"), F.col("event_id").alias("click_id"), "item_id"
+    )
+    return asof_join(left, right, "user_id", "timestamp", "click_time", ["click_id", "item_id"], "found_at", ["click_id"], hot_rows=RANGE_ROWS)
+
+
 @query
 def pit_training_rows(spark, folder):
     rows = training(spark, folder).select(
@@ -640,8 +671,14 @@ def ips_single(spark, folder):
 @query
 def binary_metrics(spark, folder):
     rows = B.scored_log(spark, folder).withColumn("p", F.col("score") / 105000.0)
-    report = metrics.binary_metrics(rows, "p")
-    return r6(report, "auc", "accuracy", "precision", "recall")
+    return metrics.binary_metrics(rows, "p")
+
+
+@query
+def binary_metrics_crowded(spark, folder):
+    """All scores within 1e-9, swept by ranges of scores."""
+    rows = B.scored_log(spark, folder).withColumn("p", 0.5 + F.col("score") / 105000.0 * 1e-9)
+    return metrics.binary_metrics(rows, "p", hot_rows=RANGE_ROWS)
 
 
 @query
