@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -231,45 +232,42 @@ def survivors(docs: DataFrame, widths: int, threshold: int) -> tuple[int, np.nda
 
 
 class Tally:
-    """In a task: phrases by their hash, with language, width and count."""
+    """In a task: phrases by their hash, as keys (language, line feed, phrase), and their counts."""
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.counts = np.zeros(0, dtype=np.int64)  # in order of arrival, as the next three
-        self.phrases: list[pa.Array] = []
-        self.langs: list[str] = []
-        self.widths: list[np.ndarray] = []
-
-    def add(self, grams: Grams, names: list[str], at: np.ndarray, width: np.ndarray, keys: np.ndarray) -> None:
-        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
-        place = np.searchsorted(self.keys, keys)
-        held = np.zeros(len(keys), dtype=bool)
-        if len(self.keys):
-            held = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
+        self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.counts = np.zeros(0, dtype=np.int64)  # in order of arrival, as the keys
+        self.keys: list[pa.Array] = []
+
+    def add(self, grams: Grams, names: list[str], at: np.ndarray, width: np.ndarray, hashes: np.ndarray) -> None:
+        hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+        place = np.searchsorted(self.hashes, hashes)
+        held = np.zeros(len(hashes), dtype=bool)
+        if len(self.hashes):
+            held = self.hashes[np.minimum(place, len(self.hashes) - 1)] == hashes
         self.counts[self.rows[place[held]]] += counts[held]
         new = first[~held]
         rows = len(self.counts) + np.arange(len(new))
-        self.keys, self.rows = np.insert(self.keys, place[~held], keys[~held]), np.insert(self.rows, place[~held], rows)
+        self.hashes, self.rows = np.insert(self.hashes, place[~held], hashes[~held]), np.insert(self.rows, place[~held], rows)
         self.counts = np.concatenate([self.counts, counts[~held]])
-        self.phrases.append(grams.phrases(at[new], width[new]))
-        self.langs += [names[c] for c in grams.codes[grams.text[at[new]]].tolist()]
-        self.widths.append(width[new])
+        langs = pa.array(names, pa.large_string()).take(pa.array(grams.codes[grams.text[at[new]]]))
+        self.keys.append(pc.binary_join_element_wise(langs, grams.phrases(at[new], width[new]), pa.scalar("\n", pa.large_string())))
 
     def flushed(self) -> pa.RecordBatch:
-        widths = np.concatenate(self.widths) if self.widths else np.zeros(0, dtype=np.int64)
-        phrases = pa.concat_arrays(self.phrases) if self.phrases else pa.array([], pa.large_string())
-        rows = [pa.array(self.langs, pa.string()), pa.array(widths.astype(np.int32)), phrases.cast(pa.string()), pa.array(self.counts)]
+        keys = pa.concat_arrays(self.keys) if self.keys else pa.array([], pa.large_string())
+        batch = pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(self.counts)], ["key", "n"])
         self.clear()
-        return pa.RecordBatch.from_arrays(rows, ["lang", "words", "phrase", "n"])
+        return batch
 
 
 def frequent_phrases(docs: DataFrame, widths: int = 3, threshold: int = 10) -> DataFrame:
-    """lang, words, phrase, n: every phrase of up to ``widths`` words that occurs ``threshold`` times, with its exact count.
+    """key, n: every phrase of up to ``widths`` words that occurs ``threshold`` times, with its exact count.
 
-    Besides, one row per language with 0 words, an empty phrase and the number of all its words.
+    A key is the language, a line feed and the phrase. Besides, one row per language has an empty
+    phrase and the number of all its words.
     """
     bits, bitmap = survivors(docs, widths, threshold)
     shift = np.uint64(64 - bits)
@@ -283,38 +281,53 @@ def frequent_phrases(docs: DataFrame, widths: int = 3, threshold: int = 10) -> D
                     totals[names[code]] = totals.get(names[code], 0) + n
                 found = []
                 for width in range(1, widths + 1):
-                    at, keys = grams.of(width)
-                    place = keys >> shift
+                    at, hashes = grams.of(width)
+                    place = hashes >> shift
                     passed = (flags[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1
-                    found.append((at[passed], np.full(int(passed.sum()), width), keys[passed]))
+                    found.append((at[passed], np.full(int(passed.sum()), width), hashes[passed]))
                 tally.add(grams, names, *(np.concatenate(x) for x in zip(*found)))
                 if len(tally.counts) > PHRASES:
                     yield tally.flushed()
         yield tally.flushed()
-        some = {k: n for k, n in totals.items() if n}
-        rows = [pa.array(list(some), pa.string()), pa.array([0] * len(some), pa.int32()), pa.array([""] * len(some), pa.string()), pa.array(list(some.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(rows, ["lang", "words", "phrase", "n"])
+        some = {f"{k}\n": n for k, n in totals.items() if n}
+        yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.int64())], ["key", "n"])
 
-    counted = _lang_and_text(docs).mapInArrow(run, "lang string, words int, phrase string, n bigint")
-    counted = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    kept = written(counted.where((F.col("n") >= threshold) | (F.col("words") == 0)), "phrases")
+    counted = _lang_and_text(docs).mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    kept = written(counted.where((F.col("n") >= threshold) | F.col("key").endswith("\n")), "phrases")
     sent.destroy()
     return kept
 
 
+#: of a key: its phrase (a phrase has no line feed), and its language with the line feed
+_PHRASE = r"substring_index(key, '\n', -1)"
+_LANG = f"left(key, length(key) - length({_PHRASE}))"
+
+
+def _uncovered(candidates: DataFrame, covered: int) -> DataFrame:
+    """Candidates that no longer one holds which is ``covered`` percent as frequent or more."""
+    longer = candidates.where("words > 2").select("lang", "a", "words", F.split("phrase", " ").alias("w"), F.explode(F.expr("sequence(2, words - 1)")).alias("size"))
+    longer = longer.select("lang", "a", "w", "size", F.explode(F.expr("sequence(1, words - size + 1)")).alias("start"))
+    longer = longer.select(F.expr("concat(lang, array_join(slice(w, start, size), ' '))").alias("key"), "a")
+    most = longer.groupBy("key").agg(F.max("a").alias("longer"))
+    kept = candidates.select("key", "a").join(most, "key", "left")
+    return kept.where(F.col("longer").isNull() | (100 * F.col("longer") < covered * F.col("a"))).select("key", "a")
+
+
 def _scored(candidates: DataFrame, counts: DataFrame) -> DataFrame:
-    """lang, phrase, words, a, l, r, score of the lowest-scoring cut, the earliest of equal ones."""
-    cut = candidates.select("lang", "phrase", "words", "a", F.explode(F.expr("sequence(1, words - 1)")).alias("k"))
-    cut = cut.withColumn("head", F.expr("substring_index(phrase, ' ', k)"))
-    cut = cut.withColumn("tail", F.expr("substring(phrase, length(head) + 2)"))
-    part = lambda name, n: counts.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
-    cut = cut.join(part("head", "l"), ["lang", "head"]).join(part("tail", "r"), ["lang", "tail"])
+    """key, a, l, r, score of the lowest-scoring cut, the earliest of equal ones."""
+    words = f"size(split({_PHRASE}, ' '))"
+    cut = candidates.select("key", "a", F.explode(F.expr(f"sequence(1, {words} - 1)")).alias("k"))
+    head = f"substring_index({_PHRASE}, ' ', k)"
+    cut = cut.select("key", "a", "k", F.expr(f"concat({_LANG}, {head})").alias("head"))
+    part = lambda name, n: counts.select(F.col("key").alias(name), F.col("n").alias(n))
+    cut = cut.join(part("head", "l"), "head")
+    cut = cut.select("key", "a", "k", "l", F.expr(f"concat({_LANG}, substring(key, length(head) + 2))").alias("tail"))
+    cut = cut.join(part("tail", "r"), "tail")
     # within 38 digits: counts of up to 15 digits
     whole = "cast({} as decimal(16,0))"
     score = f"(1000000BD * ({whole.format('a')} * {whole.format('a')})) div ({whole.format('l')} * {whole.format('r')})"
-    least = F.min(F.struct(F.expr(score).alias("score"), "k", "l", "r")).alias("least")
-    best = cut.groupBy("lang", "phrase", "words", "a").agg(least)
-    return best.select("lang", "phrase", "words", "a", "least.l", "least.r", "least.score")
+    best = cut.groupBy("key").agg(F.min(F.struct(F.expr(score).alias("score"), "k", "l", "r", "a")).alias("least"))
+    return best.select("key", "least.a", "least.l", "least.r", "least.score")
 
 
 def collocations(docs: DataFrame, widths: int = 3, threshold: int = 10, covered: int = 50, top: int = 2000) -> DataFrame:
@@ -329,16 +342,12 @@ def collocations(docs: DataFrame, widths: int = 3, threshold: int = 10, covered:
     rows. Columns but lang and text are not read.
     """
     counts = frequent_phrases(docs, widths, threshold)
-    candidates = counts.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
-    inner = candidates.where("words > 2").select(
-        "lang", F.col("a").alias("longer"), F.split("phrase", " ").alias("w"), F.explode(F.expr("sequence(2, words - 1)")).alias("size"), "words"
-    )
-    inner = inner.select("lang", "longer", "w", "size", F.explode(F.expr("sequence(1, words - size + 1)")).alias("start"))
-    inner = inner.select("lang", "longer", F.array_join(F.expr("slice(w, start, size)"), " ").alias("phrase"))
-    inner = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
-    kept = _scored(candidates, counts).join(inner, ["lang", "phrase"], "left")
-    kept = kept.where(F.col("longer").isNull() | (100 * F.col("longer") < covered * F.col("a")))
+    split = counts.select("key", F.col("n").alias("a"), F.expr(_PHRASE).alias("phrase"), F.expr(_LANG).alias("lang"))
+    candidates = split.where("phrase like '% %'").withColumn("words", F.size(F.split("phrase", " ")))
+    ranked = _scored(_uncovered(candidates, covered), counts)
+    lang = F.expr(f"left({_LANG}, length({_LANG}) - 1)").alias("lang")
+    ranked = ranked.select(lang, F.expr(_PHRASE).alias("phrase"), "a", "l", "r", "score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
-    totals = counts.where("words = 0").select("lang", "n")
+    ranked = ranked.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= top)
+    totals = counts.where(F.col("key").endswith("\n")).select(lang, "n")
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
