@@ -63,9 +63,9 @@ def tokenizer_path(name: str) -> str:
 
 @query
 def op1_sentence_pieces(spark, folder):
-    """Units, tokens, checksum of the ids and round trip of every document under the piece model."""
+    """Ids of every document under the piece model, and whether they decode to the whole text."""
     model = sentence_pieces.load_model(tokenizer_path(PIECE_MODEL))
-    return sentence_pieces.token_digests(table(spark, folder, "documents"), model).withColumnRenamed("id", "doc_id")
+    return sentence_pieces.encoded(table(spark, folder, "documents"), model, columns=["doc_id"], check=True)
 
 
 @query

@@ -8,9 +8,11 @@
    model that is Viterbi. For a BPE model, whose result is not the best path but the outcome of
    its merges, each step of the fold joins the neighbouring pieces that make the highest-scored
    piece. Characters outside the model become their bytes.
-4. Texts get their units' ids: the most frequent units, at most ``HEAD``, travel to the tasks; the
-   rest are joined by unit. Units longer than ``LONGEST`` characters go to the library in the task,
-   as a lattice fold grows with the square of a unit.
+4. Texts get their units' ids: the most frequent units, at most ``HEAD`` and ``HEAD_BYTES``, travel
+   to the tasks; the rest are joined by unit. Units longer than ``LONGEST`` characters go to the
+   library in the task, as a lattice fold grows with the square of a unit.
+5. Decoding joins the pieces' bytes, turns space marks into spaces and drops the leading one; the
+   round trip compares that with the whole text.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from slatewright.llm import textbytes as tb
 from slatewright.session import written
 
-HEAD = 400_000
+HEAD, HEAD_BYTES = 400_000, 24 << 20
+UNITS = 400_000  # that a task counts before it hands them on
 LONGEST = 96
 SPACE = "▁"
-PRIME = (1 << 31) - 1
 IDS = 1 << 17  # more than a model has ids
 
 # letters; a line feed; other characters; white space at the end
@@ -85,22 +86,24 @@ def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
     pattern = model.units
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        cut, counts = regex.compile(pattern).findall, Counter()
+        cutter, odd, even = Cutter(pattern), Counter(), UnitTally()
 
         def held() -> pa.RecordBatch:
-            some = sorted(u for u in counts if len(u) <= LONGEST)  # in order, they compress better
-            rows = [pa.array(some, pa.string()), pa.array([counts[u] for u in some], pa.int64())]
-            counts.clear()
+            for unit, n in even.emptied():
+                odd[unit] += n
+            some = sorted(u for u in odd if len(u) <= LONGEST)  # in order, they compress better
+            rows = [pa.array(some, pa.string()), pa.array([odd[u] for u in some], pa.int64())]
+            odd.clear()
             return pa.RecordBatch.from_arrays(rows, ["unit", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                if text:
-                    counts.update(cut(SPACE + text.replace(" ", SPACE)))
-                if len(counts) > 400_000:
+            for row, stop, data, offsets in tb.blocks(batch.column(0)):
+                slow, (starts, ends, _, text, spaces, keys) = cutter.block(data, offsets, batch.column(0)[row:stop].to_pylist())
+                for found in slow.values():
+                    odd.update(found)
+                fast = np.flatnonzero(~np.isin(text, list(slow))) if slow else np.arange(len(text))
+                even.add(data, starts[fast], ends[fast], spaces[fast], keys[fast])
+                if len(odd) + len(even.units) > UNITS:
                     yield held()
         yield held()
 
@@ -174,7 +177,7 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 
 def unit_ids(units: DataFrame, model: Model) -> DataFrame:
-    """unit, n, ids, exact (the ids decode to the unit): the encoding of every unit."""
+    """unit, n, ids: the encoding of every unit."""
     longest = max(len(p) for p, *_ in model.pieces)
     rows = lattice(units, piece_table(units.sparkSession, model), longest)
     # pieces of two characters and more by their span; those of one character are looked up among the edges
@@ -199,16 +202,7 @@ def unit_ids(units: DataFrame, model: Model) -> DataFrame:
         "a * 128L + get(cuts, k + 1)), get(filter(edges, e -> e % 16384 = a * 128L + get(cuts, k + 1)), 0) div 16384)), c -> "
         f"if(c is null, {as_bytes}, array(cast(c % {IDS} as int)))), 1)))"
     )
-    rows = rows.select("unit", "n", F.expr(ids).alias("ids"))
-    # pieces joined are the unit; with bytes among them, their bytes are
-    texts = F.split(F.lit("\n".join(_text(b) for b in model.surfaces)), "\n")
-    whole = F.array_join(F.transform("ids", lambda i: F.get(texts, i)), "")
-    return rows.withColumn("exact", (whole == F.col("unit")) | (_hex_of(model, "ids") == F.hex("unit")))
-
-
-def _text(surface: bytes) -> str:
-    text = surface.decode(errors="replace")
-    return "" if "\n" in text or len(surface) == 1 and surface[0] > 127 else text
+    return rows.select("unit", "n", F.expr(ids).alias("ids"))
 
 
 def _hex_of(model: Model, ids: str) -> F.Column:
@@ -224,38 +218,8 @@ def decoded(rows: DataFrame, model: Model, ids: str = "ids") -> F.Column:
 
 
 def dictionary(docs: DataFrame, model: Model) -> DataFrame:
-    """unit, n, ids, exact, digest of all units of the corpus, written once."""
-    coded = unit_ids(unit_counts(docs, model), model)
-    digest = F.pmod(F.xxhash64("ids"), F.lit(PRIME))
-    return written(coded.withColumn("digest", digest), "units")
-
-
-class Coder:
-    """In a task: units of a text, with the frequent ones' encodings and the library for very long ones."""
-
-    def __init__(self, model_data: bytes, pattern: str, head: dict):
-        import regex
-        import sentencepiece
-
-        self.cut = regex.compile(pattern).findall
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=model_data)
-        self.place, self.sizes, self.digests, self.flat, self.first, self.exact = (
-            head[k] for k in ("place", "sizes", "digests", "flat", "first", "exact")
-        )
-
-    def units(self, text: str | None) -> tuple[list[str], np.ndarray]:
-        """The units of a text, and their rows in the head; -1 for the others."""
-        if not text:
-            return [], np.zeros(0, dtype=np.int64)
-        found = self.cut(SPACE + text.replace(" ", SPACE))
-        return found, np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
-
-    def long_ids(self, unit: str) -> list[int]:
-        """A unit has its own leading space mark, or follows another unit: the library adds a mark, which goes."""
-        if unit.startswith(SPACE):
-            return self.library.encode(unit[1:].replace(SPACE, " "))
-        # after a line feed, which joins with nothing, the library starts afresh
-        return self.library.encode("\n" + unit)[len(self.library.encode("\n")) :]
+    """unit, n, ids of all units of the corpus, written once."""
+    return written(unit_ids(unit_counts(docs, model), model), "units")
 
 
 #: classes of bytes for texts of ASCII and letters only: space, letter, line feed, other
@@ -264,80 +228,127 @@ _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _CLASS[32], _CLASS[10] = 0, 2
 
 
-class Digests:
-    """In a task: the digests of many texts at a time, from the bytes.
+def unit_keys(hashes: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+    """A unit's key: a hash of its bytes and of the number of space marks before them."""
+    return tb.mix(hashes + spaces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+class Cutter:
+    """In a task: the units of many texts at a time.
 
     Texts of ASCII and letters that don't end in a space are cut by byte classes, which gives the
-    same units as the pattern; a unit is known by a 64-bit hash of its bytes and of the number of
-    space marks before them. Other texts are cut one by one.
+    same units as the pattern; other texts are cut one by one.
     """
 
-    def __init__(self, coder: Coder):
+    def __init__(self, pattern: str):
         import regex
 
-        self.coder = coder
+        self.cut = regex.compile(pattern).findall
+        self.fine = pattern == FINE
         self.odd = regex.compile(r"[^\x00-\x7f\p{L}]| \Z").search
-        units = list(coder.place)
-        bare = [u.lstrip(SPACE) for u in units]
-        keys = self._keys(tb.text_hashes(bare), np.array([len(u) - len(b) for u, b in zip(units, bare)], dtype=np.int64))
-        order = np.argsort(keys)
-        self.keys, self.rows = keys[order], order
 
-    @staticmethod
-    def _keys(hashes: np.ndarray, spaces: np.ndarray) -> np.ndarray:
-        return tb.mix(hashes + spaces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-    def block(self, data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> list[tuple]:
-        """Per text: units, tokens, checksum, exactness, and times and weight of each unit not in the head."""
-        coder, n = self.coder, len(texts)
-        slow = {k for k, t in enumerate(texts) if t and self.odd(t)}
-        starts, ends, first, text, spaces, found = self._places(data, offsets)
-        known, rows = found >= 0, np.maximum(found, 0)
-        place = np.arange(len(starts)) - first[:-1][text]
-        weight = 2 * place + 1
-
-        def sums(values: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(values)])
-            return total[first[1:]] - total[first[:-1]]
+    def units(self, text: str) -> list[str]:
+        return self.cut(SPACE + text.replace(" ", SPACE))
 
-        if len(self.keys):
-            tokens = sums(np.where(known, coder.sizes[rows], 0))
-            checks = sums(np.where(known, coder.digests[rows] * (weight % PRIME) % PRIME, 0)) % PRIME
-            wrong = sums(known & ~coder.exact[rows])
-        else:
-            tokens = checks = wrong = np.zeros(n, dtype=np.int64)
-        out = [[int(c), int(t), int(s), not w, {}] for c, t, s, w in zip(np.diff(first), tokens, checks, wrong)]
-        for k in np.flatnonzero(~known).tolist():
-            own = int(text[k])
-            if own not in slow:
-                unit = SPACE * int(spaces[k]) + data[starts[k] : ends[k]].tobytes().decode()
-                self._add(out[own], unit, int(weight[k]))
-        for own in slow:
-            out[own] = self._alone(texts[own])
-        return out
-
-    def _places(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Units cut by byte classes: starts, ends, each text's first, their texts, space marks before them, rows in the head or -1."""
+    def block(self, data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> tuple[dict[int, list[str]], tuple]:
+        """Units of the texts cut one by one, and starts, ends, each text's first, texts, space marks and keys of all by classes."""
+        slow = {k: self.units(t) for k, t in enumerate(texts) if t and (not self.fine or self.odd(t))}
         starts, ends, first = self._runs(data, offsets)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         opening = np.zeros(len(starts), dtype=bool)
         opening[first[:-1][np.diff(first) > 0]] = True
         spaces = starts - np.where(opening, offsets[:-1][text] - 1, begins)
+        return slow, (starts, ends, first, text, spaces, unit_keys(tb.range_hashes(data, starts, ends), spaces))
+
+    @staticmethod
+    def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of runs of one class, line feeds singly, spaces none; each text's first run."""
+        if not len(data):
+            none = np.zeros(0, dtype=np.int64)
+            return none, none, np.zeros(len(offsets), dtype=np.int64)
+        kind = _CLASS[data]
+        change = np.ones(len(data) + 1, dtype=bool)
+        change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        change[offsets] = True
+        starts = np.flatnonzero(change[:-1] & (kind > 0))
+        return starts, np.flatnonzero(change[1:] & (kind > 0)) + 1, np.searchsorted(starts, offsets)
+
+
+class UnitTally:
+    """In a task: units cut by classes, told by their keys, and how often each was seen."""
+
+    def __init__(self) -> None:
+        self.keys, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        self.counts, self.units = np.zeros(0, dtype=np.int64), []
+
+    def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaces: np.ndarray, keys: np.ndarray) -> None:
+        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        place, held = np.searchsorted(self.keys, keys), np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            held = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
+        self.counts[self.rows[place[held]]] += counts[held]
+        new, rows = first[~held], len(self.units) + np.arange(int((~held).sum()))
+        self.keys, self.rows = np.insert(self.keys, place[~held], keys[~held]), np.insert(self.rows, place[~held], rows)
+        self.counts = np.concatenate([self.counts, counts[~held]])
+        raw = data.tobytes()
+        self.units += [SPACE * n + raw[a:b].decode() for n, a, b in zip(spaces[new].tolist(), starts[new].tolist(), ends[new].tolist())]
+
+    def emptied(self) -> list[tuple[str, int]]:
+        out = list(zip(self.units, self.counts.tolist()))
+        self.__init__()
+        return out
+
+
+class Coder:
+    """In a task: units of texts, with the frequent ones' encodings and the library for very long ones."""
+
+    def __init__(self, model_data: bytes, pattern: str, head: bytes):
+        import sentencepiece
+
+        self.cutter = Cutter(pattern)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=model_data)
+        table = pa.ipc.open_stream(head).read_all().combine_chunks()
+        ids, units = (table[c].chunk(0) if table.num_rows else pa.array([], table[c].type) for c in ("ids", "unit"))
+        self.sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])[:-1].astype(np.int64)
+        self.flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        bare = pc.utf8_ltrim(units, characters=SPACE)
+        spaces = pc.subtract(pc.binary_length(units), pc.binary_length(bare)).to_numpy(zero_copy_only=False) // len(SPACE.encode())
+        sizes = pc.binary_length(bare).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(pc.cast(bare, pa.binary()).to_pylist()), dtype=np.uint8)
+        keys = unit_keys(tb.range_hashes(data, ends - sizes, ends), spaces)
+        self.rows = np.argsort(keys)
+        self.keys = keys[self.rows]
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """Rows in the head; -1 for units that are not there."""
         if not len(self.keys):
-            return starts, ends, first, text, spaces, np.full(len(starts), -1, dtype=np.int64)
-        keys = self._keys(tb.range_hashes(data, starts, ends), spaces)
+            return np.full(len(keys), -1, dtype=np.int64)
         found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return starts, ends, first, text, spaces, np.where(self.keys[found] == keys, self.rows[found], -1)
+        return np.where(self.keys[found] == keys, self.rows[found], -1)
+
+    def _alone(self, units: list[str]) -> np.ndarray:
+        bare = [u.lstrip(SPACE) for u in units]
+        spaces = np.array([len(u) - len(b) for u, b in zip(units, bare)], dtype=np.int64)
+        return self.look_up(unit_keys(tb.text_hashes(bare), spaces))
+
+    def long_ids(self, unit: str) -> list[int]:
+        """A unit has its own leading space mark, or follows another unit: the library adds a mark, which goes."""
+        if unit.startswith(SPACE):
+            return self.library.encode(unit[1:].replace(SPACE, " "))
+        # after a line feed, which joins with nothing, the library starts afresh
+        return self.library.encode("\n" + unit)[len(self.library.encode("\n")) :]
 
     def cut(self, data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, dict[int, str]]:
         """Of many texts: the units' rows in the head or -1, each text's first unit, and the units whose row is -1."""
-        slow = {k: self.coder.units(t) for k, t in enumerate(texts) if t and self.odd(t)}
-        starts, ends, first, text, spaces, rows = self._places(data, offsets)
+        slow, (starts, ends, first, _, spaces, keys) = self.cutter.block(data, offsets, texts)
+        rows = self.look_up(keys)
         pieces, units, total = [], {}, 0
         bounds = np.zeros(len(texts) + 1, dtype=np.int64)
         for k in range(len(texts)):
-            found, own = slow[k] if k in slow else ((), rows[first[k] : first[k + 1]])
+            found, own = (slow[k], self._alone(slow[k])) if k in slow else ((), rows[first[k] : first[k + 1]])
             for j in np.flatnonzero(own < 0).tolist():
                 at = int(first[k]) + j
                 units[total + j] = found[j] if k in slow else SPACE * int(spaces[at]) + data[starts[at] : ends[at]].tobytes().decode()
@@ -346,135 +357,79 @@ class Digests:
             bounds[k + 1] = total
         return np.concatenate(pieces) if pieces else rows, bounds, units
 
-    @staticmethod
-    def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and ends of runs of one class, line feeds singly, spaces none; each text's first run."""
-        if not len(data):
-            none = np.zeros(0, dtype=np.int64)
-            return none, none, np.zeros(len(offsets), dtype=np.int64)
-        kind = _CLASS[data]
-        change = np.ones(len(data) + 1, dtype=bool)
-        change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
-        change[offsets] = True
-        starts = np.flatnonzero(change[:-1] & (kind > 0))
-        return starts, np.flatnonzero(change[1:] & (kind > 0)) + 1, np.searchsorted(starts, offsets)
 
-    def _add(self, row: list, unit: str, weight: int) -> None:
-        if len(unit) > LONGEST:
-            ids = self.coder.long_ids(unit)
-            row[1] += len(ids)
-            row[2] = (row[2] + sum(ids) % PRIME * weight) % PRIME
-        else:
-            n, w = row[4].get(unit, (0, 0))
-            row[4][unit] = (n + 1, (w + weight) % PRIME)
-
-    def _alone(self, text: str) -> list:
-        found, at = self.coder.units(text)
-        row = [len(found), 0, 0, True, {}]
-        for k, (unit, r) in enumerate(zip(found, at.tolist())):
-            if r < 0:
-                self._add(row, unit, 2 * k + 1)
-            else:
-                row[1] += int(self.coder.sizes[r])
-                row[2] = (row[2] + int(self.coder.digests[r]) * (2 * k + 1)) % PRIME
-                row[3] = row[3] and bool(self.coder.exact[r])
-        return row
-
-
-def head_of(coded: DataFrame, limit: int = HEAD) -> dict:
-    """The most frequent units, at most ``limit``: all those at least as frequent as a cut-off found by counting."""
+class Decoder:
+    """In a task: the bytes that ids stand for, many texts at a time."""
+
+    def __init__(self, surfaces: list[bytes]):
+        plain = [s.replace(SPACE.encode(), b" ") for s in surfaces]
+        self.sizes = np.array([len(s) for s in plain], dtype=np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(plain), dtype=np.uint8)
+
+    def texts(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all texts, each without its leading space, and their offsets. ``bounds``: the texts' first ids."""
+        sizes = self.sizes[ids]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.flat[np.arange(stops[-1]) + np.repeat(self.first[ids] - stops[:-1], sizes)]
+        offsets = stops[bounds]
+        leading = offsets[:-1][np.diff(offsets) > 0]
+        leading = leading[data[leading] == 32]
+        keep = np.ones(len(data), dtype=bool)
+        keep[leading] = False
+        dropped = np.concatenate([[0], np.cumsum(~keep)])
+        return data[keep], offsets - dropped[offsets]
+
+    def same(self, ids: np.ndarray, bounds: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts their ids decode to."""
+        back, own = self.texts(ids, bounds)
+        good = np.diff(own) == np.diff(offsets)
+        of = lambda x, o: x[np.repeat(good, np.diff(o))]
+        wrong = np.concatenate([[0], np.cumsum(of(back, own) != of(data, offsets))])
+        ends = np.cumsum(np.diff(offsets)[good])
+        good[np.flatnonzero(good)] = wrong[ends] == wrong[ends - np.diff(offsets)[good]]
+        return good
+
+
+def head_of(coded: DataFrame, limit: int = HEAD, most_bytes: int = HEAD_BYTES) -> bytes:
+    """The most frequent units with their ids, as an Arrow stream: all those at least as frequent as
+    the lowest level, found by counting, down to which they are no more than ``limit`` and ``most_bytes``."""
     level = F.floor(F.log2("n") * 16).cast("int")
-    sizes = sorted(coded.groupBy(level.alias("level")).count().collect(), reverse=True)
-    total, lowest = 0, None
-    for at, n in sizes:
-        if total + n > limit:
+    held = F.sum(F.octet_length("unit") + 4 * F.size("ids") + 12)
+    total, size, lowest = 0, 0, None
+    for at, n, b in sorted(coded.groupBy(level.alias("level")).agg(F.count("*"), held).collect(), reverse=True):
+        if total + n > limit or size + b > most_bytes:
             break
-        total, lowest = total + n, at
-    table = coded.where(level >= (lowest if lowest is not None else 1 << 30)).select("unit", "ids", "digest", "exact").toArrow()
-    ids = table["ids"].combine_chunks()
-    sizes_array = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-    return {
-        "place": {u: k for k, u in enumerate(table["unit"].to_pylist())},
-        "sizes": sizes_array,
-        "digests": table["digest"].to_numpy().astype(np.int64),
-        "exact": table["exact"].to_numpy().astype(bool),
-        "flat": ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
-        "first": np.concatenate([[0], np.cumsum(sizes_array)])[:-1].astype(np.int64),
-    }
-
-
-def token_digests(docs: DataFrame, model: Model, id_column: str = "doc_id", head: int = HEAD) -> DataFrame:
-    """id, n_units, n_tokens, checksum, round_trip of every text, without gathering any text's ids.
-
-    checksum: sum over units of (hash of the unit's ids) x (2 x place + 1), modulo 2**31 - 1, so it
-    depends on every id and on the order of units; units beyond ``LONGEST`` enter with the sum of
-    their ids. round_trip: every unit decodes to itself. Null and empty texts have no units, checksum
-    0 and round_trip true. Rows with equal text have equal results; repeated rows stay. An empty
-    table gives no rows.
-    """
-    coded = dictionary(docs, model)
-    sent = docs.sparkSession.sparkContext.broadcast((model.data, model.units, head_of(coded, head)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = Digests(Coder(*sent.value))
-        names = ["id", "key", "unit", "units", "tokens", "weight", "sum", "exact"]
-        for batch in batches:
-            kinds = (batch.column(0).type, *(pa.int64(), pa.string()), *[pa.int64()] * 4, pa.bool_())
-            for row, stop, data, offsets in tb.blocks(batch.column(2)):
-                own, keys, texts = (batch.column(k)[row:stop].to_pylist() for k in range(3))
-                out: list[list] = [[] for _ in names]
-                for i, key, found in zip(own, keys, digests.block(data, offsets, texts)):
-                    units, tokens, total, exact, rest = found
-                    for c, v in zip(out, (i, key, None, units, tokens, 0, total, exact)):
-                        c.append(v)
-                    for unit, (n, w) in rest.items():
-                        for c, v in zip(out, (None, key, unit, n, 0, w, 0, True)):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-
-    # rows are told apart by a number of their own, as ids may be null or repeated; it is written
-    # together with what depends on it
-    kind = docs.schema[id_column].dataType.simpleString()
-    raw = docs.select(F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("key"), "text").mapInArrow(
-        run, f"id {kind}, key bigint, unit string, units bigint, tokens bigint, weight bigint, sum bigint, exact boolean"
-    )
-    raw = written(raw, "parts")
-    whole = raw.where("unit is null").select("id", "key", "units", "tokens", "sum", "exact")
-    tail = raw.where("unit is not null").select("key", "unit", F.col("units").alias("times"), "weight")
-    looked = tail.join(coded.select("unit", F.size("ids").alias("size"), "digest", F.col("exact").alias("right")), "unit")
-    looked = looked.groupBy("key").agg(
-        F.sum(F.col("times") * F.col("size")).alias("more"),
-        F.sum(F.col("weight") * F.col("digest") % PRIME).alias("add"),
-        F.min("right").alias("right"),
-    )
-    return whole.join(looked, "key", "left").select(
-        "id",
-        F.col("units").alias("n_units"),
-        (F.col("tokens") + F.coalesce("more", F.lit(0))).alias("n_tokens"),
-        ((F.col("sum") + F.coalesce("add", F.lit(0))) % PRIME).alias("checksum"),
-        (F.col("exact") & F.coalesce("right", F.lit(True))).alias("round_trip"),
-    )
+        total, size, lowest = total + n, size + b, at
+    table = coded.where(level >= (lowest if lowest is not None else 1 << 30)).select("unit", "ids").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
-def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str] | None = None) -> DataFrame:
+def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str] | None = None, check: bool = False) -> DataFrame:
     """The rows of ``docs`` with ``ids`` (array of int), as the library encodes the text, and ``n_tokens``.
 
-    Of the columns of ``docs``, those named are returned, or else all. One named ids or n_tokens is
-    replaced. Null and empty texts have no ids; repeated rows stay; an empty table gives no rows.
+    With ``check`` also ``round_trip``: the ids decode to exactly the text; a text with a space mark
+    of the model (U+2581) doesn't come back. Of the columns of ``docs``, those named are returned, or
+    else all. One named ids, n_tokens or (with check) round_trip is replaced. Null and empty texts
+    have no ids and come back as the empty text; repeated rows stay; an empty table gives no rows.
     """
     coded = dictionary(docs, model)
-    sent = docs.sparkSession.sparkContext.broadcast((model.data, model.units, head_of(coded, head)))
-    named = [c for c in columns or docs.columns if c not in ("ids", "n_tokens")]
+    sent = docs.sparkSession.sparkContext.broadcast((model.data, model.units, head_of(coded, head), model.surfaces))
+    added = ["ids", "n_tokens", "round_trip"] if check else ["ids", "n_tokens"]
+    named = [c for c in columns or docs.columns if c not in added]
     # equal texts have equal ids, so a text is told by two hashes of it
     hashes = [F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")]
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in named]).alias("row"), "text", *hashes)
     texts = docs.select(*hashes, "text")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = Digests(Coder(*sent.value))
+        coder = Coder(*sent.value[:3])
         for batch in batches:
             for row, stop, data, offsets in tb.blocks(batch.column(2)):
-                _, bounds, units = digests.cut(data, offsets, batch.column(2)[row:stop].to_pylist())
+                _, bounds, units = coder.cut(data, offsets, batch.column(2)[row:stop].to_pylist())
                 owners = np.searchsorted(bounds, list(units), "right") - 1
                 own = {(k, u) for k, u in zip(owners.tolist(), units.values()) if len(u) <= LONGEST}
                 at = pa.array([row + k for k, _ in own], pa.int32())
@@ -482,11 +437,11 @@ def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), found], ["h1", "h2", "unit"])
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = Digests(Coder(*sent.value))
-        coder = digests.coder
+        *parts, surfaces = sent.value
+        coder, decoder = Coder(*parts), Decoder(surfaces)
         for batch in batches:
             for row, stop, data, offsets in tb.blocks(batch.column(1)):
-                rows, bounds, units = digests.cut(data, offsets, batch.column(1)[row:stop].to_pylist())
+                rows, bounds, units = coder.cut(data, offsets, batch.column(1)[row:stop].to_pylist())
                 given = {m["unit"]: m["ids"] for more in batch.column(2)[row:stop].to_pylist() for m in more or ()}
                 # the block's own units follow those of the head
                 own = {u: k for k, u in enumerate(dict.fromkeys(units.values()))}
@@ -502,10 +457,14 @@ def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str]
                 stops = np.concatenate([[0], np.cumsum(length)])
                 ids = flat[np.arange(stops[-1]) + np.repeat(starts[rows] - stops[:-1], length)]
                 lists = pa.ListArray.from_arrays(pa.array(stops[bounds], pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[row:stop], lists], ["row", "ids"])
+                out = [batch.column(0)[row:stop], lists]
+                if check:
+                    out.append(pa.array(decoder.same(ids, stops[bounds], data, offsets)))
+                yield pa.RecordBatch.from_arrays(out, ["row", "ids", "round_trip"][: len(out)])
 
     looked = texts.mapInArrow(rare, "h1 bigint, h2 bigint, unit string").join(coded.select("unit", "ids"), "unit")
     looked = looked.groupBy("h1", "h2").agg(F.collect_set(F.struct("unit", "ids")).alias("more"))
     full = keyed.join(looked, ["h1", "h2"], "left").select("row", "text", "more")
-    schema = f"row {keyed.schema['row'].dataType.simpleString()}, ids array<int>"
-    return full.mapInArrow(assembled, schema).select("row.*", "ids", F.size("ids").cast("bigint").alias("n_tokens"))
+    schema = f"row {keyed.schema['row'].dataType.simpleString()}, ids array<int>" + ", round_trip boolean" * check
+    found = full.mapInArrow(assembled, schema)
+    return found.select("row.*", "ids", F.size("ids").cast("bigint").alias("n_tokens"), *["round_trip"] * check)

@@ -65,18 +65,23 @@ def test_sentence_pieces_equal_the_library(docs, rows):
     path = tokenizer_path(PIECE_MODEL)
     library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.load_model(path)
     for head in (sentence_pieces.HEAD, 0, 50):
-        got = by_id(sentence_pieces.token_digests(docs, model, head=head), "id")
-        if head == sentence_pieces.HEAD:
-            first = got
-        assert got == first
-    full = sentence_pieces.encoded(docs, model, head=50)
-    ids = by_id(full.select("doc_id", "ids", "n_tokens", sentence_pieces.decoded(full, model).alias("back")))
-    assert len(got) == len(ids) == len(rows)
-    for i, text in rows:
-        want = library.encode(text or "")
-        assert ids[i]["ids"] == want, text
-        assert got[i]["n_tokens"] == ids[i]["n_tokens"] == len(want)
-        assert ids[i]["back"] == (text or "").replace("\u2581", " ")
+        full = sentence_pieces.encoded(docs, model, head=head, check=True)
+        got = by_id(full.select("doc_id", "ids", "n_tokens", "round_trip", sentence_pieces.decoded(full, model).alias("back")))
+        assert len(got) == len(rows)
+        for i, text in rows:
+            want = library.encode(text or "")
+            assert got[i]["ids"] == want, text
+            assert got[i]["n_tokens"] == len(want)
+            assert got[i]["back"] == library.decode(want) == (text or "").replace("\u2581", " ")
+            assert got[i]["round_trip"] == (library.decode(want) == (text or ""))
+    assert "round_trip" not in sentence_pieces.encoded(docs, model).columns
+
+
+def test_round_trip_is_of_the_whole_text(spark):
+    model = sentence_pieces.load_model(tokenizer_path(PIECE_MODEL))
+    texts = ["a \u2581 mark", "a   mark", " lead", "trail ", None, "", "\u2581", "é\u0000ü" * 70, "=" * 500]
+    found = sentence_pieces.encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model, check=True)
+    assert [r["round_trip"] for r in sorted(found.collect())] == [t is None or "\u2581" not in t for t in texts]
 
 
 def test_viterbi_finds_the_best_path(spark):
@@ -342,7 +347,7 @@ def test_empty_tables(spark):
     model = sentence_pieces.load_model(tokenizer_path(PIECE_MODEL))
     for df in (
         simhash.near_copies(docs), quality_rules.rule_verdicts(docs), personal_data.personal_spans(docs), licenses.license_notices(docs),
-        token_counts.token_counts(docs, tokenizer_path(TOKENIZER)), sentence_pieces.token_digests(docs, model),
+        token_counts.token_counts(docs, tokenizer_path(TOKENIZER)), sentence_pieces.encoded(docs, model, check=True),
         sentence_pieces.encoded(docs, model), url_blocks.judged(pages),
     ):
         assert df.count() == 0
