@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slatewright.llm import decontaminate, near_sets, personal_data, quality_model, sentence_pieces
+from slatewright.llm import decontaminate, personal_data, quality_model, sentence_pieces, simhash
 from slatewright.llm.queries import GOOD, PIECE_MODEL, prepared, table, tokenizer_path
 from slatewright.session import written
 
@@ -39,15 +39,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id; of repeated rows one.
 
-    Near copies share at least 0.8 of their distinct five-word shingles (Jaccard).
+    Near copies have SimHash fingerprints of four-word shingles that differ in at most 4 of 64 bits.
     """
     prepared(spark)
     own = docs.withColumn(_ROW, F.struct(F.col("doc_id"), F.xxhash64("text").alias("hash")))
-    groups = near_sets.near_copies(own.select(F.col(f"`{_ROW}`"), "text"), id_column=_ROW)
+    groups = simhash.near_copies(own.select(F.col(f"`{_ROW}`"), "text"), id_column=_ROW)
     kept = groups.where(F.col("id") == F.col("component")).select(F.col("id.doc_id").alias("i"), F.col("id.hash").alias("h")).distinct()
     same = F.col(f"`{_ROW}`.doc_id").eqNullSafe(F.col("i")) & (F.col(f"`{_ROW}`.hash") == F.col("h"))
-    # of rows with equal id and text the first stays
-    first = Window.partitionBy(F.col(f"`{_ROW}`.doc_id"), F.col(f"`{_ROW}`.hash")).orderBy(F.lit(1))
+    # of rows with equal id and text the one whose other columns come first stays
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    first = Window.partitionBy(F.col(f"`{_ROW}`.doc_id"), F.col(f"`{_ROW}`.hash")).orderBy(rest)
     found = own.join(kept, same, "left_semi").withColumn(_FIRST, F.row_number().over(first))
     return found.where(F.col(_FIRST) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
