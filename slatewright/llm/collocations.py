@@ -26,11 +26,11 @@ from slatewright.llm import textbytes as tb
 from slatewright.session import written
 
 #: occurrences a partition is sized for, n-grams a task holds, phrases a task holds
-PARTITION_MASS = 1 << 24
+PARTITION_MASS = 1 << 23
 ROOM = 1 << 23
 PHRASES = 1 << 20
-#: bits of the map of survivors: 2**23 for each partition, 2**28 (32 MB) at most whatever the input
-PART_BITS, FILTER_BITS = 23, 28
+#: bits of the map of survivors: 2**22 for each partition, 2**28 (32 MB) at most whatever the input
+PART_BITS, FILTER_BITS = 22, 28
 
 _BYTES = np.arange(256)
 SEPARATOR = np.isin(_BYTES, [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
@@ -122,10 +122,21 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
 
 def _tallied(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sum of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    if not len(keys):
+        return keys, counts
+    if counts.max() < 1 << 32:  # key and count side by side sort in place
+        both = keys.astype(np.uint64)
+        both <<= np.uint64(32)
+        both |= counts.astype(np.uint64)
+        both.sort()
+        keys = (both >> np.uint64(32)).astype(np.uint32)
+        both &= np.uint64(0xFFFFFFFF)
+        counts = both.view(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
     first = _firsts(keys)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+    return keys[first], np.add.reduceat(counts, first)
 
 
 def _thin(keys: np.ndarray) -> bytes:
