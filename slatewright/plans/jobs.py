@@ -16,6 +16,7 @@ from slatewright.operators.position import split_by_time, split_stratified
 from slatewright.plans import features, history, metrics, models, policy
 from slatewright.session import configure
 from slatewright.sources import online
+from slatewright.sources.snapshots import SnapshotStore
 from slatewright.sources.tables import load_stage, write_parquet, write_report
 
 
@@ -111,7 +112,7 @@ class Stages:
 
     def online_features(self, source: str = "train_dataset_v2_embeddings") -> int:
         rows = online.materialize(self.read(source), self.as_of, ["impression_id"])
-        return online.SnapshotStore(self.spark, f"{self.root}/online").upsert(rows, source)
+        return SnapshotStore(self.spark, f"{self.root}/online").upsert(rows, source)
 
 
 # one generation after the other, each stage after its inputs

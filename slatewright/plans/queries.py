@@ -19,6 +19,7 @@ from slatewright.session import configure, fresh_folder, written
 from slatewright.sources import bench_tables as B
 from slatewright.sources import content as C
 from slatewright.sources import online
+from slatewright.sources.snapshots import SnapshotStore
 from slatewright.sources.tables import with_event_defaults
 from slatewright.streaming import events as streams
 
@@ -812,11 +813,6 @@ EVENT_FILE = T.StructType(
 )
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.readStream.schema(EVENT_FILE).option("pathGlobFilter", "events.parquet")
-    return B.as_events(files.parquet(folder))
-
-
 def arrivals(spark: SparkSession, folder: str, parts: int = 3, twice: bool = False) -> list[DataFrame]:
     """The event log as it lands, part after part; the last part is a mark, a view and a click long after the log.
 
@@ -875,12 +871,15 @@ def stream_labels(spark, folder):
 
 @query
 def stream_snapshot(spark, folder):
-    """User snapshots kept by a stream of impressions."""
+    """User snapshots kept by a stream of impressions that land in several parts, with late rows."""
     scratch = fresh_folder(spark, "snapshot")
-    shown = event_stream(spark, folder).where(F.col("event_type").isin("impression", "click"))
-    rows = shown.select("event_id", "timestamp", "user_id", "item_id", F.col("event_type").alias("preferred_category"))
-    streams.keep_snapshot(rows, f"{scratch}/store", f"{scratch}/state", ["event_id"]).awaitTermination()
-    store = online.SnapshotStore(spark, f"{scratch}/store").read()
+    for part in arrivals(spark, folder):
+        part.write.mode("append").parquet(f"{scratch}/landing")
+        shown = B.as_events(spark.readStream.schema(EVENT_FILE).parquet(f"{scratch}/landing"))
+        shown = shown.where(F.col("event_type").isin("impression", "click"))
+        rows = shown.select("event_id", "timestamp", "user_id", "item_id", F.col("event_type").alias("preferred_category"))
+        streams.keep_snapshot(rows, f"{scratch}/store", f"{scratch}/state", ["event_id"]).awaitTermination()
+    store = SnapshotStore(spark, f"{scratch}/store").read()
     return store.where(F.col("entity_type") == "user").select(
         F.col("entity_id").cast("long").alias("user_id"),
         F.get_json_object("payload", "$.user_prev_category").alias("user_prev_category"),

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from slatewright.plans.features import COUNTED_TYPES
 from slatewright.sources import online
+from slatewright.sources.snapshots import SnapshotStore
 from slatewright.sources.tables import with_event_defaults
 
 
@@ -82,13 +83,13 @@ def one_per_impression(rows: DataFrame) -> DataFrame:
 
 
 def keep_snapshot(rows: DataFrame, path: str, checkpoint: str, tie: list[str], available_now: bool = True):
-    """Upsert the newest user and item features of every micro-batch into the snapshot store."""
+    """Upsert the newest user and item features of every micro-batch into the snapshot store, in the buckets it touches."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         written = batch.agg(F.max("timestamp").cast("string").alias("t")).first()["t"]
-        online.SnapshotStore(batch.sparkSession, path).upsert(online.materialize(batch, written, tie), f"batch {batch_id}")
+        SnapshotStore(batch.sparkSession, path).upsert(online.materialize(batch, written, tie), f"batch {batch_id}")
 
     writer = rows.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

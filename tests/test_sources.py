@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from slatewright.sources import content as C
 from slatewright.sources import online, tables
+from slatewright.sources.snapshots import ENTITY, SnapshotStore
 
 NOW = "2024-02-01 00:00:00"
 
@@ -77,7 +78,7 @@ def test_snapshot_store_keeps_the_newest_and_expires(spark, tmp_path):
     def rows(values):
         return spark.createDataFrame(values, "impression_id string, user_id string, item_id string, timestamp string, user_prev_clicks int, preferred_category string")
 
-    store = online.SnapshotStore(spark, str(tmp_path / "store"))
+    store = SnapshotStore(spark, str(tmp_path / "store"))
     first = rows([("1", "u", "i", "2024-01-02 00:00:00", 5, "x"), ("2", "v", "i", None, 1, None)])
     assert store.upsert(online.materialize(first, NOW, ["impression_id"])) == 0
     older = rows([("3", "u", "j", "2024-01-01 00:00:00", 9, "old")])
@@ -91,6 +92,64 @@ def test_snapshot_store_keeps_the_newest_and_expires(spark, tmp_path):
     assert late.count() == 0
 
 
+def payload_rows(spark, values):
+    """(entity_type, entity_id, payload, hour of the feature time or None)"""
+    rows = [(t, i, p, None if h is None else f"2024-01-01 {h:02d}:00:00") for t, i, p, h in values]
+    df = spark.createDataFrame(rows, "entity_type string, entity_id string, payload string, t string")
+    return df.select(*ENTITY, "payload", F.col("t").cast("timestamp").alias("feature_timestamp"), F.lit(NOW).cast("timestamp").alias("expires_at"))
+
+
+def files_of(path):
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet")}
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path), buckets=16)
+    store.upsert(payload_rows(spark, [("user", f"u{k}", "first", 1) for k in range(100)]))
+    before = files_of(tmp_path)
+    assert store.upsert(payload_rows(spark, [("user", "u7", "second", 2)])) == 1
+    added = {f for f in files_of(tmp_path) - before if not f.startswith("log/")}
+    assert len(added) == 1 and before <= files_of(tmp_path)
+    got = {r["entity_id"]: r["payload"] for r in store.read().collect()}
+    assert len(got) == 100 and got["u7"] == "second" and got["u8"] == "first"
+    wanted = spark.createDataFrame([("user", "u7"), ("user", "nobody")], "entity_type string, entity_id string")
+    some = {r["entity_id"]: r["payload"] for r in store.read(wanted).collect()}
+    assert some["u7"] == "second" and len(some) < 50
+
+
+def test_store_equals_newest_wins_over_many_batches(spark, tmp_path):
+    """Older, equal and missing times; compaction; retired versions are gone and the kept ones are whole."""
+    import random
+
+    draw, best = random.Random(3), {}
+    store = SnapshotStore(spark, str(tmp_path), buckets=4, deltas=2, keep=2)
+    assert store.read() is None and store.status() is None and store.version() is None
+    for n in range(7):
+        batch = {(draw.choice(["user", "item"]), f"e{draw.randint(0, 8)}"): (draw.choice([None, 1, 2, 3]), f"p{n}") for _ in range(5)} if n != 4 else {}
+        assert store.upsert(payload_rows(spark, [(t, i, p, h) for (t, i), (h, p) in batch.items()]), f"batch {n}") == n
+        for key, (h, p) in batch.items():
+            if key not in best or (h or 0) >= (best[key][0] or 0):
+                best[key] = (h, p)
+        got = {(r["entity_type"], r["entity_id"]): r["payload"] for r in store.read().collect()}
+        assert got == {k: p for k, (_, p) in best.items()}
+        row = store.status().where(f"version = {n}").first()
+        assert (row["user_count"], row["item_count"], row["source_dataset"]) == (sum(t == "user" for t, _ in best), sum(t == "item" for t, _ in best), f"batch {n}")
+    assert {f.split("/")[1] for f in files_of(tmp_path) if f.startswith("log/")} == {"v=5", "v=6"}
+    assert any(f.startswith("base=") for f in files_of(tmp_path))
+    assert not any(f.startswith("delta=0/") for f in files_of(tmp_path))
+
+
+def test_a_lost_job_leaves_the_last_version(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path), buckets=4)
+    store.upsert(payload_rows(spark, [("user", "a", "one", 1), ("user", "b", "one", 1)]))
+    # a delta without its manifest, as a job leaves it that is lost before the end
+    lost = payload_rows(spark, [("user", "a", "lost", 9)]).withColumn("_version", F.lit(1)).withColumn("bucket", store._bucket())
+    store._written(lost, "delta=1")
+    assert {r["payload"] for r in store.read().collect()} == {"one"} and store.version() == 0
+    assert store.upsert(payload_rows(spark, [("user", "b", "two", 2)])) == 1
+    assert {r["entity_id"]: r["payload"] for r in store.read().collect()} == {"a": "one", "b": "two"}
+
+
 def test_overlay_prefers_online_values(spark):
     frame = spark.createDataFrame([("u", "i", 1.0, "a", "b", 9.0)], "user_id string, item_id string, user_ctr_prior double, category string, user_prev_category string, item_age_hours double")
     users = spark.createDataFrame([("u", 0.5, "a")], "user_id string, user_ctr_prior double, user_prev_category string")
