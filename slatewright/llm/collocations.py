@@ -7,8 +7,8 @@
    merging takes off any count stays below the threshold, and every n-gram as frequent as the
    threshold keeps a counter.
 3. The survivors become a bitmap of fixed size, with a stretch of its own for every partition. A
-   second pass over the texts counts the n-grams that the bitmap lets through by their words. A bit
-   set by another n-gram costs a row in that count; it changes no result.
+   second pass over the texts counts the n-grams that the bitmap lets through by their words, again
+   by partition. A bit set by another n-gram costs a row in that count; it changes no result.
 4. Scores, coverage by longer phrases and ranks are joins and windows over the exact counts.
 """
 
@@ -27,7 +27,7 @@ from slatewright.session import written
 
 #: occurrences a partition is sized for, n-grams a task holds, phrases a task holds
 PARTITION_MASS = 1 << 23
-ROOM = 1 << 23
+ROOM = 1 << 22
 PHRASES = 1 << 20
 #: bits of the map of survivors: 2**22 for each partition, 2**28 (32 MB) at most whatever the input
 PART_BITS, FILTER_BITS = 22, 28
@@ -215,8 +215,9 @@ def summaries(docs: DataFrame, widths: int, bits: int) -> DataFrame:
     return _lang_and_text(docs).mapInArrow(run, "part int, keys binary, counts binary")
 
 
-def survivors(docs: DataFrame, widths: int, threshold: int) -> tuple[int, np.ndarray]:
-    """The bitmap of every n-gram that may occur ``threshold`` times, and how many hash bits find a place in it."""
+def survivors(docs: DataFrame, widths: int, threshold: int) -> tuple[int, int, np.ndarray]:
+    """Hash bits that name a partition, bits that find a place in its stretch, and the bitmap of every
+    n-gram that may occur ``threshold`` times."""
     bits = partition_bits(docs, widths)
     own = min(PART_BITS, FILTER_BITS - bits)  # leading bits of a key that find its place in the partition's stretch
 
@@ -239,7 +240,7 @@ def survivors(docs: DataFrame, widths: int, threshold: int) -> tuple[int, np.nda
     bitmap = np.zeros((1 << bits, (1 << own) // 8), dtype=np.uint8)
     for part, some in found.collect():  # together as large as the bitmap
         bitmap[part] = np.frombuffer(some, dtype=np.uint8)
-    return bits + own, bitmap.ravel()
+    return bits, own, bitmap.ravel()
 
 
 class Tally:
@@ -252,6 +253,7 @@ class Tally:
         self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.counts = np.zeros(0, dtype=np.int64)  # in order of arrival, as the keys
         self.keys: list[pa.Array] = []
+        self.arrived: list[np.ndarray] = []  # the hashes in order of arrival
 
     def add(self, grams: Grams, names: list[str], at: np.ndarray, width: np.ndarray, hashes: np.ndarray) -> None:
         hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
@@ -264,14 +266,26 @@ class Tally:
         rows = len(self.counts) + np.arange(len(new))
         self.hashes, self.rows = np.insert(self.hashes, place[~held], hashes[~held]), np.insert(self.rows, place[~held], rows)
         self.counts = np.concatenate([self.counts, counts[~held]])
+        self.arrived.append(hashes[~held])
         langs = pa.array(names, pa.large_string()).take(pa.array(grams.codes[grams.text[at[new]]]))
         self.keys.append(pc.binary_join_element_wise(langs, grams.phrases(at[new], width[new]), pa.scalar("\n", pa.large_string())))
 
-    def flushed(self) -> pa.RecordBatch:
-        keys = pa.concat_arrays(self.keys) if self.keys else pa.array([], pa.large_string())
-        batch = pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(self.counts)], ["key", "n"])
+    def flushed(self, bits: int, totals: dict[str, int]) -> pa.RecordBatch:
+        """part, held: the phrases of each hash partition in order, with their counts, as a compressed Arrow stream."""
+        keys = [*self.keys, pa.array([f"{k}\n" for k in totals], pa.large_string())]
+        keys, counts = pa.concat_arrays(keys), np.concatenate([self.counts, list(totals.values())]).astype(np.int64)
+        part = np.concatenate([*[_part(h, bits) for h in self.arrived], np.zeros(len(totals), dtype=np.int64)])
         self.clear()
-        return batch
+        order = np.argsort(part, kind="stable")
+        bounds = _firsts(part[order])
+        held = []
+        for rows in np.split(order, bounds[1:]) if len(order) else []:
+            own = pa.table({"key": keys.take(pa.array(rows)), "n": counts[rows]}).sort_by("key")
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(own.combine_chunks())
+            held.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(part[order][bounds].astype(np.int32)), pa.array(held, pa.binary())], ["part", "held"])
 
 
 def frequent_phrases(docs: DataFrame, widths: int = 3, threshold: int = 10) -> DataFrame:
@@ -280,8 +294,8 @@ def frequent_phrases(docs: DataFrame, widths: int = 3, threshold: int = 10) -> D
     A key is the language, a line feed and the phrase. Besides, one row per language has an empty
     phrase and the number of all its words.
     """
-    bits, bitmap = survivors(docs, widths, threshold)
-    shift = np.uint64(64 - bits)
+    bits, own, bitmap = survivors(docs, widths, threshold)
+    shift = np.uint64(64 - bits - own)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,13 +312,17 @@ def frequent_phrases(docs: DataFrame, widths: int = 3, threshold: int = 10) -> D
                     found.append((at[passed], np.full(int(passed.sum()), width), hashes[passed]))
                 tally.add(grams, names, *(np.concatenate(x) for x in zip(*found)))
                 if len(tally.counts) > PHRASES:
-                    yield tally.flushed()
-        yield tally.flushed()
-        some = {f"{k}\n": n for k, n in totals.items() if n}
-        yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.int64())], ["key", "n"])
+                    yield tally.flushed(bits, {})
+        yield tally.flushed(bits, {k: n for k, n in totals.items() if n})
 
-    counted = _lang_and_text(docs).mapInArrow(run, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    kept = written(counted.where((F.col("n") >= threshold) | F.col("key").endswith("\n")), "phrases")
+    def counted(parts: pa.Table) -> pa.Table:
+        rows = pa.concat_tables([pa.ipc.open_stream(held.as_py()).read_all() for held in parts["held"]])
+        rows = rows.group_by("key").aggregate([("n", "sum")])
+        rows = rows.filter(pc.or_(pc.greater_equal(rows["n_sum"], threshold), pc.ends_with(rows["key"], "\n")))
+        return pa.table({"key": rows["key"].cast(pa.string()), "n": rows["n_sum"]})
+
+    tallied = _lang_and_text(docs).mapInArrow(run, "part int, held binary")
+    kept = written(tallied.groupBy("part").applyInArrow(counted, "key string, n bigint"), "phrases")
     sent.destroy()
     return kept
 
