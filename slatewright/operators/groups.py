@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def top_k(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank_as: str = "rank", dense: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int | Column, rank_as: str = "rank", dense: bool = False
 ) -> DataFrame:
     """First ``k`` rows per key. The rank filter is applied by Spark on the map
     side too (window group limit), so a large group never reaches one task."""

@@ -10,6 +10,8 @@ so users are shuffled once and items are never paired with users beyond the list
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -305,14 +307,86 @@ def retrieve(
     return blend(lists.where(F.col("_e").isNotNull()).select("user_id", "_e.*"), final_k)
 
 
-def blend(candidates: DataFrame, final_k: int = 50) -> DataFrame:
+def retrieve_each(
+    impressions: DataFrame,
+    asks: DataFrame,
+    each_k: Column,
+    final_k: Column,
+    most: int,
+    head: int = HEAD_ITEMS,
+    item_columns: DataFrame | None = None,
+) -> DataFrame:
+    """Blended candidates for every ask (user_id, limit), whose lists have lengths of their own.
+
+    ``each_k`` and ``final_k`` are expressions of the ask's ``limit``; ``each_k`` is at most ``most``.
+    The lists are built once at that length, in order, and each ask takes their beginnings, with the
+    scores that lists of its length have. The log is read once whatever the limits are.
+    """
+    pairs = written(pair_base(impressions), "pairs")
+    base = written(
+        pairs.groupBy("item_id", "category", "source").agg(
+            F.sum("clicks").alias("clicks"), F.sum("shown").alias("shown"), F.max("newest").alias("newest")
+        ),
+        "items",
+    )
+    stats = _rolled(base, "item_id")
+    prefs = _preferences(pairs).withColumn("_known", F.lit(True))
+
+    def listing(df: DataFrame, order: list[Column], name: str, *keys: str) -> DataFrame:
+        placed = df.withColumn("_at", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+        placed = _with_item(placed, item_columns)
+        return placed.groupBy(*keys).agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("_at", _entry(placed).alias("entry")))), lambda x: x["entry"]).alias(name)
+        )
+
+    best = [F.desc("retrieval_score"), F.asc("item_id")]
+    newest = recent(stats, most)
+    # popular lists are ordered by more than their score, so their rows come with their places
+    top = stats.orderBy(*_popular_order()).limit(most).withColumn("_at", F.row_number().over(W.orderBy(*_popular_order())))
+    top = popular(stats, most).join(top.select("item_id", "_at"), "item_id")
+    popular_list = listing(top, [F.asc("_at")], "l").scalar()
+    recent_list = listing(newest, best, "l").scalar()
+    fresh_list = listing(newest.withColumn("retrieval_strategy", F.lit("unseen_recent")), best, "l").scalar()
+
+    def attributes(attribute: str, name: str) -> DataFrame:
+        # at equal clicks the order goes on by impressions and time, which the list has lost
+        rolled = _rolled(base.where(F.col(attribute).isNotNull()), attribute, "item_id")
+        places = top_k(rolled, [attribute], _popular_order(), most, "_at").select(F.col(attribute).alias("key"), "item_id", "_at")
+        return listing(by_attribute(base, attribute, most).join(places, ["key", "item_id"]), [F.asc("_at")], name, "key")
+
+    own = _unseen_lists(pairs, stats, most, head, item_columns)
+    by_score = "(a, b) -> case when a.retrieval_score > b.retrieval_score then -1 when a.retrieval_score < b.retrieval_score then 1 else 0 end"
+    own = own.select("user_id", F.expr(f"array_sort(_own, {by_score})").alias("_own"))
+    rows = (
+        asks.select("user_id", "limit").distinct()
+        .join(prefs.join(own, "user_id", "left"), "user_id", "left")
+        .join(attributes("category", "_cat"), F.col("preferred_category") == F.col("key"), "left")
+        .drop("key")
+        .join(attributes("source", "_src"), F.col("preferred_source") == F.col("key"), "left")
+    )
+    cut = lambda name, entries: F.slice(entries, 1, each_k).alias(name)
+    unseen_list = F.when(F.col("_known"), F.col("_own")).otherwise(fresh_list)
+    # the shared lists become columns first, as a subquery may not stand within a transform
+    cuts = rows.select(
+        "user_id", "limit", cut("_top", popular_list), cut("_new", recent_list), cut("_own", unseen_list),
+        cut("_cat", F.col("_cat")), cut("_src", F.col("_src")),
+    )
+    placed = lambda name: F.transform(  # noqa: E731  newest first: n, n - 1, ... 1
+        name, lambda e, i: e.withField("retrieval_score", (F.size(name) - i).cast("double"))
+    )
+    lists = F.array("_top", placed("_new"), placed("_own"), "_cat", "_src")
+    entries = cuts.select("user_id", "limit", F.explode_outer(F.flatten(F.array_compact(lists))).alias("_e"))
+    return blend(entries.where(F.col("_e").isNotNull()).select("user_id", "limit", "_e.*"), final_k, ["user_id", "limit"])
+
+
+def blend(candidates: DataFrame, final_k: int | Column = 50, keys: Sequence[str] = ("user_id",)) -> DataFrame:
     """Merge strategies per (user, item): best weighted score, strategy count, last known attributes."""
     place, weight = F.lit(len(STRATEGY_WEIGHTS)), F.lit(1.0)
     for i, (name, value) in enumerate(STRATEGY_WEIGHTS.items()):
         place = F.when(F.col("retrieval_strategy") == name, F.lit(i)).otherwise(place)
         weight = F.when(F.col("retrieval_strategy") == name, F.lit(value)).otherwise(weight)
     scored = candidates.withColumns({"_place": place, "_blended": F.coalesce("retrieval_score", F.lit(0.0)) * weight})
-    merged = scored.groupBy("user_id", "item_id").agg(
+    merged = scored.groupBy(*keys, "item_id").agg(
         F.max("_blended").alias("blended_retrieval_score"),
         F.max("retrieval_score").alias("retrieval_score_raw"),
         F.max("last_seen_time").alias("last_seen_time"),
@@ -328,4 +402,4 @@ def blend(candidates: DataFrame, final_k: int = 50) -> DataFrame:
         F.desc_nulls_last("last_seen_time"),
         F.asc("item_id"),
     ]
-    return top_k(merged, ["user_id"], order, final_k, "retrieval_rank")
+    return top_k(merged, keys, order, final_k, "retrieval_rank")

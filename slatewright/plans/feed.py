@@ -14,7 +14,7 @@ from slatewright.functions import scalars as S
 from slatewright.functions import vectors as V
 from slatewright.operators.groups import latest_row
 from slatewright.operators.rerank import rerank_v1, rerank_v2
-from slatewright.operators.retrieval import HEAD_ITEMS, retrieve
+from slatewright.operators.retrieval import HEAD_ITEMS, retrieve, retrieve_each
 from slatewright.plans.features import COUNTED_TYPES, context_columns
 from slatewright.schemas import existing
 from slatewright.session import written
@@ -160,6 +160,7 @@ def feature_frame(candidates: DataFrame, training: DataFrame, tie: list[str]) ->
     own = {"source", "category"} & set(columns)
     return rows.select(
         "user_id",
+        *existing(candidates, ["limit"]),
         "item_id",
         *[F.coalesce(F.col(c), F.col(f"_row.{c}")).alias(c) if c in own else F.col(f"_row.{c}").alias(c) for c in columns],
         *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in RETRIEVAL_FEATURES],
@@ -235,6 +236,21 @@ def rank_feed_v2(
     candidates = retrieve(
         impressions, users, max(10, 2 * limit), max(20, 3 * limit), head=head, item_columns=items
     )
+    return _ranked(candidates, training, ["user_id"], limit, F.lit(limit), scorer, online_users, online_items, tie)
+
+
+def _ranked(
+    candidates: DataFrame,
+    training: DataFrame,
+    slate: list[str],
+    most: int,
+    limit: Column,
+    scorer: Scorer,
+    online_users: DataFrame | None,
+    online_items: DataFrame | None,
+    tie: list[str],
+) -> DataFrame:
+    """Features, online values, scores and diversity for every slate of candidates, and its first ``limit`` rows (``most`` at most)."""
     frame = feature_frame(candidates, training, tie)
     frame = serving_columns(frame)
     if online_items is not None:
@@ -250,10 +266,10 @@ def rank_feed_v2(
         frame = online.overlay(frame, online_users, None)
     elif online_items is not None:
         frame = online.refresh_derived(frame)
-    # the slate is at most 3 * limit rows, so counting it per user is a small window
-    frame = frame.withColumn("candidate_count", F.count(F.lit(1)).over(W.partitionBy("user_id")).cast("int"))
+    # the slate is at most 3 * limit rows, so counting it is a small window
+    frame = frame.withColumn("candidate_count", F.count(F.lit(1)).over(W.partitionBy(*slate)).cast("int"))
     scored = score_v2(frame, scorer).select(
-        "user_id",
+        *slate,
         "item_id",
         "source",
         "category",
@@ -262,10 +278,11 @@ def rank_feed_v2(
         "model_score",
         "candidate_count",
     )
-    return rerank_v2(scored, ["user_id"], limit, bounded=True).select(
-        "user_id",
+    # picks don't depend on how many follow, so a shorter feed is the beginning of a longer one
+    return rerank_v2(scored, slate, most, bounded=True).where(F.col("rank") <= limit).select(
+        *slate,
         "candidate_count",
-        F.least(F.col("candidate_count"), F.lit(limit)).alias("returned_count"),
+        F.least(F.col("candidate_count"), limit).alias("returned_count"),
         "item_id",
         "source",
         "category",
@@ -292,16 +309,28 @@ def serve_v1(feed: DataFrame, requests: DataFrame) -> DataFrame:
     return rows.unionByName(invalid, allowMissingColumns=True)
 
 
-def serve_v2(impressions: DataFrame, training: DataFrame, requests: DataFrame, **options) -> DataFrame:
-    """Requests answered by the second-generation feed. The candidate pool depends on the
-    limit, so there is one plan per distinct valid limit (at most 50 values). A request with an
-    invalid limit is one row with that ``status`` and no item."""
+def serve_v2(
+    impressions: DataFrame,
+    training: DataFrame,
+    requests: DataFrame,
+    scorer: Scorer = None,
+    online_users: DataFrame | None = None,
+    online_items: DataFrame | None = None,
+    tie: tuple[str, ...] = ("impression_id",),
+    head: int = HEAD_ITEMS,
+) -> DataFrame:
+    """Requests (user_id, session_id, limit) answered by the second-generation feed, all in one plan.
+
+    The candidate pool depends on the limit, which goes as a column through list cuts, blend and
+    slate. Requests of one user and limit share a feed. A request with an invalid limit is one row
+    with that ``status`` and no item.
+    """
     valid, invalid = _sorted_out(requests)
-    limits = sorted(r["limit"] for r in valid.select("limit").distinct().collect())
-    served = None
-    for limit in limits or [1]:
-        group = valid.where(F.col("limit") == limit).select("user_id", "session_id", "status")
-        feed = rank_feed_v2(impressions, training, group.drop("status"), limit, **options)
-        rows = group.join(feed, "user_id")
-        served = rows if served is None else served.unionByName(rows)
-    return served.unionByName(invalid.drop("limit"), allowMissingColumns=True)
+    limit = F.col("limit")
+    items = written(item_side(training, list(tie), online_items), "item_rows")
+    candidates = retrieve_each(
+        impressions, valid, F.greatest(F.lit(10), 2 * limit), F.greatest(F.lit(20), 3 * limit), 2 * MAX_LIMIT, head, items
+    )
+    feed = _ranked(candidates, training, ["user_id", "limit"], MAX_LIMIT, limit, scorer, online_users, online_items, list(tie))
+    served = valid.select("user_id", "session_id", "limit", "status").join(feed, ["user_id", "limit"])
+    return served.unionByName(invalid, allowMissingColumns=True)

@@ -206,6 +206,40 @@ bl AS (
   FROM bl0 QUALIFY retrieval_rank <= {final})"""
 
 
+def _blended_each() -> str:
+    """As ``_blended``, with lists and slates as long as each user's limit asks for, 50 at most."""
+    at = "row_number() OVER ({}ORDER BY clicks DESC, shown DESC, last_seen_time DESC, item_id) AS pos"
+    lists = "".join(
+        f""",
+{name} AS (SELECT *, {at.format('PARTITION BY key ')} FROM (
+  SELECT {column} AS key, item_id, sum(clicked) AS clicks, count(*) AS shown, max(impression_time) AS last_seen_time,
+    arg_max(source, (impression_time, event_id)) AS source, arg_max(category, (impression_time, event_id)) AS category
+  FROM im WHERE {column} IS NOT NULL GROUP BY 1, 2))"""
+        for name, column in (("cat", "category"), ("src", "source"))
+    )
+    return f"""{ITEM_BASE.format(log='im')}, {PREFS},
+lim AS (SELECT pf.*, CAST(user_id % 60 - 4 AS int) AS "limit", greatest(10, 2 * (user_id % 60 - 4)) AS each_k,
+  greatest(20, 3 * (user_id % 60 - 4)) AS final_k FROM pf WHERE user_id % 60 - 4 BETWEEN 1 AND 50),
+pop AS (SELECT *, {at.format('')} FROM st),
+rcn AS (SELECT *, row_number() OVER (ORDER BY last_seen_time DESC, item_id) AS pos, count(*) OVER () AS n FROM st),
+uns AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM (
+  SELECT u.user_id, st.*, row_number() OVER (PARTITION BY u.user_id ORDER BY last_seen_time DESC, st.item_id) AS pos
+  FROM lim u, st WHERE NOT EXISTS (SELECT 1 FROM im s WHERE s.user_id = u.user_id AND s.item_id = st.item_id))){lists},
+cand AS (
+  SELECT user_id, item_id, last_seen_time, source, category, CAST(clicks AS double) AS score, 0 AS place, 1.00 AS weight FROM lim, pop WHERE pos <= each_k
+  UNION ALL SELECT user_id, item_id, last_seen_time, source, category, CAST(least(n, each_k) - pos + 1 AS double), 1, 0.90 FROM lim, rcn WHERE pos <= each_k
+  UNION ALL SELECT user_id, item_id, last_seen_time, source, category, CAST(least(n, each_k) - pos + 1 AS double), 2, 0.95 FROM lim JOIN uns USING (user_id) WHERE pos <= each_k
+  UNION ALL SELECT user_id, item_id, last_seen_time, source, category, CAST(clicks AS double), 3, 1.10 FROM lim JOIN cat ON preferred_category = key WHERE pos <= each_k
+  UNION ALL SELECT user_id, item_id, last_seen_time, source, category, CAST(clicks AS double), 4, 1.05 FROM lim JOIN src ON preferred_source = key WHERE pos <= each_k),
+bl0 AS (
+  SELECT user_id, item_id, max(score * CAST(weight AS double)) AS blended_retrieval_score, max(last_seen_time) AS last_seen_time,
+    arg_max(source, place) AS source, arg_max(category, place) AS category, count(DISTINCT place) AS strategies
+  FROM cand GROUP BY 1, 2),
+bl AS (
+  SELECT bl0.* FROM bl0 JOIN lim USING (user_id)
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strategies DESC, blended_retrieval_score DESC, bl0.last_seen_time DESC, item_id) <= final_k)"""
+
+
 def _greedy(slate: str, tie: str, k: int, wc: float, ws: float, tie_type: str, slate_type: str) -> str:
     """Recursive greedy picks over CTE pool(slate, tie, category, source, score)."""
     cp = f"{wc} * len(list_filter(g.cats, lambda x: x = p.category))"
@@ -564,7 +598,7 @@ WHERE a."limit" BETWEEN 1 AND 50 AND g.step BETWEEN 1 AND a."limit"
 UNION ALL SELECT *, 'invalid limit', NULL, NULL, NULL FROM asking WHERE "limit" NOT BETWEEN 1 AND 50"""
 
 
-def _feed_v2(user_row: str) -> str:
+def _feed_v2(user_row: str, blended: str = _blended(20, 30), most: int = 10, limit: str = "10") -> str:
     """``user_row``: which alias supplies the user's columns (item row offline, user row online)."""
     return (
         "WITH RECURSIVE "
@@ -572,7 +606,7 @@ def _feed_v2(user_row: str) -> str:
             [
                 *E_TRAIN,
                 VEC,
-                _blended(20, 30),
+                blended,
                 _LU.replace("FROM tr", "FROM emb"),
                 _LI.replace("FROM tr", "FROM emb"),
                 f"""cf AS (SELECT b.user_id, b.item_id, b.source, b.category, b.blended_retrieval_score,
@@ -583,10 +617,10 @@ def _feed_v2(user_row: str) -> str:
 cs AS (SELECT *, {_HEUR.format(c='cm', s='sm')} AS model_score FROM cf),
 pool AS (SELECT user_id AS slate, item_id AS tie, category, source,
   model_score + 0.05 * blended_retrieval_score + 0.20 * recency_decay AS score FROM cs)""",
-                _greedy("slate", "tie", 10, 0.05, 0.05, "int", "bigint"),
+                _greedy("slate", "tie", most, 0.05, 0.05, "int", "bigint"),
             ]
         )
-        + """ SELECT c.user_id, c.candidate_count, least(c.candidate_count, 10) AS returned_count, c.item_id, c.source,
+        + f""" SELECT c.user_id, c.candidate_count, CAST(least(c.candidate_count, {limit}) AS int) AS returned_count, c.item_id, c.source,
   c.category, round(c.blended_retrieval_score, 6) AS blended_retrieval_score, round(c.model_score, 6) AS model_score,
   round(g.fs, 6) AS final_score, CAST(g.step AS int) AS rank
 FROM g JOIN cs c ON g.slate = c.user_id AND g.tie = c.item_id WHERE g.step > 0"""
@@ -594,6 +628,14 @@ FROM g JOIN cs c ON g.slate = c.user_id AND g.tie = c.item_id WHERE g.step > 0""
 
 
 ORACLE["rank_feed_v2"] = _feed_v2("li")
+ORACLE["rank_feed_requests_v2"] = (
+    "SELECT * FROM (SELECT lim.session_id, lim.\"limit\", 'ok' AS status, f.* FROM ("
+    + _feed_v2("li", _blended_each(), 50, "user_id % 60 - 4")
+    + """) f JOIN (SELECT DISTINCT user_id, concat('r', user_id) AS session_id, CAST(user_id % 60 - 4 AS int) AS "limit" FROM events) lim USING (user_id)
+WHERE f.rank <= lim."limit")
+UNION ALL BY NAME SELECT DISTINCT user_id, concat('r', user_id) AS session_id, CAST(user_id % 60 - 4 AS int) AS "limit", 'invalid limit' AS status
+FROM events WHERE event_type IN ('view', 'click') AND user_id % 60 - 4 NOT BETWEEN 1 AND 50"""
+)
 ORACLE["rank_feed_v2_online"] = _feed_v2("lu")
 
 # --- policies and metrics ------------------------------------------------------------------------------

@@ -597,6 +597,17 @@ def rank_feed_v2(spark, folder):
     return r6(ranked, "blended_retrieval_score", "model_score", "final_score")
 
 
+@query
+def rank_feed_requests_v2(spark, folder):
+    """A request per user, with limits from -4 to 55, answered by the second generation in one plan."""
+    rows, shown = written(embedded(spark, folder), "training"), B.impressions(spark, folder)
+    asking = shown.select("user_id").distinct()
+    session = F.concat(F.lit("r"), F.col("user_id").cast("string"))
+    requests = asking.select("user_id", session.alias("session_id"), (F.col("user_id") % 60 - 4).cast("int").alias("limit"))
+    served = feed.serve_v2(shown, rows, requests, tie=TIE)
+    return r6(served, "blended_retrieval_score", "model_score", "final_score")
+
+
 @query
 def rank_feed_v2_online(spark, folder):
     """The feed with online user and item values laid over the offline ones."""
