@@ -122,7 +122,32 @@ targets AS (
     WHEN regexp_matches(tag, '(?i)http-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1)
   END, '&amp;', '&') AS target FROM tags
 ),
-links AS (SELECT DISTINCT {_node("url")} AS a, {_node("target")} AS b FROM targets WHERE contains(target, '://')),
+bases AS (
+  SELECT url, regexp_replace(trim(target), '(?s)#.*$', '') AS target, regexp_extract(url, '^(?s)(.*?://[^/?#]*)', 1) AS site,
+    substr(regexp_replace(url, '(?s)[?#].*$', ''), length(site) + 1) AS path FROM targets WHERE target IS NOT NULL
+),
+whole AS (
+  SELECT url, CASE
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR target = '' OR site = '' THEN NULL
+    WHEN starts_with(target, '//') THEN regexp_extract(site, '^(?s)(.*?:)//', 1) || target
+    WHEN starts_with(target, '/') THEN site || target
+    WHEN starts_with(target, '?') THEN site || path || target
+    ELSE site || regexp_replace(path, '(?s)[^/]*$', '') || if(contains(path, '/'), '', '/') || target
+  END AS target FROM bases
+),
+parts AS (
+  SELECT url, target, regexp_extract(target, '^(?s)(.*?://[^/?]*)', 1) AS head, regexp_extract(target, '(?s)(\?.*)$', 1) AS query,
+    regexp_replace(substr(target, length(head) + 1), '(?s)\?.*$', '') AS path FROM whole
+),
+plain AS (
+  SELECT url, CASE WHEN regexp_matches(path, '(^|/)[.][.]?(/|$)') THEN head || list_reduce(
+      list_prepend('', string_split(path, '/')[2:]),
+      lambda kept, s: CASE WHEN s = '.' THEN kept WHEN s = '..' THEN regexp_replace(kept, '/[^/]*$', '') ELSE kept || '/' || s END
+    ) || if(string_split(path, '/')[-1] IN ('.', '..'), '/', '') || query ELSE target END AS target
+  FROM parts
+),
+links AS (SELECT DISTINCT {_node("url")} AS a, {_node("target")} AS b FROM plain WHERE contains(target, '://')),
 ties AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reached(a, b) AS (SELECT a, a FROM ties UNION SELECT r.a, e.b FROM reached r JOIN ties e ON e.a = r.b),
 addresses AS (SELECT DISTINCT a AS node, {_address("a")} FROM ties),

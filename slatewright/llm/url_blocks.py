@@ -53,8 +53,44 @@ def _node(url: Column) -> Column:
     return F.concat(F.translate(head, _UPPER, _UPPER.lower()), F.substr(whole, F.length(head) + 1))
 
 
+def resolved(base: Column, target: Column) -> Column:
+    """A target against the url it was found at: absolute, ``//host/x``, ``/x``, ``?x`` or relative to the url's folder.
+
+    Dot segments of the path go. Null for an empty target, one of a fragment alone, one of a scheme
+    without ``://``, and a relative one on a url without ``://``.
+    """
+    whole = F.regexp_replace(F.trim(target), r"(?s)#.*$", "")
+    site = F.regexp_extract(base, r"^(?s)(.*?://[^/?#]*)", 1)
+    path = F.substr(F.regexp_replace(base, r"(?s)[?#].*$", ""), F.length(site) + 1)
+    folder = F.concat(F.regexp_replace(path, "(?s)[^/]*$", ""), F.when(path.contains("/"), "").otherwise("/"))
+    schemed = whole.rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+    full = (
+        F.when(whole.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), whole)
+        .when(schemed | (whole == "") | (site == ""), F.lit(None))
+        .when(whole.startswith("//"), F.concat(F.regexp_extract(site, r"^(?s)(.*?:)//", 1), whole))
+        .when(whole.startswith("/"), F.concat(site, whole))
+        .when(whole.startswith("?"), F.concat(site, path, whole))
+        .otherwise(F.concat(site, folder, whole))
+    )
+    return _without_dots(full)
+
+
+def _without_dots(url: Column) -> Column:
+    """A url whose path has no ``.`` and ``..`` segments."""
+    head = F.regexp_extract(url, r"^(?s)(.*?://[^/?]*)", 1)
+    query = F.regexp_extract(url, r"(?s)(\?.*)$", 1)
+    path = F.regexp_replace(F.substr(url, F.length(head) + 1), r"(?s)\?.*$", "")
+    parts = F.split(path, "/")
+    step = lambda kept, s: (
+        F.when(s == ".", kept).when(s == "..", F.regexp_replace(kept, "/[^/]*$", "")).otherwise(F.concat(kept, F.lit("/"), s))
+    )
+    plain = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.lit(""), step)
+    ending = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"(^|/)[.][.]?(/|$)"), F.concat(head, plain, ending, query)).otherwise(url)
+
+
 def alias_links(pages: DataFrame) -> DataFrame:
-    """a, b: from each page's url to the absolute urls it names as redirect target or canonical address."""
+    """a, b: from each page's url to the urls it names as redirect target or canonical address, relative ones resolved."""
     low = F.coalesce("html", F.lit(""))
     tags = F.regexp_extract_all(low, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     marked = pages.where(F.col("url").isNotNull() & low.rlike(r"(?i)canonical|http-equiv"))
@@ -68,7 +104,8 @@ def alias_links(pages: DataFrame) -> DataFrame:
         F.regexp_extract("tag", r"""(?is)url\s*=\s*["']?([^"'\s>]+)""", 1),
     )
     target = F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&"))
-    found = tag.select(_node(F.col("url")).alias("a"), _node(target).alias("b"))
+    found = tag.select("url", target.alias("target")).where(F.col("target").isNotNull())
+    found = found.select(_node(F.col("url")).alias("a"), _node(resolved(F.col("url"), F.col("target"))).alias("b"))
     return found.where(F.col("b").contains("://")).distinct()
 
 
@@ -76,7 +113,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataF
     """page_id, host, path, rule, verdict of every page row.
 
     A null url or one without ``://`` has an empty host and path, fits no rule and is allowed.
-    Null html names no alias. Repeated rows are judged alike; an empty table gives no rows.
+    Null html names no alias; aliases may be relative urls. Repeated rows are judged alike; an empty table gives no rows.
     """
     links = written(alias_links(pages), "aliases")
     rows = pages.select("page_id", "url", host_of("url").alias("host"), path_of("url").alias("path"))

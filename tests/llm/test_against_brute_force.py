@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from slatewright.llm import decontaminate, licenses, personal_data, quality_rules, sentence_pieces, simhash, token_counts, url_blocks
 from slatewright.llm.queries import PIECE_MODEL, TOKENIZER, prepared, tokenizer_path
@@ -341,6 +342,48 @@ def test_url_blocks(spark, folder):
     ]
 
 
+def test_relative_urls_equal_the_standard_library(spark):
+    from urllib.parse import urldefrag, urljoin
+
+    bases = ["http://a.com/x/y?q=1", "https://b.org", "http://c.net/d/", "http://e.com/f/g/h#part"]
+    targets = ["/de/1", "//host.com/x", "?p=2", "z", "./z", "../z", "../../../z/.", "a/../b/./c/..", "z?r=http://q.com/", "HTTP://W.com"]
+    frame = spark.createDataFrame([(b, t) for b in bases for t in targets], "base string, target string")
+    got = frame.select("base", "target", url_blocks.resolved(F.col("base"), F.col("target")).alias("r")).collect()
+    for r in got:
+        assert r.r == urldefrag(urljoin(r.base, r.target))[0].replace("http://W", "HTTP://W"), (r.base, r.target)
+    dots = spark.createDataFrame([("http://a.com/", "http://w.com/a/../b?x=../y")], "base string, target string")
+    assert dots.select(url_blocks.resolved(F.col("base"), F.col("target"))).first()[0] == "http://w.com/b?x=../y"
+    none = spark.createDataFrame([("http://a.com/", "#x"), ("http://a.com/", "mailto:a@b.c"), ("no host", "/x"), ("http://a.com/", None)], "base string, target string")
+    assert {r[0] for r in none.select(url_blocks.resolved(F.col("base"), F.col("target"))).collect()} == {None}
+
+
+def test_url_blocks_by_relative_links_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from slatewright.llm.oracle import ORACLE
+
+    link, moved = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    pages = [
+        (1, "http://a.com/x", moved.format("/de/1")),
+        (2, "http://b.com/x/y", link.format("../de/2")),
+        (3, "http://c.net/3", link.format("//d.com/de/3")),
+        (4, "http://c.net/4", moved.format("?again=1")),
+        (5, "http://c.net/4?again=1", link.format("http://e.com/de/5")),
+        (6, "http://f.net/6", link.format("mailto:x@y.z")),
+        (7, "http://shop.com/fr/7", link.format("/other")),
+        (8, "http://shop.com/other", link.format("/de/8")),
+        (9, None, moved.format("/de/9")),
+        (10, "no host", link.format("/de/1")),
+    ]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").selectExpr("*", "1 AS host", "'x' AS node", "0 AS tag")
+    got = sorted(tuple(r) for r in url_blocks.judged(df).collect())
+    assert [r[4] for r in got] == ["block"] * 5 + ["allow"] * 5
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    assert sorted(con.execute(ORACLE["op8_url_blocks"]).fetchall()) == got
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
