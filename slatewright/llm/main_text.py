@@ -1,16 +1,17 @@
-"""Main text of web pages: marked-up articles first, repeated runs of a host taken out elsewhere.
+"""Main text of web pages: marked blocks, less the runs that repeat across the pages of a host.
 
-1. Every page is cut into blocks, and each block is marked: *main* (inside an article or main
+1. Every page is parsed once into blocks, each with a mark: *main* (inside an article or main
    element), *chrome* (menus, headers, footers, sidebars, notices, adverts, forms, comments) or
-   *open* (nothing in the markup tells).
-2. A page with a main element is settled: its main blocks are the text, repeated or not, since
-   passages quoted on several pages are still text.
-3. For hosts that have other pages, the token streams of all their pages' open and chrome blocks
-   form one suffix array, ordered by the first ``RUN`` tokens of each suffix. Neighbours that
-   agree in them, from different pages, are long substrings that repeat across pages. Suffixes
-   are dealt out by host *and* leading tokens, and each task merges what it holds before the
-   exchange, so a host with very many pages is spread over all tasks.
-4. Tokens of open blocks that such a substring covers are boilerplate; the unique runs stay.
+   *open* (nothing in the markup tells). A page with main blocks keeps those, any other its open
+   blocks.
+2. The token streams of a host's pages form one suffix array, ordered by the leading ``RUN`` tokens of
+   each suffix; neighbours that agree in them, from different pages, are long substrings that
+   repeat across pages. A main block is one run as a whole. Suffixes are dealt out by host, leading
+   tokens *and* page before they are counted, so a host with very many pages, or a line that all of
+   them have, is spread over all tasks.
+3. Tokens of open blocks that such a substring covers are boilerplate. Pages also quote one another
+   inside their articles, so a main block is boilerplate only if it stands on ``MAIN_PAGES`` pages of
+   the host and on half of them; the unique runs stay.
 
 Pages with the same token stream count as one page, so copies don't make each other boilerplate.
 """
@@ -30,6 +31,7 @@ from slatewright.llm import textbytes as tb
 from slatewright.session import written
 
 RUN = 6
+MAIN_PAGES = 5
 MAIN, OPEN, CHROME = 0, 1, 2
 
 # fixed values: HTML element names by role
@@ -60,20 +62,37 @@ CHROME_NAMES = {
     "pagination", "pager", "toolbar", "masthead", "topbar",
 }
 
+# fixed values: parts of a class name after which it doesn't name chrome
+NEGATING_PARTS = {"with", "has", "no", "not", "without"}
+LAYOUT_PARTS = {"main", "content", "wrapper", "container", "layout", "open", "page", "body", "article", "text"}
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)", re.S
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
-def _is_chrome(name: str, attributes: str, in_main: bool) -> bool:
+def names_chrome(value: str, parts: bool = True) -> bool:
+    """Whether a class or id names chrome: by a whole name, or by its first or last part (``cookie-banner``, ``main-menu``)."""
+    for name in value.split():
+        if name in CHROME_NAMES:
+            return True
+        own = re.split("[-_]+", name)
+        if not parts or len(own) < 2 or not NEGATING_PARTS.isdisjoint(own):
+            continue
+        if own[-1] in CHROME_NAMES or own[0] in CHROME_NAMES and own[-1] not in LAYOUT_PARTS:
+            return True
+    return False
+
+
+def _is_chrome(name: str, attributes: str, in_main: bool, trust: int) -> bool:
     if name in CHROME_ELEMENTS or name == "header" and not in_main:
         return True
     if not attributes.strip():
         return False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
-        if key in ("class", "id") and name not in WHOLE_ELEMENTS and not CHROME_NAMES.isdisjoint(value.split()):
+        if key in ("class", "id") and trust and name not in WHOLE_ELEMENTS and names_chrome(value, trust > 1):
             return True
         if key == "role" and value in CHROME_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
@@ -82,8 +101,27 @@ def _is_chrome(name: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
+_MAIN_TAG = re.compile(rf"<(?:{'|'.join(sorted(MAIN_ELEMENTS))})\b", re.I)
+
+
 def page_blocks(source: str) -> list[tuple[str, int]]:
-    """(text, mark) of every block with text, in page order. Anything that is not markup is text."""
+    """(text, mark) of every block with text, in page order. Anything that is not markup is text.
+
+    Where class names would take away all of a page's main elements, parts of names don't count,
+    and if that is not enough, no class or id does.
+    """
+    found = _blocks(source, 2)
+    if _MAIN_TAG.search(source):
+        for trust in (1, 0):
+            if any(mark == MAIN for _, mark in found):
+                break
+            less = _blocks(source, trust)
+            found = less if any(mark == MAIN for _, mark in less) else found
+    return found
+
+
+def _blocks(source: str, trust: int) -> list[tuple[str, int]]:
+    """The blocks with class names taken by their parts (2), whole (1) or not at all (0)."""
     out: list[tuple[str, int]] = []
     held: list[str] = []
     opened: list[str] = []  # all open elements
@@ -138,7 +176,7 @@ def page_blocks(source: str) -> list[tuple[str, int]]:
                 leave({"p"}, BLOCK_ELEMENTS - {"p"})
             if ends:
                 leave(ends, bounds)
-        starts = not ending and not chrome and _is_chrome(name, attributes, depth > 0)
+        starts = not ending and not chrome and _is_chrome(name, attributes, depth > 0, trust)
         if name in BLOCK_ELEMENTS or starts:
             close()
         if ending:
@@ -156,11 +194,6 @@ def page_blocks(source: str) -> list[tuple[str, int]]:
     return out
 
 
-def _stream(blocks: list[tuple[str, int]]) -> list[list[str]]:
-    """Tokens of the blocks that may be boilerplate."""
-    return [text.split() for text, mark in blocks if mark != MAIN]
-
-
 def _windows(tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of the leading tokens of each suffix, with its block and place; a short block is one suffix."""
     hashes, block, place = [], [], []
@@ -173,120 +206,104 @@ def _windows(tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return tuple(np.concatenate(x) if x else empty for x in (hashes, block, place))
 
 
-def _suffixes(pages: DataFrame) -> DataFrame:
-    """host, key, low, high: leading tokens of suffixes with the smallest and largest page they are in."""
+def _host() -> F.Column:
+    return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?s).*?://([^/?#]*)", 1))
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """row, page_id, url, host, owner, main, texts, marks of every page, parsed once and written.
+
+    owner: a hash of all blocks, equal for copies; main: the page has main blocks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, keys, owners = [], [], []
-            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, _, _ = _windows(_stream(page_blocks(source or "")))
-                whole = tb.text_hashes([" ".join(t for t, _ in page_blocks(source or ""))])
-                found = np.unique(found)
-                hosts += [host] * len(found)
-                keys.append(found)
-                owners.append(np.repeat(whole, len(found)))
-            if hosts:
-                key, owner = np.concatenate(keys).astype(np.uint64).view(np.int64), np.concatenate(owners).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(key), pa.array(owner)], ["host", "key", "owner"])
+            found = [page_blocks(source or "") for source in batch.column(4).to_pylist()]
+            texts, marks = [[t for t, _ in own] for own in found], [[m for _, m in own] for own in found]
+            owner = tb.text_hashes([" ".join(own) for own in texts]).view(np.int64)
+            main = [MAIN in own for own in marks]
+            more = [pa.array(owner), pa.array(main), pa.array(texts, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *more], ["row", "page_id", "url", "host", "owner", "main", "texts", "marks"])
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, key bigint, owner bigint")
-    return rows.groupBy("host", "key").agg(F.min("owner").alias("low"), F.max("owner").alias("high"))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", _host().alias("host"), "html")
+    schema = f"row bigint, page_id {kind}, url string, host string, owner bigint, main boolean, texts array<string>, marks array<int>"
+    return written(rows.mapInArrow(run, schema), "parsed")
 
 
-def _settled(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, text, undecided: text is the main blocks; undecided pages have open blocks and no main."""
+def _suffixes(parsed: DataFrame, main: bool) -> DataFrame:
+    """row, host, owner, key, block, place of runs: main blocks as a whole, or the suffixes of all other blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, undecided = [], []
-            for source in batch.column(3).to_pylist():
-                blocks = page_blocks(source or "")
-                marks = {mark for _, mark in blocks}
-                texts.append("\n".join(text for text, mark in blocks if mark == MAIN))
-                undecided.append(MAIN not in marks and OPEN in marks)
+            counts, keys, block, place = [], [], [], []
+            for texts, marks in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                at = [k for k, m in enumerate(marks) if (m == MAIN) == main]
+                if main:
+                    own = tb.text_hashes([texts[k] for k in at]), np.array(at, dtype=np.int64), np.zeros(len(at), dtype=np.int64)
+                else:
+                    hashes, number, start = _windows([texts[k].split() for k in at])
+                    own = hashes, np.array(at, dtype=np.int64)[number.astype(np.int64)], start
+                counts.append(len(own[0]))
+                for held, more in zip((keys, block, place), own):
+                    held.append(more)
+            of = pa.array(np.repeat(np.arange(len(counts)), counts))
+            columns = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (keys, block, place)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(texts, pa.string()), pa.array(undecided)],
-                ["page_id", "url", "host", "text", "undecided"],
-            )
+                [*(batch.column(k).take(of) for k in range(3)), pa.array(columns[0].astype(np.uint64).view(np.int64)), *(pa.array(c.astype(np.int32)) for c in columns[1:])],
+                ["row", "host", "owner", "key", "block", "place"],
+            )
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    rows = pages.select("page_id", "url", "host", "html")
-    return rows.mapInArrow(run, f"page_id {kind}, url string, host string, text string, undecided boolean")
+    rows = parsed.select("row", "host", "owner", "texts", "marks")
+    return rows.mapInArrow(run, "row bigint, host string, owner bigint, key bigint, block int, place int")
 
 
-def _host() -> F.Column:
-    return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?s).*?://([^/?#]*)", 1))
+def _counted(suffixes: DataFrame) -> DataFrame:
+    """host, key, n: on how many distinct pages of the host a run stands; merged by page first, so that no run is one task."""
+    return suffixes.select("host", "key", "owner").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every page row; text is empty where nothing is left.
 
     Null html counts as empty, a null url as the host "". Rows with the same page_id are kept
-    apart. Ties don't arise. An empty table gives an empty result.
+    apart. Ties don't arise. An empty table gives an empty result. Other columns are not read.
     """
-    rows = pages.select("page_id", "url", _host().alias("host"), "html")
-    settled = _settled(rows)
-    done = settled.where("not undecided").select("page_id", "url", "text")
-    # the pages whose markup doesn't tell; on most sites few or none
-    unclear = _with_number(rows)
-    if unclear.isEmpty():
-        return done
-    hosts = written(unclear.select("host").distinct(), "hosts")
-    repeated = _suffixes(rows.join(hosts, "host", "left_semi")).where("low <> high").select("host", "key")
-    windows = _own_windows(unclear)
-    covered = windows.join(repeated, ["host", "key"]).groupBy("row").agg(F.collect_list(F.struct("block", "place")).alias("covered"))
-    left = unclear.join(covered, "row", "left")
-    return done.unionByName(_unique_runs(left))
-
-
-def _with_number(rows: DataFrame) -> DataFrame:
-    """The undecided pages with their html and a number of their own, written once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for source in batch.column(3).to_pylist():
-                marks = {mark for _, mark in page_blocks(source or "")}
-                keep.append(MAIN not in marks and OPEN in marks)
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    kept = rows.mapInArrow(run, rows.schema)
-    return written(kept.withColumn("row", F.monotonically_increasing_id()), "unclear")
-
-
-def _own_windows(unclear: DataFrame) -> DataFrame:
-    """row, host, key, block, place of every suffix of the undecided pages' open blocks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, host, source in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                tokens = [text.split() for text, mark in page_blocks(source or "") if mark == OPEN]
-                keys, block, place = _windows(tokens)
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * n, pa.int64()), pa.array([host] * n, pa.string()), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(block.astype(np.int64)), pa.array(place.astype(np.int64))],
-                    ["row", "host", "key", "block", "place"],
-                )
-
-    return unclear.select("row", "host", "html").mapInArrow(run, "row bigint, host string, key bigint, block bigint, place bigint")
+    parsed = _parsed(pages)
+    size = parsed.select("host", "owner").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    runs = _suffixes(parsed, True)
+    common = _counted(runs).where(F.col("n") >= MAIN_PAGES).join(size, "host").where(2 * F.col("n") >= F.col("pages"))
+    covered = runs.join(common.select("host", "key"), ["host", "key"], "left_semi")
+    # where the markup doesn't tell: suffixes of all blocks that pages of the host have outside main elements
+    open_ = F.array_contains("marks", OPEN)
+    unclear = parsed.where(~F.col("main") & open_)
+    hosts = unclear.select("host").distinct()
+    repeated = _counted(_suffixes(parsed.join(hosts, "host", "left_semi"), False)).where("n > 1").select("host", "key")
+    covered = covered.unionByName(_suffixes(unclear, False).join(repeated, ["host", "key"], "left_semi"))
+    covered = covered.groupBy("row").agg(F.collect_list(F.struct("block", "place")).alias("covered"))
+    return _unique_runs(parsed.join(covered, "row", "left"))
 
 
 def _unique_runs(left: DataFrame) -> DataFrame:
-    """page_id, url, text: the open blocks without the covered tokens."""
+    """page_id, url, text: the main blocks, or else the open ones, without the covered tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for source, covered in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                blocks = [text.split() for text, mark in page_blocks(source or "") if mark == OPEN]
-                gone = [set() for _ in blocks]
+            out = []
+            for main, texts, marks, covered in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+                gone: dict[int, set[int]] = {}
                 for hit in covered or ():
-                    gone[hit["block"]].update(range(hit["place"], hit["place"] + RUN))
-                runs = (" ".join(t for i, t in enumerate(own) if i not in g) for own, g in zip(blocks, gone))
-                texts.append("\n".join(r for r in runs if r))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+                    gone.setdefault(hit["block"], set()).update(range(hit["place"], hit["place"] + RUN))
+                if main:
+                    runs = [t for k, (t, m) in enumerate(zip(texts, marks)) if m == MAIN and k not in gone]
+                else:
+                    runs = [
+                        t if k not in gone else " ".join(w for i, w in enumerate(t.split()) if i not in gone[k])
+                        for k, (t, m) in enumerate(zip(texts, marks)) if m == OPEN
+                    ]
+                out.append("\n".join(r for r in runs if r))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     kind = left.schema["page_id"].dataType.simpleString()
-    rows = left.select("page_id", "url", "html", "covered")
+    rows = left.select("page_id", "url", "main", "texts", "marks", "covered")
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string")
