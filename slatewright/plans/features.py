@@ -9,6 +9,7 @@ from slatewright.functions import scalars as S
 from slatewright.operators.groups import latest_row, most_frequent
 from slatewright.operators.position import median_time_micros
 from slatewright.operators.running import HOT_ROWS, running, trailing
+from slatewright.operators.sliding import most_frequent_within
 
 COUNTED_TYPES = {
     "impression": "recent_impression_count",
@@ -200,26 +201,8 @@ def global_ctr(events: DataFrame, order: list[str], hot_rows: int = HOT_ROWS) ->
     return swept.withColumn("global_ctr", S.rate("_clicks", "_shown")).drop("_clicks", "_shown")
 
 
-def preferred_7d(clicks: DataFrame, names: dict[str, str], time: str = "timestamp") -> DataFrame:
-    """(user_id, day, names): most clicked value of each column in the 7 days before the day.
-
-    Clicks merge per user, value and day first; each daily count then serves the
-    7 days after it, so no click is ever paired with another. ``names`` maps
-    column to output and all columns share the passes.
-    """
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in names])
-    tall = clicks.select("user_id", F.to_date(time).alias("_d"), F.explode(pairs).alias("_p"))
-    daily = tall.where(F.col("_p.v").isNotNull()).groupBy("user_id", "_d", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    days = F.explode(F.sequence(F.date_add("_d", 1), F.date_add("_d", 7)))
-    served = daily.select("user_id", "_p", "_n", days.alias("day"))
-    totals = served.groupBy("user_id", "day", "_p").agg(F.sum("_n").alias("_n"))
-    v, n = F.col("_p.v"), F.col("_n")
-    return totals.groupBy("user_id", "day").agg(
-        *[F.min_by(v, F.when(F.col("_p.c") == c, F.struct(-n, v))).alias(name) for c, name in names.items()]
-    )
-
-
-def with_preferred_7d(rows: DataFrame, clicks: DataFrame, time: str = "timestamp") -> DataFrame:
+def with_preferred_7d(rows: DataFrame, clicks: DataFrame, time: str = "timestamp", ranges: int | None = None) -> DataFrame:
+    """Most clicked source and category of the user in the 7 days before each row, to the second."""
     names = {c: f"preferred_{c}_last_7d" for c in ("source", "category")}
-    joined = rows.withColumn("day", F.to_date(time)).join(preferred_7d(clicks, names, time), ["user_id", "day"], "left")
-    return joined.withColumns({n: S.known(n) for n in names.values()}).drop("day")
+    found = most_frequent_within(rows, clicks, ["user_id"], 7 * 86_400, names, time, ranges)
+    return found.withColumns({n: S.known(n) for n in names.values()})

@@ -363,25 +363,18 @@ ORACLE["global_ctr"] = with_(EV) + """SELECT event_id, coalesce(count(*) FILTER
 WINDOW w AS (ORDER BY "timestamp", event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
-def _pref7(attribute: str) -> str:
-    return f"""p_{attribute} AS (
-  SELECT i.event_id, c.{attribute}, count(*) AS n FROM ev i JOIN clk c ON i.user_id = c.user_id
-    AND c.d < CAST(i."timestamp" AS date) AND c.d >= CAST(i."timestamp" AS date) - interval '7' day
-  WHERE i.event_type = 'impression' AND c.{attribute} IS NOT NULL GROUP BY 1, 2
-  QUALIFY row_number() OVER (PARTITION BY i.event_id ORDER BY n DESC, c.{attribute}) = 1)"""
-
-
-ORACLE["pref_category_7d"] = with_(
-    EV,
-    CT,
-    """clk AS (SELECT e.user_id, CAST(e."timestamp" AS date) AS d, c.source, c.category
-  FROM ev e LEFT JOIN ct c ON e.item_id = c.item_id WHERE e.event_type = 'click')""",
-    _pref7("category"),
-    _pref7("source"),
-) + """SELECT e.event_id, coalesce(c.category, 'unknown') AS preferred_category_last_7d,
-  coalesce(s.source, 'unknown') AS preferred_source_last_7d
-FROM ev e LEFT JOIN p_category c ON e.event_id = c.event_id LEFT JOIN p_source s ON e.event_id = s.event_id
-WHERE e.event_type = 'impression'"""
+_PREF7 = """clk AS (SELECT {user} AS user_id, epoch_us("timestamp") // 1000000 AS s, c.source, c.category
+  FROM ev e LEFT JOIN ct c ON e.item_id = c.item_id WHERE e.event_type = 'click'),
+seen AS (SELECT event_id, {user} AS user_id, epoch_us("timestamp") // 1000000 AS s FROM ev WHERE event_type = 'impression'),
+near AS (SELECT i.event_id, c.source, c.category FROM seen i JOIN clk c ON c.user_id = i.user_id AND c.s BETWEEN i.s - 604800 AND i.s - 1),
+by_category AS (SELECT event_id, category FROM near WHERE category IS NOT NULL GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY count(*) DESC, category) = 1),
+by_source AS (SELECT event_id, source FROM near WHERE source IS NOT NULL GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY count(*) DESC, source) = 1)
+SELECT event_id, coalesce(category, 'unknown') AS preferred_category_last_7d, coalesce(source, 'unknown') AS preferred_source_last_7d
+FROM seen LEFT JOIN by_category USING (event_id) LEFT JOIN by_source USING (event_id)"""
+ORACLE["pref_category_7d"] = with_(EV, CT, _PREF7.format(user="user_id"))
+ORACLE["pref_category_7d_one_user"] = with_(EV, CT, _PREF7.format(user="0"))
 
 # --- backbone, priors, point in time ---------------------------------------------------
 

@@ -243,6 +243,15 @@ def pref_category_7d(spark, folder):
     return rows.select("event_id", "preferred_category_last_7d", "preferred_source_last_7d")
 
 
+@query
+def pref_category_7d_one_user(spark, folder):
+    """The same where one user owns the whole log, swept in 16 ranges."""
+    alone = lambda df: df.withColumn("user_id", F.lit(0))
+    clicks = B.events(spark, folder, ["click"]).join(B.content(spark, folder), "item_id", "left")
+    rows = features.with_preferred_7d(alone(B.events(spark, folder, ["impression"])), alone(clicks), ranges=16)
+    return rows.select("event_id", "preferred_category_last_7d", "preferred_source_last_7d")
+
+
 # --- backbone, priors, point in time -------------------------------------------
 
 
