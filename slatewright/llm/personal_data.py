@@ -1,7 +1,10 @@
 """Personal data in whole texts by weak supervision, in column expressions only.
 
-1. Candidate spans come from wide patterns. Labelers vote on each: the strict pattern check, a
-   gazetteer (known number ranges, key words, mail hosts), and the words before it (context).
+1. Candidate spans come from the strict patterns and, as kinds of their own, from wide ones: numbers
+   grouped or called like phone numbers but without a plus sign, mail addresses in words, account
+   numbers, names after a title or cue, long keys. Labelers vote on each: the strict check of its
+   kind, a gazetteer (known number ranges, first names, key words, mail hosts), the words before it
+   (context) and what it touches.
 2. All candidates of the corpus are counted by kind, votes and features. There are at most a
    fixed number of such combinations, whatever the corpus, so the counts may come to the driver.
 3. Expectation-maximisation over these counts estimates, per kind, how often it is personal data
@@ -28,6 +31,20 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: long hexadecimal or key-like strings, a kind of this method's own
 SECRET = r"(?:(?<![A-Za-z0-9])|\G)(?=[A-Za-z0-9]*[0-9])(?=[A-Za-z0-9]*[A-Za-z])[A-Za-z0-9]{24,}+"
 
+#: wide patterns, as further kinds of this method
+_CALLED = r"(?:[Tt]el|[Pp]hone|[Cc]all|[Ff]ax|[Mm]obile|[Hh]andy)[.:]{0,2} {0,2}"
+NUMBER = (
+    r"(?<![\p{L}0-9_+.,/-])(?<!\+[0-9]{1,3} ?)(?=[(0-9])(?:\(?[0-9]{2,5}\)?(?:[ /-][0-9]{2,8}){1,4}"
+    rf"|(?<={_CALLED})[0-9]{{6,15}})(?![\p{{L}}0-9_])"
+)
+WRITTEN_MAIL = (
+    r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?: ?\(at\) ?| ?\[at\] ?| at )[a-z0-9-]{1,63}"
+    r"(?:(?: ?\(dot\) ?| ?\[dot\] ?| dot )[a-z0-9-]{1,63}){1,4}"
+)
+ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+_TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora|[Nn]ame|[Nn]ame is|[Dd]ear|[Ss]igned)"
+NAME = rf"(?=\p{{Lu}}\p{{Ll}})(?<={_TITLE}[.:]? )\p{{Lu}}\p{{Ll}}{{1,20}}(?: \p{{Lu}}\p{{Ll}}{{1,20}}){{0,2}}"
+
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: pattern and the least a text must hold for the pattern to be tried
@@ -37,6 +54,10 @@ KINDS = {
     "card": (CARD, r"[0-9]"),
     "phone": (PHONE, r"\+[0-9]"),
     "secret": (SECRET, r"[A-Za-z0-9]{24}"),
+    "number": (NUMBER, rf"[0-9]\)?[ /-][0-9]{{2}}|{_CALLED}[0-9]"),
+    "address": (WRITTEN_MAIL, r"(?i)[ (\[]at[ )\]]"),
+    "account": (ACCOUNT, r"[A-Z]{2}[0-9]{2}"),
+    "name": (NAME, rf"{_TITLE}[.:]? \p{{Lu}}"),
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
 CHUNK = 128
@@ -48,6 +69,14 @@ KNOWN = {
     "card": r"^[3-6]",
     "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
     "secret": r"(?i)^(?:akia|asia|ghp|sk|pk|xox)|^[0-9a-f]{32,64}$",
+    "number": r"^\(?(?:0[1-9][0-9]{1,3}|[2-9][0-9]{2})\)?[ /-]|^[0-9]{7,12}$",
+    "address": r"(?i)[ )\]](?:gmail|hotmail|outlook|yahoo|gmx|web|icloud|proton|mail|example)[ (\[]",
+    "account": r"^(?:AT|BE|CH|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)",
+    "name": (
+        r"^(?:Alice|Andrea|Anna|Anne|Antonio|Carlos|Charles|Claire|Daniel|David|Elena|Emma|Eva|Francois|Hans|Isabel|Jack|James|Jane|"
+        r"Jean|John|Jose|Juan|Julia|Karl|Klaus|Laura|Lisa|Louis|Lucia|Luis|Marc|Maria|Marie|Mark|Martin|Mary|Michael|Nicole|Paul|"
+        r"Peter|Pierre|Robert|Sarah|Sofia|Sophie|Stefan|Susan|Thomas|William)\b"
+    ),
 }
 CUES = {
     "email": r"(?i)(?:e-?mail|contact|kontakt|correo|courriel|mailto|to|from)\W{0,3}$",
@@ -55,6 +84,10 @@ CUES = {
     "card": r"(?i)(?:card|visa|amex|mastercard|karte|carte|tarjeta|credit|payment|account|konto)\W{0,3}$",
     "phone": r"(?i)(?:tel|phone|call|fax|mobile?|handy|whatsapp|telefono|téléphone)\W{0,3}$",
     "secret": r"(?i)(?:token|secret|passw(?:or)?d|api.?key|key|credential|auth|bearer)\W{0,5}$",
+    "number": r"(?i)(?:tel|phone|call|fax|mobile?|handy|whatsapp|telefono|téléphone)\W{0,3}$",
+    "address": r"(?i)(?:e-?mail|mail|contact|kontakt|correo|courriel|write|reach|me|us)\W{0,3}$",
+    "account": r"(?i)(?:iban|account|konto|compte|cuenta|bank)\W{0,3}$",
+    "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?|[Nn]ame is|[Nn]ame:)\.? $",
 }
 COUNTER_CUES = r"(?i)(?:version|isbn|issn|figure|fig|section|chapter|no|nr|page|order)\W{0,3}$"
 BEFORE = 24
@@ -79,7 +112,6 @@ def _placed(kind: str) -> Column:
     The sums run over chunks, then within them, so a text with very many matches costs little more
     than its length.
     """
-    """The zipped matches and gaps of a kind as spans with places."""
     size = "cast(length(p.g) + length(coalesce(p.m, '')) as bigint)"
     chunks = (
         f"transform(sequence(0, greatest(0, (size({kind}) - 1) div {CHUNK})), c -> slice({kind}, c * {CHUNK} + 1, {CHUNK}))"
@@ -104,9 +136,22 @@ def _strict(kind: str, m: Column) -> Column:
         "card": F.length(digits).between(13, 19) & F.call_function("luhn_check", digits),
         "phone": F.length(digits).between(9, 15),
         "secret": m.rlike(r"^(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})$"),
+        "number": F.length(digits).between(7, 12) & m.rlike(r"^(?:\(?0[1-9]|\([2-9][0-9]{2}\)|[2-9][0-9]{2}[ -][0-9]{3}[ -][0-9]{4}$|[0-9]+$)"),
+        "address": m.rlike(r"(?i)[ )\]](?:com|org|net|edu|gov|info|de|fr|es|uk|eu|io)$"),
+        "account": _checks_out(m),
+        "name": m.contains(" "),
     }[kind]
 
 
+def _checks_out(account: Column) -> Column:
+    """The check of account numbers: the first four characters last, letters as 10 to 35, one modulo 97."""
+    plain = F.replace(account, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))
+    values = F.transform(F.split(turned, ""), lambda c: F.conv(c, 36, 10).cast("bigint"))
+    add = lambda kept, v: F.pmod(kept * F.when(v > 9, 100).otherwise(10) + v, F.lit(97).cast("bigint"))
+    return F.aggregate(F.filter(values, lambda v: v.isNotNull()), F.lit(0).cast("bigint"), add) == 1
+
+
 def _votes(kind: str, s: Column) -> Column:
     """One character per labeler: 1 for personal data, 0 against, - no vote."""
     context = F.when(s["before"].rlike(CUES[kind]), "1").when(s["before"].rlike(COUNTER_CUES), "0").otherwise("-")
@@ -215,14 +260,15 @@ def personal_spans(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     rows = candidates(docs, id_column)
     tally = rows.select(F.explode("found.key").alias("key")).groupBy("key").count().collect()
     keys = accepted_keys({r["key"]: r["count"] for r in tally})
-    accepted = F.array(*[F.lit(k) for k in keys]).cast("array<string>")
+    # looked up by hash, in a map of as many entries as combinations were accepted
+    accepted = F.create_map(*[F.lit(x) for k in keys for x in (k, True)]) if keys else F.create_map().cast("map<string,boolean>")
     is_base = lambda s: s["strict"] & s["kind"].isin(*BASE_KINDS)
     plain = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     return rows.select(
         "id",
         "text",
         F.transform(F.filter("found", is_base), plain).alias("base"),
-        F.transform(F.filter("found", lambda s: ~is_base(s) & F.array_contains(accepted, s["key"])), plain).alias("extra"),
+        F.transform(F.filter("found", lambda s: ~is_base(s) & F.coalesce(F.try_element_at(accepted, s["key"]), F.lit(False))), plain).alias("extra"),
     )
 
 
