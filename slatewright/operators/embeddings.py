@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slatewright.functions import scalars as S
 from slatewright.functions import vectors as V
+from slatewright.operators.axes import leading_axes, packed_rows, projected
 from slatewright.operators.groups import latest_row
 from slatewright.session import written
 
@@ -36,21 +35,18 @@ def _terms(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.explode_outer(both).alias("term")).where(F.col("term").isNotNull())
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the input has fewer files than cores (a file may be one
-    unsplittable block); larger inputs are split by their files and stay where they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def vocabulary(terms: DataFrame, size: int = VOCABULARY) -> DataFrame:
     """The ``size`` most frequent terms (alphabetical among equals), at most ``size`` rows."""
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("_freq")).orderBy(F.desc("_freq"), F.asc("term")).limit(size)
 
 
-def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFrame:
-    """(key, term, weight): tf * (ln((1+n)/(1+df)) + 1), rows scaled to length 1."""
-    terms = _terms(spread(df.select(key, text), key), key, text)
+def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY, parts: int | None = None) -> DataFrame:
+    """(key, term, weight): tf * (ln((1+n)/(1+df)) + 1), rows scaled to length 1.
+
+    ``parts`` deals the texts anew, for an input of fewer splits than cores; it costs a shuffle of them.
+    """
+    texts = df.select(key, text)
+    terms = _terms(texts.repartition(parts, key) if parts else texts, key, text)
     vocab = F.broadcast(vocabulary(terms, size).select("term"))
     # read for the document frequencies and for the weights
     tf = written(terms.join(vocab, "term").groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf")), "tf")
@@ -66,49 +62,26 @@ def tfidf(df: DataFrame, key: str, text: str, size: int = VOCABULARY) -> DataFra
 def svd_vectors(weights: DataFrame, key: str, dims: int = MAX_DIMS, texts: DataFrame | None = None) -> DataFrame:
     """Truncated SVD of the (key x term) matrix: (key, vector of <= dims).
 
-    Spark sums the term-by-term Gram matrix on the executors; only that matrix,
-    bounded by the vocabulary, is decomposed on the driver. ``texts`` holds the keys
-    of all texts: those without a term of the vocabulary get a zero vector.
+    The axes come from sparse rows (see :mod:`slatewright.operators.axes`). ``texts`` holds the
+    keys of all texts: those without a term of the vocabulary get a zero vector.
     """
     texts = weights.select(key).distinct() if texts is None else texts.select(key)
     vocab = [r["term"] for r in weights.select("term").distinct().orderBy("term").collect()]  # <= vocabulary size
-    d = max(1, min(dims, texts.count() - 1, len(vocab) - 1))
     if not vocab:
         return texts.withColumn("item_vector", F.array(F.lit(0.0)))
-    spark = weights.sparkSession
-    index = spark.createDataFrame(list(enumerate(vocab)), "i int, term string")
-    packed = (
-        weights.join(F.broadcast(index), "term")
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("i", "weight"))).alias("_m"))
-    )
-    dense = packed.select(
-        array_to_vector(
-            F.transform(F.sequence(F.lit(0), F.lit(len(vocab) - 1)), lambda i: F.coalesce(F.get(F.array(F.col("_m")[i]), F.lit(0)), F.lit(0.0)))
-        ).alias("v")
-    )
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(dense, "v"))
-    _, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())  # ascending eigenvalues
-    axes = vectors[:, ::-1][:, :d]
-    loadings = spark.createDataFrame(
-        [(term, [float(x) for x in np.ravel(axes[i])]) for i, term in enumerate(vocab)], "term string, axis array<double>"
-    )
-    width = axes.shape[1]
-    vectors = (
-        weights.join(F.broadcast(loadings), "term")
-        .groupBy(key)
-        .agg(F.array(*[F.sum(F.col("weight") * F.col("axis")[j]) for j in range(width)]).alias("item_vector"))
-    )
-    zero = F.array(*[F.lit(0.0)] * width)
-    return texts.join(vectors, key, "left").select(key, F.coalesce("item_vector", zero).alias("item_vector"))
+    d = max(1, min(dims, texts.count() - 1, len(vocab) - 1))
+    axes = leading_axes(packed_rows(weights, key, vocab), len(vocab), d)
+    return projected(weights, key, vocab, axes, texts, "item_vector")
 
 
-def item_embeddings(impressions: DataFrame, text: str | None = None, dims: int = MAX_DIMS) -> DataFrame:
-    """One row per item (newest snapshot): metadata and its text vector.
+def item_embeddings(
+    impressions: DataFrame, text: str | None = None, dims: int = MAX_DIMS, tie: Sequence[str] = ("event_id",)
+) -> DataFrame:
+    """One row per item (newest snapshot, of equal times the last by ``tie``): metadata and its text vector.
 
     The text defaults to the metadata rendered as words.
     """
-    newest = latest_row(impressions, ["item_id"], "impression_time", ["event_id"])
+    newest = latest_row(impressions, ["item_id"], "impression_time", list(tie))
     body = S.pseudo_text(newest.columns) if text is None else F.coalesce(text, F.lit("unknown"))
     items = newest.withColumn("embedding_text", body)
     vectors = svd_vectors(tfidf(items, "item_id", "embedding_text"), "item_id", dims, items)

@@ -16,6 +16,7 @@ from slatewright.operators.groups import latest_row
 from slatewright.operators.rerank import rerank_v1, rerank_v2
 from slatewright.operators.retrieval import HEAD_ITEMS, retrieve, retrieve_each
 from slatewright.plans.features import COUNTED_TYPES, context_columns
+from slatewright.plans.fills import UsualFill
 from slatewright.schemas import existing
 from slatewright.session import written
 from slatewright.sources import online
@@ -201,12 +202,14 @@ def usable(model: PipelineModel, frame: DataFrame) -> bool:
     made: set[str] = set()
     for stage in model.stages:
         wanted = set()
-        for param in ("inputCol", "inputCols", "featuresCol"):
+        for param in ("inputCol", "inputCols", "featuresCol", "numeric", "categorical"):
             if stage.hasParam(param) and stage.isDefined(param):
                 value = stage.getOrDefault(param)
                 wanted |= {value} if isinstance(value, str) else set(value)
         if not wanted <= made | set(frame.columns):
             return False
+        if isinstance(stage, UsualFill):
+            made.update(*stage.outputs())
         for param in ("outputCol", "outputCols"):
             if stage.hasParam(param) and stage.isDefined(param):
                 value = stage.getOrDefault(param)

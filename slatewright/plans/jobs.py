@@ -62,7 +62,7 @@ class Stages:
         return self.write(joined, "train_dataset_v2")
 
     def item_embeddings_v2(self) -> DataFrame:
-        return self.write(embeddings.item_embeddings(self.read("impressions_v2", "impression_time")), "item_embeddings_v2")
+        return self.write(embeddings.item_embeddings(self.read("impressions_v2", "impression_time"), tie=("impression_id",)), "item_embeddings_v2")
 
     def _dims(self, items: DataFrame) -> int:
         return items.agg(F.max(F.size("item_vector"))).first()[0] or 1

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slatewright.functions import scalars as S
 from slatewright.plans.feed import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from slatewright.plans.fills import UsualValues
 from slatewright.plans.metrics import binary_metrics, feed_quality_report, ranking_report
 from slatewright.schemas import existing
 
@@ -50,24 +51,17 @@ def check_trainable(df: DataFrame, label: str = "clicked") -> int:
     return row["n"]
 
 
-def as_numbers(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Numeric inputs as double (a bad value is null, for the imputer), text inputs as string."""
-    return df.withColumns(
-        {**{c: S.number(c, None) for c in numeric}, **{c: F.col(c).cast("string") for c in categorical}}
-    )
-
-
 def fill_constant(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     return df.withColumns({**{c: S.number(c) for c in numeric}, **{c: S.known(c) for c in categorical}})
 
 
-def _encode(categorical: Sequence[str]) -> list:
-    """One-hot of the known values; an unseen value is all zeros."""
+def _encode(categorical: Sequence[str], suffix: str = "") -> list:
+    """One-hot of the known values; an unseen value is all zeros. Inputs are the names with ``suffix``."""
     if not categorical:
         return []
     return [
         StringIndexer(
-            inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
+            inputCols=[f"{c}{suffix}" for c in categorical], outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
         ),
         OneHotEncoder(
             inputCols=[f"{c}_index" for c in categorical],
@@ -79,10 +73,10 @@ def _encode(categorical: Sequence[str]) -> list:
 
 
 def preprocess_v1(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Median for missing numbers; the indexer runs on text already filled with its most frequent value."""
+    """Median for missing numbers, most frequent value for missing text, one-hot text."""
     return [
-        Imputer(strategy="median", inputCols=list(numeric), outputCols=[f"{c}_filled" for c in numeric]),
-        *_encode(categorical),
+        UsualValues(numeric=list(numeric), categorical=list(categorical)),
+        *_encode(categorical, "_known"),
         VectorAssembler(
             inputCols=[*[f"{c}_filled" for c in numeric], *[f"{c}_hot" for c in categorical]],
             outputCol="features",
@@ -100,18 +94,6 @@ def preprocess_v2(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     ]
 
 
-def fill_most_frequent(df: DataFrame, categorical: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
-    """Null text takes the most frequent value of the column (alphabetical among equals)."""
-    source = df if fitted_on is None else fitted_on
-    tall = source.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in categorical])).alias("_p")
-    ).select("_p.*")
-    counts = tall.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    modes = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()  # one row per column
-    usual = {r["c"]: r["v"] for r in modes}
-    return df.fillna({c: usual[c] for c in categorical if c in usual})
-
-
 def classifier(name: str, n: int, label: str = "clicked", max_iter: int = 1000, **given):
     """logistic (L2, C = 1), gbt (boosted trees) or forest."""
     if name == "logistic":
@@ -130,8 +112,7 @@ def classifier(name: str, n: int, label: str = "clicked", max_iter: int = 1000,
 def fit_v1(train: DataFrame, name: str = "logistic", label: str = "clicked", **given) -> PipelineModel:
     n = check_trainable(train, label)
     numeric, categorical = existing(train, V1_NUMERIC), existing(train, V1_CATEGORICAL)
-    ready = fill_most_frequent(as_numbers(train, numeric, categorical), categorical)
-    return Pipeline(stages=[*preprocess_v1(numeric, categorical), classifier(name, n, label, **given)]).fit(ready)
+    return Pipeline(stages=[*preprocess_v1(numeric, categorical), classifier(name, n, label, **given)]).fit(train)
 
 
 def fit_v2(train: DataFrame, name: str = "logistic", label: str = "clicked", **given) -> PipelineModel:
@@ -173,18 +154,16 @@ def load(folder: str, name: str) -> PipelineModel:
 def train_v1(df: DataFrame, split: str = "split", names: Sequence[str] = ("logistic", "gbt")) -> tuple[dict, DataFrame]:
     """Models by name and a report (model, n_rows, auc, accuracy, precision, recall) on the test rows."""
     train, test = df.where(F.col(split) == "train"), df.where(F.col(split) == "test")
-    numeric, categorical = existing(df, V1_NUMERIC), existing(df, V1_CATEGORICAL)
-    ready = fill_most_frequent(as_numbers(test, numeric, categorical), categorical, train.select(*categorical))
     models, report = {}, None
     for name in names:
         models[name] = fit_v1(train, name)
-        row = binary_metrics(predict(models[name], ready), "model_score").withColumn("model", F.lit(name))
+        row = binary_metrics(predict(models[name], test), "model_score").withColumn("model", F.lit(name))
         report = row if report is None else report.unionByName(row)
     return models, report
 
 
 def train_v2(df: DataFrame, split: str = "split", names: Sequence[str] = ("logistic", "gbt")) -> tuple[dict, DataFrame]:
-    """Models by name and a report per model and part (val, test)."""
+    """Models by name and a report per model and part (val, test), with the sizes of all parts and the features."""
     train = df.where(F.col(split) == "train")
     numeric, categorical = existing(df, NUMERIC_FEATURES), existing(df, CATEGORICAL_FEATURES)
     models, report = {}, None
@@ -196,7 +175,15 @@ def train_v2(df: DataFrame, split: str = "split", names: Sequence[str] = ("logis
                 F.lit(name).alias("model"), F.lit(part).alias("part"), "n_rows", "auc", "accuracy"
             )
             report = row if report is None else report.unionByName(row)
-    return models, report
+    return models, report.crossJoin(part_sizes(df, split)).withColumns(
+        {"numeric_features": F.lit(",".join(numeric)), "categorical_features": F.lit(",".join(categorical))}
+    )
+
+
+def part_sizes(df: DataFrame, split: str = "split") -> DataFrame:
+    """One row: rows in all and of each part."""
+    parts = [F.count_if(F.col(split) == part).alias(f"rows_{part}") for part in ("train", "val", "test")]
+    return df.agg(F.count(F.lit(1)).alias("rows_total"), *parts)
 
 
 def train_simulated(

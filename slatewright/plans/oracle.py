@@ -464,13 +464,19 @@ ORACLE["similarity_features"] = with_(*E_TRAIN, VEC) + """SELECT event_id,
 ORACLE["pseudo_text"] = with_(*E_BASE) + """SELECT item_id, concat_ws(' ', coalesce(source, 'unknown'),
   coalesce(source_type, 'unknown'), coalesce(category, 'unknown')) AS embedding_text
 FROM im QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY impression_time DESC, event_id DESC) = 1"""
-ORACLE["tfidf_terms"] = r"""WITH tk AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
+_TFIDF = r"""WITH tk AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
 tm AS (SELECT doc_id, unnest(t) AS term FROM tk UNION ALL
   SELECT doc_id, unnest(list_transform(generate_series(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1])) FROM tk),
 vc AS (SELECT term FROM tm GROUP BY term ORDER BY count(*) DESC, term LIMIT 500),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tm WHERE term IN (SELECT term FROM vc) GROUP BY 1, 2),
 w AS (SELECT tf.doc_id, tf.term, tf * (ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*) OVER (PARTITION BY term))) + 1.0) AS w FROM tf)
-SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w"""
+SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w"""
+ORACLE["tfidf_terms"] = f"SELECT doc_id, term, round(weight, 6) AS weight FROM ({_TFIDF})"
+ORACLE["item_svd_gram"] = f"""WITH t AS ({_TFIDF.replace("LIMIT 500", "LIMIT 16")})
+SELECT d.doc_id, round(coalesce((SELECT sum(a.weight * a.weight) FROM t a WHERE a.doc_id = d.doc_id), 0.0), 6) AS squared_length,
+  round(coalesce((SELECT sum(a.weight * b.weight) FROM t a JOIN t b ON a.term = b.term AND b.doc_id = a.doc_id + 1
+    WHERE a.doc_id = d.doc_id), 0.0), 6) AS next_product
+FROM documents d"""
 
 # --- retrieval --------------------------------------------------------------------------------
 
@@ -764,3 +770,14 @@ FROM ev i WHERE i.event_type = 'impression'"""
 ORACLE["stream_snapshot"] = with_(EV) + """SELECT user_id, event_type AS user_prev_category, "timestamp" AS feature_timestamp
 FROM ev WHERE event_type IN ('impression', 'click')
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, event_id DESC) = 1"""
+
+# --- fills ------------------------------------------------------------------------------------
+
+ORACLE["usual_fills"] = with_(*E_BASE) + """, r AS (SELECT event_id, impression_time, dwell_time, category,
+    CASE WHEN age_hours >= 0 THEN age_hours END AS age, CASE WHEN age_hours >= 0 THEN source END AS src FROM im JOIN (SELECT event_id, dwell_time FROM ev) USING (event_id)),
+  fit AS (SELECT * FROM r WHERE impression_time < timestamp '2024-01-15'),
+  m AS (SELECT median(age) AS age, median(dwell_time) AS dwell,
+    (SELECT src FROM fit WHERE src IS NOT NULL GROUP BY src ORDER BY count(*) DESC, src LIMIT 1) AS src,
+    (SELECT category FROM fit WHERE category IS NOT NULL GROUP BY category ORDER BY count(*) DESC, category LIMIT 1) AS cat FROM fit)
+SELECT event_id, round(coalesce(r.age, m.age), 6) AS age_hours_filled, round(coalesce(r.dwell_time, m.dwell), 6) AS dwell_time_filled,
+  coalesce(r.src, m.src) AS source_known, coalesce(r.category, m.cat) AS category_known FROM r, m"""

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from slatewright.functions import scalars as S
 from slatewright.operators import embeddings, retrieval
+from slatewright.operators.axes import leading_axes, packed_rows, projected
 from slatewright.operators.groups import latest_row
 from slatewright.operators.position import day_level, split_by_time, split_stratified
 from slatewright.operators.rerank import rerank_v1, rerank_v2
 from slatewright.operators.running import asof_join
 from slatewright.plans import features, feed, history, metrics, models, policy, quality
+from slatewright.plans.fills import UsualFill, UsualValues
 from slatewright.session import configure, fresh_folder, written
 from slatewright.sources import bench_tables as B
 from slatewright.sources import content as C
@@ -434,7 +436,9 @@ def pseudo_text(spark, folder):
 
 @query
 def tfidf_terms(spark, folder):
-    return r6(embeddings.tfidf(B.table(spark, folder, "documents"), "doc_id", "text"), "weight")
+    # a folder's documents may be one file, that is one split
+    docs, cores = B.table(spark, folder, "documents"), spark.sparkContext.defaultParallelism
+    return r6(embeddings.tfidf(docs, "doc_id", "text", parts=cores), "weight")
 
 
 @query
@@ -445,6 +449,25 @@ def item_svd(spark, folder):
     return vectors.select("doc_id", F.transform("item_vector", lambda x: F.round(x * x, 6)).alias("squares"))
 
 
+@query
+def item_svd_gram(spark, folder):
+    """Lengths of the documents' vectors and products with the next one's, over a vocabulary of as many terms as axes.
+
+    A decomposition without loss keeps both.
+    """
+    docs = B.table(spark, folder, "documents").select("doc_id", "text")
+    weights = written(embeddings.tfidf(docs, "doc_id", "text", size=embeddings.MAX_DIMS), "weights")
+    terms = [r["term"] for r in weights.select("term").distinct().orderBy("term").collect()]  # <= MAX_DIMS
+    axes = leading_axes(packed_rows(weights, "doc_id", terms), len(terms), len(terms))
+    vectors = written(projected(weights, "doc_id", terms, axes, docs, "v"), "vectors")
+    after = vectors.select((F.col("doc_id") - 1).alias("doc_id"), F.col("v").alias("w"))
+    product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    both = vectors.join(after, "doc_id", "left")
+    rows = both.select("doc_id", product("v", "v").alias("squared_length"), F.coalesce(product("v", "w"), F.lit(0.0)).alias("next_product"))
+    # without a negative zero
+    return rows.withColumns({c: F.round(F.col(c), 6) + 0.0 for c in ("squared_length", "next_product")})
+
+
 @query
 def item_text_vectors(spark, folder):
     rows = embeddings.item_embeddings(backbone(spark, folder).withColumn("title_length", F.lit(50)))
@@ -732,6 +755,27 @@ def _second_split(spark, folder):
     return split_by_time(written(embedded(spark, folder), "training"), "impression_time", ["event_id"])
 
 
+@query
+def usual_fills(spark, folder):
+    """Fills fitted on the first half of January, saved, loaded and applied to all raw impressions.
+
+    Ages before publication count as missing, as does the source of such a row.
+    """
+    early = F.col("age_hours") < 0
+    rows = B.impressions(spark, folder).select(
+        "event_id", "impression_time", "dwell_time", "category",
+        F.when(~early, F.col("age_hours")).cast("string").alias("age_hours"), F.when(~early, F.col("source")).alias("source"),
+    )
+    rows = written(rows, "raw")
+    stage = UsualValues(numeric=["age_hours", "dwell_time"], categorical=["source", "category"])
+    folder_of_stage = fresh_folder(spark, "fills")
+    stage.fit(rows.where(F.col("impression_time") < "2024-01-15")).write().save(folder_of_stage)
+    filled = UsualFill.load(folder_of_stage).transform(rows)
+    return r6(filled, "age_hours_filled", "dwell_time_filled").select(
+        "event_id", "age_hours_filled", "dwell_time_filled", "source_known", "category_known"
+    )
+
+
 @query
 def train_first(spark, folder):
     return models.train_v1(_first_split(spark, folder))[1]

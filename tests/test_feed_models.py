@@ -3,8 +3,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from slatewright.operators import embeddings
+from slatewright.operators.axes import leading_axes, packed_rows
 from slatewright.operators.sampling import weighted_sample
 from slatewright.plans import feed, models, queries
+from slatewright.plans.fills import UsualFill, UsualValues
 from slatewright.plans.metrics import binary_metrics
 from slatewright.sources import bench_tables as B
 
@@ -50,6 +52,39 @@ def test_svd_gives_texts_without_terms_a_zero_vector(spark):
     assert [r["item_vector"] for r in none] == [[0.0]] * 4
 
 
+def test_leading_axes_equal_the_exact_ones(spark):
+    rng = np.random.default_rng(1)
+    exact = rng.standard_normal((400, 120)) * 0.8 ** np.arange(120)
+    exact[rng.random((400, 120)) < 0.7] = 0
+    exact[7] = 0
+    entries = [(int(i), f"t{j:03d}", float(exact[i, j])) for i, j in zip(*np.nonzero(exact))]
+    weights = spark.createDataFrame(entries, "id int, term string, weight double").repartition(5)
+    terms = [f"t{j:03d}" for j in range(120)]
+    rows = packed_rows(weights, "id", terms)
+    got = leading_axes(rows, 120, 6)
+    left, values, right = np.linalg.svd(exact, full_matrices=False)
+    assert np.allclose(got.T @ got, np.eye(6), atol=1e-10)
+    best = (left[:, :6] * values[:6]) @ (left[:, :6] * values[:6]).T
+    assert np.allclose((exact @ got) @ (exact @ got).T, best, atol=1e-6 * values[0] ** 2)
+    assert np.allclose(np.linalg.norm(exact @ got, axis=0), values[:6], rtol=1e-9)
+    assert np.allclose(got, leading_axes(rows, 120, 6), atol=1e-8)  # seeded
+
+
+def test_usual_values(spark, tmp_path):
+    odd = [(1, "1", "b"), (2, "x", None), (3, None, "a"), (4, "NaN", "a"), (5, "4", "b"), (6, "2.5", "c"), (7, "100", None), (8, "inf", None)]
+    rows = spark.createDataFrame(odd, "id int, n string, t string").withColumns({"none": F.lit(None).cast("double"), "void": F.lit(None).cast("string")})
+    stage = UsualValues(numeric=["n", "none"], categorical=["t", "void"])
+    fitted = stage.fit(rows)
+    fitted.write().save(str(tmp_path / "fill"))
+    for model in (fitted, UsualFill.load(str(tmp_path / "fill"))):
+        got = {r["id"]: (r["n_filled"], r["none_filled"], r["t_known"], r["void_known"]) for r in model.transform(rows).collect()}
+        assert {got[i][0] for i in (2, 3, 4, 8)} == {3.25} and got[7][0] == 100.0
+        assert {r[1] for r in got.values()} == {0.0} and {r[3] for r in got.values()} == {"unknown"}
+        assert [got[i][2] for i in (1, 2, 6, 7)] == ["b", "a", "c", "a"]
+    empty = stage.fit(rows.where("false")).transform(rows).where("id = 3").first()
+    assert (empty["n_filled"], empty["t_known"]) == (0.0, "a")
+
+
 def test_centroid_falls_back_to_all_impressions(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "item_id int, item_vector array<double>")
     log = spark.createDataFrame([("u", 1, 0), ("u", 2, 0), ("v", 9, 0)], "user_id string, item_id int, clicked int")
@@ -79,8 +114,11 @@ def test_models_train_score_save_and_guard(spark, tmp_path):
     )
     model = models.fit_v1(rows, "logistic")
     models.save(model, str(tmp_path), "logistic")
-    scored = models.predict(models.load(str(tmp_path), "logistic"), models.as_numbers(rows, ["age_hours"], ["source"]))
+    scored = models.predict(models.load(str(tmp_path), "logistic"), rows)
     assert binary_metrics(scored, "model_score").first()["auc"] > 0.8
+    # a loaded model takes the raw rows, missing values included, and scores them as the fitted one
+    by_id = lambda df: {r["event_id"]: r["model_score"] for r in df.collect()}
+    assert by_id(scored) == by_id(models.predict(model, rows)) and scored.columns == [*rows.columns, "model_score"]
     assert models.predict(model, rows.where("event_id = 1").withColumn("source", F.lit("never seen"))).count() == 1
     with pytest.raises(models.NotTrainable):
         models.fit_v1(rows.where("clicked = 0"))
