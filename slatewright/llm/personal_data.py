@@ -258,8 +258,9 @@ def personal_spans(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     points, the end exclusive.
     """
     rows = candidates(docs, id_column)
-    tally = rows.select(F.explode("found.key").alias("key")).groupBy("key").count().collect()
-    keys = accepted_keys({r["key"]: r["count"] for r in tally})
+    # the outer form adds no emptiness test, which would search every text a second time
+    tally = rows.select(F.explode_outer("found.key").alias("key")).groupBy("key").count().collect()
+    keys = accepted_keys({r["key"]: r["count"] for r in tally if r["key"] is not None})
     # looked up by hash, in a map of as many entries as combinations were accepted
     accepted = F.create_map(*[F.lit(x) for k in keys for x in (k, True)]) if keys else F.create_map().cast("map<string,boolean>")
     is_base = lambda s: s["strict"] & s["kind"].isin(*BASE_KINDS)
