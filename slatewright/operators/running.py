@@ -29,6 +29,11 @@ from slatewright.session import written
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
+#: rows per range, however small ``hot_rows`` is: a shuffle has a block, and the written table a file, for
+#: every range, so ranges of a fixed few rows would cost the square of the log
+RANGE_ROWS = 1_000_000
+#: but at least so many ranges where ``hot_rows`` asks for them
+FEW_RANGES = 64
 
 _HOT, _SLICE, _GROUP, _KEY, _RANGE, _SPREAD = "_hot", "_slice", "_group", "_key", "_range", "_spread"
 
@@ -61,6 +66,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return df.sparkSession.createDataFrame([r[:-1] for r in rows], frame.schema).withColumn(_HOT, F.lit(True)) if rows else None
 
 
+def range_count(rows: int, hot_rows: int) -> int:
+    """Ranges of about ``hot_rows`` rows, but no more than ``FEW_RANGES`` or one per ``RANGE_ROWS`` rows."""
+    return min(rows // max(1, hot_rows) + 1, max(FEW_RANGES, rows // RANGE_ROWS + 1))
+
+
 def slice_hot(df: DataFrame, keys: Sequence[str], slice_by: Column, hot: DataFrame) -> DataFrame:
     """Add the slice number: 0 for ordinary keys, ``slice_by`` for hot ones."""
     return df.join(F.broadcast(hot), list(keys), "left").withColumn(
@@ -108,7 +118,7 @@ def running(
             df, keys = df.withColumn(_GROUP, F.lit(0)), [_GROUP]
         swept = _windowed(df, list(keys), order, inclusive, **parts)
         return swept.select(*out_columns, *sums, *previous, *latest)
-    ranges = sum(r[-1] for r in hot) // max(1, hot_rows) + 1
+    ranges = range_count(sum(r[-1] for r in hot), hot_rows)
     if not keys:
         swept = _scanned(df.withColumn(_KEY, F.struct(F.lit(0).alias(_GROUP))), order, inclusive, ranges, **parts)
         return swept.select(*out_columns, *sums, *previous, *latest)

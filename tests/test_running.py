@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from slatewright.operators.running import asof_join, running, softmax, trailing
+from slatewright.operators.running import RANGE_ROWS, asof_join, range_count, running, softmax, trailing
 
 START = datetime(2024, 1, 1)
 
@@ -127,6 +127,18 @@ def test_one_key_and_one_instant_run_in_many_tasks(spark):
         total, last = total + r["v"], r["v"] or None
 
 
+def test_ranges_of_few_rows_stay_few(spark):
+    """A small ``hot_rows`` makes keys hot; it doesn't deal a large log into one range per few rows."""
+    frame = spark.range(3000).select(F.lit("all").alias("item"), F.lit(START).alias("t"), F.col("id"))
+    for keys in (["item"], []):
+        out = running(frame, keys, ["t", "id"], sums={"n": F.lit(1)}, inclusive=True, hot_rows=5)
+        sizes = spread(out)
+        assert 32 < len(sizes) <= 64 and max(sizes.values()) < 300
+        assert all(r["n"] == r["id"] + 1 for r in out.collect())
+    assert range_count(216_000_000, 500) <= 4 * 216_000_000 // RANGE_ROWS
+    assert range_count(216_000_000, RANGE_ROWS) == 217 and range_count(999, 500) == 2
+
+
 @pytest.mark.parametrize("hot_rows", [10**6, 40])
 def test_asof_of_many_rows_at_one_instant(spark, hot_rows):
     left = spark.range(500).select(F.lit("k").alias("k"), F.lit(START).alias("lt"), F.col("id"))
