@@ -6,6 +6,8 @@ are the same for everybody have a length fixed by a parameter and reach the user
 rows as scalar subqueries; per-category and per-source lists join on the user's
 preference. All five lists stay arrays on the user's single row until the blend,
 so users are shuffled once and items are never paired with users beyond the lists.
+Entries are ids, scores and labels only: the item's own columns, many times as wide,
+join the blended candidates, so that no sort or exchange of lists holds them.
 """
 
 from __future__ import annotations
@@ -142,7 +144,7 @@ def _preferences(pairs: DataFrame) -> DataFrame:
 
 
 def _with_item(df: DataFrame, item_columns: DataFrame | None) -> DataFrame:
-    """Attach the item's own columns as one struct, on the short lists rather than per user."""
+    """Attach the item's own columns as one struct; by broadcast, which keeps users together, where the items are few."""
     if item_columns is None:
         return df
     packed = item_columns.select(
@@ -151,23 +153,19 @@ def _with_item(df: DataFrame, item_columns: DataFrame | None) -> DataFrame:
     return df.join(packed, "item_id", "left")
 
 
-def _entry(df: DataFrame, **given: Column) -> Column:
+def _entry() -> Column:
     names = ["item_id", "last_seen_time", "source", "category", "retrieval_strategy", "retrieval_score"]
-    if "item" in df.columns:
-        names.append("item")
-    return F.struct(*[given.get(n, F.col(n)).alias(n) for n in names])
+    return F.struct(*names)
 
 
 def unseen(impressions: DataFrame, k: int = 20, head: int = HEAD_ITEMS, stats: DataFrame | None = None) -> DataFrame:
     """Per user the k newest items the user has not been shown; score n..1."""
     stats = written(item_stats(impressions), "items") if stats is None else stats
-    lists = _unseen_lists(impressions, stats, k, head, None)
+    lists = _unseen_lists(impressions, stats, k, head)
     return lists.select("user_id", F.explode("_own").alias("_e")).select("user_id", "_e.*")
 
 
-def _unseen_lists(
-    seen_log: DataFrame, stats: DataFrame, k: int, head: int, item_columns: DataFrame | None
-) -> DataFrame:
+def _unseen_lists(seen_log: DataFrame, stats: DataFrame, k: int, head: int) -> DataFrame:
     """One row per user with the list of unseen newest items.
 
     The ``head`` newest items form a bounded list. A user who has not seen k of
@@ -177,19 +175,16 @@ def _unseen_lists(
     they meet the items in blocks of places, so the work grows with s.
     """
     newest = _numbered_recent(stats, head)
-    rows = _with_item(
-        newest.select(
-            "item_id",
-            "place",
-            "last_seen_time",
-            F.col("newest_row.source").alias("source"),
-            F.col("newest_row.category").alias("category"),
-            F.lit("unseen_recent").alias("retrieval_strategy"),
-            F.lit(0.0).alias("retrieval_score"),
-        ),
-        item_columns,
+    rows = newest.select(
+        "item_id",
+        "place",
+        "last_seen_time",
+        F.col("newest_row.source").alias("source"),
+        F.col("newest_row.category").alias("category"),
+        F.lit("unseen_recent").alias("retrieval_strategy"),
+        F.lit(0.0).alias("retrieval_score"),
     )
-    listed = rows.agg(F.sort_array(F.collect_list(F.struct("place", _entry(rows).alias("entry")))).alias("l")).scalar()
+    listed = rows.agg(F.sort_array(F.collect_list(F.struct("place", _entry().alias("entry")))).alias("l")).scalar()
     length = newest.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
 
     places = newest.select("item_id", "place")
@@ -217,12 +212,10 @@ def _unseen_lists(
     users = free.where(~complete).select("user_id")
     if users.isEmpty():
         return in_head
-    return in_head.unionByName(_unseen_tail(seen_log, stats, users, k, item_columns))
+    return in_head.unionByName(_unseen_tail(seen_log, stats, users, k))
 
 
-def _unseen_tail(
-    seen_log: DataFrame, stats: DataFrame, users: DataFrame, k: int, item_columns: DataFrame | None, block: int = 64
-) -> DataFrame:
+def _unseen_tail(seen_log: DataFrame, stats: DataFrame, users: DataFrame, k: int, block: int = 64) -> DataFrame:
     aged = stats.withColumn("_age", -F.unix_micros(F.col("last_seen_time").cast("timestamp")))
     placed = running(
         aged,
@@ -238,21 +231,16 @@ def _unseen_tail(
     free = near.join(seen, ["user_id", "item_id"], "left_anti")
     kept = top_k(free, ["user_id"], [F.asc("place")], k, "_pos")
     # n is below k only when the user has seen nearly every item
-    sized = _with_item(
-        kept.select(
-            "user_id",
-            "item_id",
-            "last_seen_time",
-            F.col("newest_row.source").alias("source"),
-            F.col("newest_row.category").alias("category"),
-            F.lit("unseen_recent").alias("retrieval_strategy"),
-            (F.count(F.lit(1)).over(W.partitionBy("user_id")) - F.col("_pos") + 1)
-            .cast("double")
-            .alias("retrieval_score"),
-        ),
-        item_columns,
+    sized = kept.select(
+        "user_id",
+        "item_id",
+        "last_seen_time",
+        F.col("newest_row.source").alias("source"),
+        F.col("newest_row.category").alias("category"),
+        F.lit("unseen_recent").alias("retrieval_strategy"),
+        (F.count(F.lit(1)).over(W.partitionBy("user_id")) - F.col("_pos") + 1).cast("double").alias("retrieval_score"),
     )
-    return sized.groupBy("user_id").agg(F.collect_list(_entry(sized)).alias("_own"))
+    return sized.groupBy("user_id").agg(F.collect_list(_entry()).alias("_own"))
 
 
 def retrieve(
@@ -281,15 +269,14 @@ def retrieve(
         prefs = users.select("user_id").distinct().join(prefs, "user_id", "left")
 
     def listing(df: DataFrame, name: str, *keys: str) -> DataFrame:
-        df = _with_item(df, item_columns)
-        return df.groupBy(*keys).agg(F.collect_list(_entry(df)).alias(name))
+        return df.groupBy(*keys).agg(F.collect_list(_entry()).alias(name))
 
     top, newest = popular(stats, each_k), recent(stats, each_k)
     everyone = listing(top.unionByName(newest), "l").scalar()
     # a user never seen before has seen nothing: the newest items are all unseen
     fresh = listing(newest.withColumn("retrieval_strategy", F.lit("unseen_recent")), "l").scalar()
     rows = (
-        prefs.join(_unseen_lists(pairs, stats, each_k, head, item_columns), "user_id", "left")
+        prefs.join(_unseen_lists(pairs, stats, each_k, head), "user_id", "left")
         .join(listing(by_attribute(base, "category", each_k), "_cat", "key"), F.col("preferred_category") == F.col("key"), "left")
         .drop("key")
         .join(listing(by_attribute(base, "source", each_k), "_src", "key"), F.col("preferred_source") == F.col("key"), "left")
@@ -304,7 +291,7 @@ def retrieve(
             )
         ).alias("_e"),
     )
-    return blend(lists.where(F.col("_e").isNotNull()).select("user_id", "_e.*"), final_k)
+    return _with_item(blend(lists.where(F.col("_e").isNotNull()).select("user_id", "_e.*"), final_k), item_columns)
 
 
 def retrieve_each(
@@ -334,9 +321,8 @@ def retrieve_each(
 
     def listing(df: DataFrame, order: list[Column], name: str, *keys: str) -> DataFrame:
         placed = df.withColumn("_at", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-        placed = _with_item(placed, item_columns)
         return placed.groupBy(*keys).agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("_at", _entry(placed).alias("entry")))), lambda x: x["entry"]).alias(name)
+            F.transform(F.sort_array(F.collect_list(F.struct("_at", _entry().alias("entry")))), lambda x: x["entry"]).alias(name)
         )
 
     best = [F.desc("retrieval_score"), F.asc("item_id")]
@@ -354,7 +340,7 @@ def retrieve_each(
         places = top_k(rolled, [attribute], _popular_order(), most, "_at").select(F.col(attribute).alias("key"), "item_id", "_at")
         return listing(by_attribute(base, attribute, most).join(places, ["key", "item_id"]), [F.asc("_at")], name, "key")
 
-    own = _unseen_lists(pairs, stats, most, head, item_columns)
+    own = _unseen_lists(pairs, stats, most, head)
     by_score = "(a, b) -> case when a.retrieval_score > b.retrieval_score then -1 when a.retrieval_score < b.retrieval_score then 1 else 0 end"
     own = own.select("user_id", F.expr(f"array_sort(_own, {by_score})").alias("_own"))
     rows = (
@@ -376,7 +362,8 @@ def retrieve_each(
     )
     lists = F.array("_top", placed("_new"), placed("_own"), "_cat", "_src")
     entries = cuts.select("user_id", "limit", F.explode_outer(F.flatten(F.array_compact(lists))).alias("_e"))
-    return blend(entries.where(F.col("_e").isNotNull()).select("user_id", "limit", "_e.*"), final_k, ["user_id", "limit"])
+    blended = blend(entries.where(F.col("_e").isNotNull()).select("user_id", "limit", "_e.*"), final_k, ["user_id", "limit"])
+    return _with_item(blended, item_columns)
 
 
 def blend(candidates: DataFrame, final_k: int | Column = 50, keys: Sequence[str] = ("user_id",)) -> DataFrame:
@@ -394,7 +381,6 @@ def blend(candidates: DataFrame, final_k: int | Column = 50, keys: Sequence[str]
         last_known(F.col("category"), F.col("_place")).alias("category"),
         # each strategy lists an item once, so rows are distinct strategies
         F.count(F.lit(1)).alias("retrieval_strategy_count"),
-        *([F.first("item", ignorenulls=True).alias("item")] if "item" in candidates.columns else []),
     )
     order = [
         F.desc("retrieval_strategy_count"),

@@ -230,8 +230,8 @@ def rank_feed_v2(
 ) -> DataFrame:
     """Second-generation feed: retrieve, build features, overlay online values, score, rerank.
 
-    Item features ride on the retrieval lists, so candidates are never joined by
-    item; everything after retrieval stays partitioned by user.
+    The retrieval lists hold ids and scores; item features join the blended candidates, by
+    broadcast where the items are few, and everything after that is partitioned by user.
     """
     check_limit(limit)
     tie = list(tie)

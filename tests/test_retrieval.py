@@ -1,8 +1,10 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from slatewright.operators.retrieval import by_attribute, item_base, item_stats, popular, preferences, recent, retrieve, unseen
+from slatewright.operators.retrieval import by_attribute, item_base, item_stats, popular, preferences, recent, retrieve, retrieve_each, unseen
 
 NAMES = ["news", "blog", "wire", "forum"]
 
@@ -64,3 +66,15 @@ def test_unknown_user_has_no_preference_and_still_gets_items(spark, shown):
     ghost = [r for r in got if r["user_id"] == "ghost"]
     assert max(r["retrieval_strategy_count"] for r in ghost) <= 3
     assert len(ghost) <= 8
+
+
+def test_lists_and_their_aggregates_hold_no_item_row(spark, shown):
+    """The item's own columns join the blended candidates; no list, sort or aggregate of users holds them."""
+    items = shown.select("item_id", F.concat(F.lit("row of "), F.col("item_id")).alias("row"))
+    asks = spark.createDataFrame([("user_0", 3), ("user_1", 5), ("ghost", 4)], "user_id string, limit int")
+    asked = retrieve_each(shown, asks, F.greatest(F.lit(10), 2 * F.col("limit")), F.lit(20), 100, item_columns=items)
+    for found in (retrieve(shown, None, 10, 20, item_columns=items), asked):
+        rows = found.collect()
+        assert rows and all(r["item"]["row"] == f"row of {r['item_id']}" for r in rows)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Aggregate" in line and re.search(r"\bitem#", line)]
