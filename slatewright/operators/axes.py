@@ -3,7 +3,8 @@
 Rows stay sparse: each is a list of (column, weight). A round is one pass over them, in which
 every task multiplies its rows by the current block of axes and back, and Spark adds up the
 products by column. Besides the rows there is only the block, columns x (axes + spare) numbers;
-the columns are a vocabulary of bounded size.
+the columns are a vocabulary of bounded size. Up to ``GRAM_COLUMNS`` columns one pass sums up the
+columns' products with each other, columns x columns numbers, and the rounds need no other.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ SPARE = 16
 #: rounds end when no value moves by more than this share of the largest one, or at the latest
 TOLERANCE = 1e-11
 ROUNDS = 60
+#: at most so many columns have their products summed up once instead of in every round
+GRAM_COLUMNS = 1024
+#: rows that stand side by side in a task for that
+SIDE_BY_SIDE = 512
 #: triangular factors that come to the driver for the last merge
 FACTORS = 64
 
@@ -34,15 +39,20 @@ def packed_rows(weights: DataFrame, key: str, terms: list[str], term: str = "ter
     return written(numbered.groupBy(key).agg(F.collect_list(F.struct("i", "w")).alias("row")), "rows")
 
 
-def _products(batch: pa.RecordBatch, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Column, weight and row number of every entry of a batch, and the rows times the axes."""
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Column, weight and row number of every entry of a batch."""
     rows = batch.column(0).combine_chunks() if isinstance(batch.column(0), pa.ChunkedArray) else batch.column(0)
     entries = rows.flatten()
     column, weight = entries.field(0).to_numpy(zero_copy_only=False), entries.field(1).to_numpy(zero_copy_only=False)
-    number = np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy(zero_copy_only=False))
-    y = np.empty((len(rows), axes.shape[1]))
+    return column, weight, np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _products(batch: pa.RecordBatch, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The entries of a batch, and the rows times the axes."""
+    column, weight, number = _entries(batch)
+    y = np.empty((len(batch), axes.shape[1]))
     for j in range(axes.shape[1]):
-        y[:, j] = np.bincount(number, weight * axes[column, j], len(rows))
+        y[:, j] = np.bincount(number, weight * axes[column, j], len(batch))
     return column, weight, number, y
 
 
@@ -71,6 +81,28 @@ def _round(rows: DataFrame, axes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _gram(rows: DataFrame, width: int) -> np.ndarray:
+    """The matrix' Gram, width x width, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            for start in range(0, len(batch), SIDE_BY_SIDE):
+                some = batch.slice(start, SIDE_BY_SIDE)
+                column, weight, number = _entries(some)
+                side = np.bincount(number * width + column, weight, len(some) * width).reshape(len(some), width)
+                total += side.T @ side
+        i, j = np.nonzero(np.triu(total))
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], ["i", "j", "v"])
+
+    parts = rows.select("row").mapInArrow(run, "i int, j int, v double")
+    found = parts.groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()  # at most GRAM_COLUMNS^2 / 2 rows
+    i, j, v = (found[name].to_numpy() for name in ("i", "j", "v"))
+    out = np.zeros((width, width))
+    out[i, j] = out[j, i] = v
+    return out
+
+
 def _merged(factors: list[np.ndarray]) -> np.ndarray:
     return np.linalg.qr(np.vstack(factors), mode="r")
 
@@ -107,8 +139,9 @@ def leading_axes(rows: DataFrame, width: int, dims: int, seed: int = 42) -> np.n
     dims, size = min(dims, width), min(width, 2 * dims + SPARE)
     axes = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, size)))[0]
     last = np.full(dims, np.inf)
+    gram = _gram(rows, width) if size < width <= GRAM_COLUMNS else None
     for _ in range(ROUNDS if size < width else 0):
-        product = _round(rows, axes)
+        product = _round(rows, axes) if gram is None else gram @ axes
         values = np.linalg.eigvalsh(axes.T @ product)[::-1][:dims]
         if values[0] <= 0:
             break

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from slatewright.operators import embeddings
+from slatewright.operators import axes, embeddings
 from slatewright.operators.axes import leading_axes, packed_rows
 from slatewright.operators.sampling import weighted_sample
 from slatewright.plans import feed, models, queries
@@ -70,6 +70,21 @@ def test_leading_axes_equal_the_exact_ones(spark):
     assert np.allclose(got, leading_axes(rows, 120, 6), atol=1e-8)  # seeded
 
 
+def test_rounds_over_few_columns_read_the_rows_once(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    exact = rng.standard_normal((700, 90)) * 0.9 ** np.arange(90)
+    exact[rng.random((700, 90)) < 0.8] = 0
+    entries = [(int(i), f"t{j:03d}", float(exact[i, j])) for i, j in zip(*np.nonzero(exact))]
+    weights = spark.createDataFrame(entries, "id int, term string, weight double").repartition(3)
+    rows, passes, round_ = packed_rows(weights, "id", [f"t{j:03d}" for j in range(90)]), [], axes._round
+    monkeypatch.setattr(axes, "_round", lambda *given: passes.append(1) or round_(*given))
+    got = leading_axes(rows, 90, 5)
+    assert not passes
+    assert np.allclose(axes._gram(rows, 90), exact.T @ exact, atol=1e-9)
+    monkeypatch.setattr(axes, "GRAM_COLUMNS", 89)
+    assert np.allclose(got, leading_axes(rows, 90, 5), atol=1e-7) and len(passes) > 1
+
+
 def test_usual_values(spark, tmp_path):
     odd = [(1, "1", "b"), (2, "x", None), (3, None, "a"), (4, "NaN", "a"), (5, "4", "b"), (6, "2.5", "c"), (7, "100", None), (8, "inf", None)]
     rows = spark.createDataFrame(odd, "id int, n string, t string").withColumns({"none": F.lit(None).cast("double"), "void": F.lit(None).cast("string")})
