@@ -1,14 +1,14 @@
 """Main text of web pages: marked blocks, less the runs that repeat across the pages of a host.
 
-1. Every page is parsed once into blocks, each with a mark: *main* (inside an article or main
+1. Pages are parsed into blocks, each with a mark: *main* (inside an article or main
    element), *chrome* (menus, headers, footers, sidebars, notices, adverts, forms, comments) or
    *open* (nothing in the markup tells). A page with main blocks keeps those, any other its open
    blocks.
 2. The token streams of a host's pages form one suffix array, ordered by the leading ``RUN`` tokens of
    each suffix; neighbours that agree in them, from different pages, are long substrings that
-   repeat across pages. A main block is one run as a whole. Suffixes are dealt out by host, leading
-   tokens *and* page before they are counted, so a host with very many pages, or a line that all of
-   them have, is spread over all tasks.
+   repeat across pages. A main block is one run as a whole. Pages on which a run stands are counted
+   within tasks before the shuffle, so a host with very many pages, or a line that all of them have,
+   is spread over all tasks.
 3. Tokens of open blocks that such a substring covers are boilerplate. Pages also quote one another
    inside their articles, so a main block is boilerplate only if it stands on ``MAIN_PAGES`` pages of
    the host and on half of them; the unique runs stay.
@@ -210,57 +210,74 @@ def _host() -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?s).*?://([^/?#]*)", 1))
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """row, page_id, url, host, owner, main, texts, marks of every page, parsed once and written.
+def _kept(blocks: list[tuple[str, int]]) -> tuple[bool, list[str]]:
+    """Whether a page has main blocks, and the texts of those, or else of its open ones."""
+    main = [t for t, m in blocks if m == MAIN]
+    return bool(main), main or [t for t, m in blocks if m == OPEN]
 
-    owner: a hash of all blocks, equal for copies; main: the page has main blocks.
+
+def _owners(found: list[list[tuple[str, int]]]) -> pa.Array:
+    """A hash of all blocks of each page, equal for copies."""
+    return pa.array(tb.text_hashes([" ".join(t for t, _ in own) for own in found]).view(np.int64))
+
+
+def _parsed(keyed: DataFrame) -> DataFrame:
+    """host, h1, h2, owner, unclear, keys of every page, written; no text is.
+
+    unclear: without main blocks, with open ones; keys: hashes of the main blocks, in page order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [page_blocks(source or "") for source in batch.column(4).to_pylist()]
-            texts, marks = [[t for t, _ in own] for own in found], [[m for _, m in own] for own in found]
-            owner = tb.text_hashes([" ".join(own) for own in texts]).view(np.int64)
-            main = [MAIN in own for own in marks]
-            more = [pa.array(owner), pa.array(main), pa.array(texts, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *more], ["row", "page_id", "url", "host", "owner", "main", "texts", "marks"])
+            found = [page_blocks(source or "") for source in batch.column(3).to_pylist()]
+            main = [[t for t, m in own if m == MAIN] for own in found]
+            unclear = [not texts and any(m == OPEN for _, m in own) for texts, own in zip(main, found)]
+            bounds = np.concatenate([[0], np.cumsum([len(texts) for texts in main])])
+            hashes = pa.array(tb.text_hashes([t for texts in main for t in texts]).view(np.int64))
+            keys = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), hashes)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _owners(found), pa.array(unclear, pa.bool_()), keys], names)
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", _host().alias("host"), "html")
-    schema = f"row bigint, page_id {kind}, url string, host string, owner bigint, main boolean, texts array<string>, marks array<int>"
-    return written(rows.mapInArrow(run, schema), "parsed")
+    names = ["host", "h1", "h2", "owner", "unclear", "keys"]
+    schema = "host string, h1 bigint, h2 bigint, owner bigint, unclear boolean, keys array<bigint>"
+    return written(keyed.select("host", "h1", "h2", "html").mapInArrow(run, schema), "parsed")
 
 
-def _suffixes(parsed: DataFrame, main: bool) -> DataFrame:
-    """row, host, owner, key, block, place of runs: main blocks as a whole, or the suffixes of all other blocks."""
+def _suffixes(keyed: DataFrame) -> DataFrame:
+    """host, h1, h2, owner, key, block, place of the suffixes of all blocks outside main elements.
+
+    block: the number among the page's open blocks; null for chrome and on pages with main blocks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, keys, block, place = [], [], [], []
-            for texts, marks in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                at = [k for k, m in enumerate(marks) if (m == MAIN) == main]
-                if main:
-                    own = tb.text_hashes([texts[k] for k in at]), np.array(at, dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-                else:
-                    hashes, number, start = _windows([texts[k].split() for k in at])
-                    own = hashes, np.array(at, dtype=np.int64)[number.astype(np.int64)], start
-                counts.append(len(own[0]))
-                for held, more in zip((keys, block, place), own):
-                    held.append(more)
-            of = pa.array(np.repeat(np.arange(len(counts)), counts))
-            columns = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (keys, block, place)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(of) for k in range(3)), pa.array(columns[0].astype(np.uint64).view(np.int64)), *(pa.array(c.astype(np.int32)) for c in columns[1:])],
-                ["row", "host", "owner", "key", "block", "place"],
-            )
-
-    rows = parsed.select("row", "host", "owner", "texts", "marks")
-    return rows.mapInArrow(run, "row bigint, host string, owner bigint, key bigint, block int, place int")
-
-
-def _counted(suffixes: DataFrame) -> DataFrame:
-    """host, key, n: on how many distinct pages of the host a run stands; merged by page first, so that no run is one task."""
-    return suffixes.select("host", "key", "owner").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
+            found = [page_blocks(source or "") for source in batch.column(3).to_pylist()]
+            rows = pa.record_batch([*batch.columns[:3], _owners(found)], names[:4])
+            for k, own in enumerate(found):
+                outside = [(t, m) for t, m in own if m != MAIN]
+                keys, number, place = _windows([t.split() for t, _ in outside])
+                is_open = np.array([m == OPEN and len(outside) == len(own) for _, m in outside], dtype=bool)
+                number = number.astype(np.int64)
+                block = pa.array((np.cumsum(is_open) - 1)[number].astype(np.int32), mask=~is_open[number])
+                whole = rows.take(pa.array(np.full(len(keys), k)))
+                more = [pa.array(keys.astype(np.uint64).view(np.int64)), block, pa.array(place.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*whole.columns, *more], names)
+
+    names = ["host", "h1", "h2", "owner", "key", "block", "place"]
+    schema = "host string, h1 bigint, h2 bigint, owner bigint, key bigint, block int, place int"
+    return keyed.select("host", "h1", "h2", "html").mapInArrow(run, schema)
+
+
+def _common_blocks(parsed: DataFrame) -> DataFrame:
+    """host, key of the main blocks on ``MAIN_PAGES`` distinct pages of the host and on half of them.
+
+    Copies are merged first, so that each distinct page counts once; the counts are added up before
+    the shuffle, so that no host and no block is one task.
+    """
+    pages = parsed.groupBy("host", "owner").agg(F.collect_set("keys").alias("keys"))
+    size = parsed.select("host", "owner").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    runs = pages.select("host", F.explode(F.array_distinct(F.flatten("keys"))).alias("key"))
+    often = runs.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MAIN_PAGES)
+    return often.join(size, "host").where(2 * F.col("n") >= F.col("pages")).select("host", "key")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -268,42 +285,74 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null html counts as empty, a null url as the host "". Rows with the same page_id are kept
     apart. Ties don't arise. An empty table gives an empty result. Other columns are not read.
+    What is covered follows from the html and its host, so a page is told by these: by two hashes
+    of the html. What is written and shuffled are hashes; pages are parsed again for their texts.
     """
-    parsed = _parsed(pages)
-    size = parsed.select("host", "owner").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    runs = _suffixes(parsed, True)
-    common = _counted(runs).where(F.col("n") >= MAIN_PAGES).join(size, "host").where(2 * F.col("n") >= F.col("pages"))
-    covered = runs.join(common.select("host", "key"), ["host", "key"], "left_semi")
+    page = F.coalesce("html", F.lit(""))
+    hashes = [F.xxhash64(page).alias("h1"), F.xxhash64(page, F.lit(1)).alias("h2")]
+    keyed = pages.select("page_id", "url", _host().alias("host"), "html", *hashes)
+    parsed = _parsed(keyed)
+    common = written(_common_blocks(parsed), "common")
+    runs = parsed.select("host", "h1", "h2", F.posexplode("keys").alias("block", "key")).withColumn("place", F.lit(0))
+    covered = runs.join(common, ["host", "key"], "left_semi")
     # where the markup doesn't tell: suffixes of all blocks that pages of the host have outside main elements
-    open_ = F.array_contains("marks", OPEN)
-    unclear = parsed.where(~F.col("main") & open_)
-    hosts = unclear.select("host").distinct()
-    repeated = _counted(_suffixes(parsed.join(hosts, "host", "left_semi"), False)).where("n > 1").select("host", "key")
-    covered = covered.unionByName(_suffixes(unclear, False).join(repeated, ["host", "key"], "left_semi"))
-    covered = covered.groupBy("row").agg(F.collect_list(F.struct("block", "place")).alias("covered"))
-    return _unique_runs(parsed.join(covered, "row", "left"))
+    hosts = written(parsed.where("unclear").select("host").distinct(), "hosts")
+    suffixes = _suffixes(keyed.join(hosts, "host", "left_semi"))
+    # on two distinct pages at least
+    repeated = suffixes.groupBy("host", "key").agg(F.min("owner").alias("a"), F.max("owner").alias("b")).where("a < b")
+    own = suffixes.where("block is not null").join(repeated, ["host", "key"], "left_semi")
+    columns = ["host", "h1", "h2", "block", "place"]
+    covered = covered.select(*columns).unionByName(own.select(*columns)).groupBy("host", "h1", "h2")
+    # written, so that its size is known: where it is small, the texts are not shuffled
+    covered = written(covered.agg(F.collect_set(F.struct("block", "place")).alias("covered")), "covered")
+    return _unique_runs(_texts(keyed).join(covered, ["host", "h1", "h2"], "left"))
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    """page_id, url, host, h1, h2, main, size, text: the main blocks, or else the open ones, by lines, compressed.
+
+    size: bytes of the text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            found = [_kept(page_blocks(source or "")) for source in batch.column(5).to_pylist()]
+            raw = ["\n".join(texts).encode() for _, texts in found]
+            more = [
+                pa.array([main for main, _ in found], pa.bool_()),
+                pa.array([len(r) for r in raw], pa.int64()),
+                pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *more], names)
+
+    kind = keyed.schema["page_id"].dataType.simpleString()
+    names = ["page_id", "url", "host", "h1", "h2", "main", "size", "text"]
+    schema = f"page_id {kind}, url string, host string, h1 bigint, h2 bigint, main boolean, size bigint, text binary"
+    return keyed.select("page_id", "url", "host", "h1", "h2", "html").mapInArrow(run, schema)
 
 
 def _unique_runs(left: DataFrame) -> DataFrame:
     """page_id, url, text: the main blocks, or else the open ones, without the covered tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             out = []
-            for main, texts, marks, covered in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+            for main, size, packed, covered in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+                text = codec.decompress(packed, size, asbytes=True).decode()
                 gone: dict[int, set[int]] = {}
                 for hit in covered or ():
                     gone.setdefault(hit["block"], set()).update(range(hit["place"], hit["place"] + RUN))
-                if main:
-                    runs = [t for k, (t, m) in enumerate(zip(texts, marks)) if m == MAIN and k not in gone]
-                else:
+                if gone:
                     runs = [
-                        t if k not in gone else " ".join(w for i, w in enumerate(t.split()) if i not in gone[k])
-                        for k, (t, m) in enumerate(zip(texts, marks)) if m == OPEN
+                        t if k not in gone else "" if main else " ".join(w for i, w in enumerate(t.split()) if i not in gone[k])
+                        for k, t in enumerate(text.split("\n"))
                     ]
-                out.append("\n".join(r for r in runs if r))
+                    text = "\n".join(r for r in runs if r)
+                out.append(text)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     kind = left.schema["page_id"].dataType.simpleString()
-    rows = left.select("page_id", "url", "main", "texts", "marks", "covered")
+    rows = left.select("page_id", "url", "main", "size", "text", "covered")
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string")

@@ -1,8 +1,11 @@
 """Main text against a plain version over whole hosts, and chrome that class names tell."""
 
+from pyspark.sql.types import StringType
+
 from slatewright.llm import main_text
 from slatewright.llm.main_text import CHROME, MAIN, MAIN_PAGES, OPEN, RUN, page_blocks
 from slatewright.llm.queries import prepared
+from slatewright.session import written
 
 
 def plain(pages):
@@ -62,6 +65,24 @@ def test_repeated_runs_in_and_outside_main_elements(spark):
     assert texts[20] == "page 0\n0" and texts[33] == line
 
 
+def test_no_texts_are_written_or_shuffled(spark, folder, monkeypatch):
+    prepared(spark)
+    kept = []
+    monkeypatch.setattr(main_text, "written", lambda df, name: (kept.append(df), written(df, name))[1])
+    found = main_text.main_text(spark.read.parquet(f"{folder}/pages.parquet"))
+    assert found.count() and {f.name for df in kept for f in df.schema if f.dataType == StringType()} == {"host"}
+    # no page of this table repeats a block so often that something is covered: nothing is left to join with
+    assert "SortMergeJoin" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_markup_that_differs_in_pages_with_the_same_words(spark):
+    # one page by its words, so the blocks of both forms count once, each form keeps its own
+    pages = [(k, f"http://a.org/{k}", f"<main><p>page {k}</p><p>a line of all</p></main>") for k in range(6)]
+    pages += [(9, "http://a.org/9", "<main><p>page 0</p></main><p>a line of all</p>"), (10, "http://a.org/9", "<p>page 0</p><p>a line of all</p>")]
+    assert dict(run(spark, pages)) == {**{k: f"page {k}" for k in range(6)}, 9: "page 0", 10: "page 0\na line of all"}
+
+
 def test_no_pages(spark):
     assert run(spark, []) == []
 
