@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,9 @@ SIM_V2 = [c for c in SIM_V3 if c not in ("recent_save_count", "recent_hide_count
 # a tree model has one bin per category value at most this many
 MAX_BINS = 128
 
+# rows of a task in a pass over the training rows: at least (a pass costs more than they do), at most (they are kept in memory)
+LEAST_ROWS, MOST_ROWS = 10_000, 500_000
+
 
 class NotTrainable(ValueError):
     """Empty data or a single label."""
@@ -109,17 +113,48 @@ def classifier(name: str, n: int, label: str = "clicked", max_iter: int = 1000,
     raise ValueError(f"unsupported model name: {name}")
 
 
+def even_parts(n: int, cores: int) -> int:
+    """Partitions of ``n`` rows that trees pass over again and again: as many for each core, so that no core waits."""
+    if n <= cores * LEAST_ROWS:
+        return max(1, -(-n // LEAST_ROWS))
+    return cores * -(-n // (cores * MOST_ROWS))
+
+
+def varying(rows: DataFrame) -> list[int]:
+    """Entries of the features that have more than one value; the first if none has."""
+    found = rows.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("s")).first()["s"]
+    return [k for k, (lo, hi) in enumerate(zip(found["min"], found["max"])) if lo != hi] or [0]
+
+
+def fitted(stages: list, model, rows: DataFrame, n: int) -> PipelineModel:
+    """Pipeline of the stages and the model, fitted on ``n`` rows.
+
+    Trees take hundreds of passes, one a level: they get the rows in even parts. Boosted trees get
+    the features that vary only: they try every feature, and one that doesn't vary splits nothing.
+    A forest draws the features it tries, so there all of them stay.
+    """
+    if isinstance(model, LogisticRegression):
+        return Pipeline(stages=[*stages, model]).fit(rows)
+    ready = Pipeline(stages=stages).fit(rows)
+    done = ready.stages
+    even = ready.transform(rows.repartition(even_parts(n, rows.sparkSession.sparkContext.defaultParallelism)))
+    if isinstance(model, GBTClassifier):
+        slicer = VectorSlicer(inputCol="features", outputCol="varying_features", indices=varying(ready.transform(rows)))
+        done, even, model = [*done, slicer], slicer.transform(even), model.setFeaturesCol("varying_features")
+    return PipelineModel([*done, model.fit(even.select(model.getFeaturesCol(), model.getLabelCol()))])
+
+
 def fit_v1(train: DataFrame, name: str = "logistic", label: str = "clicked", **given) -> PipelineModel:
     n = check_trainable(train, label)
     numeric, categorical = existing(train, V1_NUMERIC), existing(train, V1_CATEGORICAL)
-    return Pipeline(stages=[*preprocess_v1(numeric, categorical), classifier(name, n, label, **given)]).fit(train)
+    return fitted(preprocess_v1(numeric, categorical), classifier(name, n, label, **given), train, n)
 
 
 def fit_v2(train: DataFrame, name: str = "logistic", label: str = "clicked", **given) -> PipelineModel:
     n = check_trainable(train, label)
     numeric, categorical = existing(train, NUMERIC_FEATURES), existing(train, CATEGORICAL_FEATURES)
     ready = fill_constant(train, numeric, categorical)
-    return Pipeline(stages=[*preprocess_v2(numeric, categorical), classifier(name, n, label, **given)]).fit(ready)
+    return fitted(preprocess_v2(numeric, categorical), classifier(name, n, label, **given), ready, n)
 
 
 def fit_simulated(
@@ -132,7 +167,7 @@ def fit_simulated(
         stages = preprocess_v2(names, [])
     else:
         stages = [VectorAssembler(inputCols=names, outputCol="features")]
-    return Pipeline(stages=[*stages, classifier("logistic", n, label, max_iter=3000)]).fit(ready)
+    return fitted(stages, classifier("logistic", n, label, max_iter=3000), ready, n)
 
 
 def predict(model: PipelineModel, df: DataFrame, score_as: str = "model_score") -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from slatewright.operators import axes, embeddings
@@ -142,3 +143,32 @@ def test_models_train_score_save_and_guard(spark, tmp_path):
     assert not feed.usable(model, rows.drop("source")) and feed.usable(model, rows)
     fallback = feed.score_v2(rows.drop("source").withColumn("item_ctr_prior", F.lit(1.0)), model)
     assert fallback.first()["model_score"] == pytest.approx(0.35)
+
+
+def test_boosted_trees_get_even_parts_and_the_inputs_that_vary(spark, tmp_path, monkeypatch):
+    rows = spark.range(600).select(
+        F.col("id").alias("event_id"), (F.col("id") % 7 < 3).cast("int").alias("clicked"), (F.col("id") % 7).alias("hour"),
+        (F.col("id") % 24).alias("rank_position"), F.lit(0).alias("recent_click_count"),
+        F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.lit("all").alias("policy_name"),
+    ).coalesce(1)
+    seen = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: (seen.append((df.rdd.getNumPartitions(), self.getFeaturesCol())), fit(self, df))[1])
+    monkeypatch.setattr(models, "LEAST_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    model = models.fit_v2(rows, "gbt", maxIter=3)
+    assert seen == [(cores, "varying_features")]
+    # two numbers and three sources; the constant number, the constant text and unseen values are left out
+    assert model.stages[-2].getIndices() == [0, 1, 3, 4, 5] and model.stages[-1].numFeatures == 5
+    # the same trees as with all features
+    constant = rows.withColumns({"hour": F.lit(1), "rank_position": F.lit(2), "source": F.lit("s")})
+    assert models.fit_v2(constant, "gbt", maxIter=1).stages[-1].numFeatures == 1
+    monkeypatch.setattr(models, "varying", lambda df: list(range(df.schema["features"].metadata["ml_attr"]["num_attrs"])))
+    whole = models.fit_v2(rows, "gbt", maxIter=3)
+    assert whole.stages[-1].numFeatures == 9
+    by_id = lambda df: {r["event_id"]: r["model_score"] for r in df.collect()}
+    ready = models.fill_constant(rows, ["hour", "rank_position", "recent_click_count"], ["source", "policy_name"])
+    assert by_id(models.predict(model, ready)) == by_id(models.predict(whole, ready))
+    models.save(model, str(tmp_path), "gbt")
+    assert by_id(models.predict(models.load(str(tmp_path), "gbt"), ready)) == by_id(models.predict(model, ready))
+    assert [models.even_parts(n, 12) for n in (0, 600, 119_000, 121_000, 6_000_000, 6_000_001)] == [1, 6, 12, 12, 12, 24]
