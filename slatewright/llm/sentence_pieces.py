@@ -10,9 +10,11 @@
    piece. Characters outside the model become their bytes.
 4. Texts get their units' ids: the most frequent units, at most ``HEAD`` and ``HEAD_BYTES``, travel
    to the tasks; the rest are joined by unit. Units longer than ``LONGEST`` characters go to the
-   library in the task, as a lattice fold grows with the square of a unit.
+   library in the task, as a lattice fold grows with the square of a unit. No text is shuffled, but
+   the numbers of its units, compressed: its frequent ones by rank, its rare ones by their place
+   among its own.
 5. Decoding joins the pieces' bytes, turns space marks into spaces and drops the leading one; the
-   round trip compares that with the whole text.
+   round trip compares length and hash of that with those of the whole text.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatewright.llm import textbytes as tb
-from slatewright.session import written
+from slatewright.session import bucketed
 
 HEAD, HEAD_BYTES = 400_000, 24 << 20
 UNITS = 400_000  # that a task counts before it hands them on
@@ -81,9 +83,31 @@ def load_model(path: str, kind: str = "bpe") -> Model:
     return Model(data, pieces, surfaces, byte_ids, units, kind)
 
 
+def packed_units(units: list[str], counts: list[int]) -> tuple[int, bytes]:
+    """Units and their counts as bytes: the size, and the bytes compressed."""
+    raw = [u.encode() for u in units]
+    numbers = np.array([len(raw), *map(len, raw)], dtype="<u4"), np.array(counts, dtype="<i8")
+    data = b"".join([*(x.tobytes() for x in numbers), *raw])
+    return len(data), pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def unpacked_units(size: int, packed: bytes) -> pa.Table:
+    """unit, n of :func:`packed_units`."""
+    data = pa.Codec("zstd").decompress(packed, size, asbytes=True)
+    n = int(np.frombuffer(data, dtype="<u4", count=1)[0])
+    lengths = np.frombuffer(data, dtype="<u4", count=n, offset=4)
+    counts = np.frombuffer(data, dtype="<i8", count=n, offset=4 * (n + 1)).copy()
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+    units = pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data[4 * (n + 1) + 8 * n :]))
+    return pa.table({"unit": units, "n": pa.array(counts)})
+
+
 def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
-    """unit, n: the distinct units of all texts, those beyond ``LONGEST`` characters left out."""
-    pattern = model.units
+    """unit, n: the distinct units of all texts, those beyond ``LONGEST`` characters left out.
+
+    The tasks' counts travel packed, in as many buckets as there are shuffle partitions.
+    """
+    pattern, parts = model.units, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, odd, even = Cutter(pattern), Counter(), UnitTally()
@@ -92,9 +116,13 @@ def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
             for unit, n in even.emptied():
                 odd[unit] += n
             some = sorted(u for u in odd if len(u) <= LONGEST)  # in order, they compress better
-            rows = [pa.array(some, pa.string()), pa.array([odd[u] for u in some], pa.int64())]
+            bucket = (tb.text_hashes(some) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if some else []
+            packs = [packed_units([some[k] for k in g], [odd[some[k]] for k in g]) for g in map(np.ndarray.tolist, groups)]
             odd.clear()
-            return pa.RecordBatch.from_arrays(rows, ["unit", "n"])
+            numbers = [pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.array([n for n, _ in packs], pa.int64())]
+            return pa.RecordBatch.from_arrays([*numbers, pa.array([x for _, x in packs], pa.binary())], ["bucket", "size", "packed"])
 
         for batch in batches:
             for row, stop, data, offsets in tb.blocks(batch.column(0)):
@@ -107,9 +135,13 @@ def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
                     yield held()
         yield held()
 
-    found = docs.select("text").mapInArrow(run, "unit string, n bigint")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return found.repartition(parts, "unit").groupBy("unit").agg(F.sum("n").alias("n"))
+    def merged(rows: pa.Table) -> pa.Table:
+        own = pa.concat_tables([unpacked_units(n, x) for n, x in zip(rows["size"].to_pylist(), rows["packed"].to_pylist())])
+        return own.group_by("unit").aggregate([("n", "sum")]).rename_columns(["unit", "n"]).sort_by("unit")
+
+    found = docs.select("text").mapInArrow(run, "bucket int, size bigint, packed binary")
+    # in order, they compress better
+    return found.groupBy("bucket").applyInArrow(merged, "unit string, n bigint").repartition(parts, "unit")
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
@@ -218,8 +250,9 @@ def decoded(rows: DataFrame, model: Model, ids: str = "ids") -> F.Column:
 
 
 def dictionary(docs: DataFrame, model: Model) -> DataFrame:
-    """unit, n, ids of all units of the corpus, written once."""
-    return written(unit_ids(unit_counts(docs, model), model), "units")
+    """unit, n, ids of all units of the corpus, written once, in buckets by unit."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(unit_ids(unit_counts(docs, model), model), "units", "unit", parts)
 
 
 #: classes of bytes for texts of ASCII and letters only: space, letter, line feed, other
@@ -300,6 +333,11 @@ class UnitTally:
         return out
 
 
+def head_column(head: bytes, name: str) -> pa.Array:
+    table = pa.ipc.open_stream(head).read_all().combine_chunks()
+    return table[name].chunk(0) if table.num_rows else pa.array([], table[name].type)
+
+
 class Coder:
     """In a task: units of texts, with the frequent ones' encodings and the library for very long ones."""
 
@@ -308,11 +346,7 @@ class Coder:
 
         self.cutter = Cutter(pattern)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model_data)
-        table = pa.ipc.open_stream(head).read_all().combine_chunks()
-        ids, units = (table[c].chunk(0) if table.num_rows else pa.array([], table[c].type) for c in ("ids", "unit"))
-        self.sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.first = np.concatenate([[0], np.cumsum(self.sizes)])[:-1].astype(np.int64)
-        self.flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        units = head_column(head, "unit")
         bare = pc.utf8_ltrim(units, characters=SPACE)
         spaces = pc.subtract(pc.binary_length(units), pc.binary_length(bare)).to_numpy(zero_copy_only=False) // len(SPACE.encode())
         sizes = pc.binary_length(bare).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -380,19 +414,49 @@ class Decoder:
         dropped = np.concatenate([[0], np.cumsum(~keep)])
         return data[keep], offsets - dropped[offsets]
 
-    def same(self, ids: np.ndarray, bounds: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Which texts their ids decode to."""
-        back, own = self.texts(ids, bounds)
-        good = np.diff(own) == np.diff(offsets)
-        of = lambda x, o: x[np.repeat(good, np.diff(o))]
-        wrong = np.concatenate([[0], np.cumsum(of(back, own) != of(data, offsets))])
-        ends = np.cumsum(np.diff(offsets)[good])
-        good[np.flatnonzero(good)] = wrong[ends] == wrong[ends - np.diff(offsets)[good]]
-        return good
 
-
-def head_of(coded: DataFrame, limit: int = HEAD, most_bytes: int = HEAD_BYTES) -> bytes:
-    """The most frequent units with their ids, as an Arrow stream: all those at least as frequent as
+def numbered(data: np.ndarray) -> bytes:
+    """Numbers as bytes, the shorter of two codes: planes of their bytes (better where runs of them
+    repeat), or for each number how many bits follow its first one, and then these bits."""
+    codec = pa.Codec("zstd")
+    planes = codec.compress(np.ascontiguousarray(data.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), asbytes=True)
+    sizes, owner, place = _bit_places(np.frexp((data + 1).astype(np.float64))[1].astype(np.int64) - 1)
+    bits = np.packbits((((data + 1)[owner] >> place) & 1).astype(np.uint8)).tobytes()
+    small = codec.compress(sizes.astype(np.uint8).tobytes(), asbytes=True)
+    if len(planes) <= len(small) + len(bits) + 4:
+        return b"\0" + planes
+    return b"\1" + len(small).to_bytes(4, "little") + small + bits
+
+
+def numbers_of(packed: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of :func:`numbered`."""
+    codec = pa.Codec("zstd")
+    if packed[0] == 0:
+        planes = np.frombuffer(codec.decompress(packed[1:], 4 * n, asbytes=True), dtype=np.uint8)
+        return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
+    stop = 5 + int.from_bytes(packed[1:5], "little")
+    sizes, owner, place = _bit_places(np.frombuffer(codec.decompress(packed[5:stop], n, asbytes=True), dtype=np.uint8).astype(np.int64))
+    bits = np.unpackbits(np.frombuffer(packed, dtype=np.uint8, offset=stop), count=len(owner)).astype(np.int64)
+    rest = np.bincount(owner, weights=bits << place, minlength=n).astype(np.int64)  # exact: below 2**32
+    return (np.int64(1) << sizes) + rest - 1
+
+
+def _bit_places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, and for each bit its number and its place in it."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return sizes, owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def own_units(bounds: np.ndarray, units: dict[int, str]) -> dict[int, dict[str, int]]:
+    """Of each text the units that are not in the head, numbered: those to be joined first, in order, then the long ones."""
+    own: dict[int, set[str]] = {}
+    for k, unit in zip((np.searchsorted(bounds, list(units), "right") - 1).tolist(), units.values()):
+        own.setdefault(k, set()).add(unit)
+    return {k: {u: i for i, u in enumerate(sorted(some, key=lambda u: (len(u) > LONGEST, u)))} for k, some in own.items()}
+
+
+def head_of(coded: DataFrame, limit: int = HEAD, most_bytes: int = HEAD_BYTES) -> tuple[bytes, DataFrame]:
+    """The most frequent units with their ids, as an Arrow stream, and the rest: all those at least as frequent as
     the lowest level, found by counting, down to which they are no more than ``limit`` and ``most_bytes``."""
     level = F.floor(F.log2("n") * 16).cast("int")
     held = F.sum(F.octet_length("unit") + 4 * F.size("ids") + 12)
@@ -401,70 +465,102 @@ def head_of(coded: DataFrame, limit: int = HEAD, most_bytes: int = HEAD_BYTES) -
         if total + n > limit or size + b > most_bytes:
             break
         total, size, lowest = total + n, size + b, at
-    table = coded.where(level >= (lowest if lowest is not None else 1 << 30)).select("unit", "ids").toArrow()
+    inside = level >= (lowest if lowest is not None else 1 << 30)
+    # the most frequent ones have the smallest numbers
+    table = coded.where(inside).select("unit", "ids", "n").toArrow().sort_by([("n", "descending")]).select(["unit", "ids"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as stream:
         stream.write_table(table)
-    return sink.getvalue().to_pybytes()
+    return sink.getvalue().to_pybytes(), coded.where(~inside)
 
 
 def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str] | None = None, check: bool = False) -> DataFrame:
     """The rows of ``docs`` with ``ids`` (array of int), as the library encodes the text, and ``n_tokens``.
 
-    With ``check`` also ``round_trip``: the ids decode to exactly the text; a text with a space mark
-    of the model (U+2581) doesn't come back. Of the columns of ``docs``, those named are returned, or
-    else all. One named ids, n_tokens or (with check) round_trip is replaced. Null and empty texts
-    have no ids and come back as the empty text; repeated rows stay; an empty table gives no rows.
+    With ``check`` also ``round_trip``: the ids decode to exactly the text, by length and hash; a text
+    with a space mark of the model (U+2581) doesn't come back. Of the columns of ``docs``, those named
+    are returned, or else all. One named ids, n_tokens or (with check) round_trip is replaced. Null and
+    empty texts have no ids and come back as the empty text; repeated rows stay; an empty table gives
+    no rows.
     """
-    coded = dictionary(docs, model)
-    sent = docs.sparkSession.sparkContext.broadcast((model.data, model.units, head_of(coded, head), model.surfaces))
+    frequent, rest = head_of(dictionary(docs, model), head)
+    sent = docs.sparkSession.sparkContext.broadcast((model.data, model.units, frequent))
+    surfaces, width = model.surfaces, 2 if len(model.surfaces) <= 1 << 16 else 3
     added = ["ids", "n_tokens", "round_trip"] if check else ["ids", "n_tokens"]
     named = [c for c in columns or docs.columns if c not in added]
-    # equal texts have equal ids, so a text is told by two hashes of it
-    hashes = [F.xxhash64("text").alias("h1"), F.xxhash64("text", F.lit(1)).alias("h2")]
+    # equal texts have equal ids, so a text is told by two hashes of it, of 64 and 32 bits
+    hashes = [F.xxhash64("text").alias("h1"), F.shiftrightunsigned(F.xxhash64("text", F.lit(1)), 32).alias("h2")]
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in named]).alias("row"), "text", *hashes)
     texts = docs.select(*hashes, "text")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(*sent.value[:3])
+        coder = Coder(*sent.value)
         for batch in batches:
             for row, stop, data, offsets in tb.blocks(batch.column(2)):
                 _, bounds, units = coder.cut(data, offsets, batch.column(2)[row:stop].to_pylist())
+                own = [(row + k, i, u) for k, some in own_units(bounds, units).items() for u, i in some.items() if len(u) <= LONGEST]
+                at = pa.array([k for k, *_ in own], pa.int32())
+                # the place in the text above the 32 bits of the second hash
+                place = pc.add(pc.shift_left(pa.array([i for _, i, _ in own], pa.int64()), 32), batch.column(1).take(at))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), place, pa.array([u for *_, u in own], pa.string())], ["h1", "place", "unit"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(*sent.value)
+        for batch in batches:
+            for row, stop, data, offsets in tb.blocks(batch.column(1)):
+                rows, bounds, units = coder.cut(data, offsets, batch.column(1)[row:stop].to_pylist())
+                own, rows = own_units(bounds, units), rows.copy()
                 owners = np.searchsorted(bounds, list(units), "right") - 1
-                own = {(k, u) for k, u in zip(owners.tolist(), units.values()) if len(u) <= LONGEST}
-                at = pa.array([row + k for k, _ in own], pa.int32())
-                found = pa.array([u for _, u in own], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), found], ["h1", "h2", "unit"])
+                rows[list(units)] = [len(coder.rows) + own[k][u] for k, u in zip(owners.tolist(), units.values())]
+                long = [[coder.long_ids(u) for u in own.get(k, ()) if len(u) > LONGEST] for k in range(stop - row)]
+                more = [
+                    pa.array([numbered(rows[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                    pa.array(np.diff(bounds), pa.int64()),
+                    pa.array(long, pa.list_(pa.list_(pa.int32()))),
+                    pa.array(np.diff(offsets), pa.int64()),
+                    pa.array(tb.range_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays([*(batch.column(j)[row:stop] for j in (0, 2, 3)), *more], names)
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *parts, surfaces = sent.value
-        coder, decoder = Coder(*parts), Decoder(surfaces)
+        head_ids = head_column(sent.value[2], "ids")
+        head_sizes = pc.list_value_length(head_ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        head_flat = head_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        decoder = Decoder(surfaces)
         for batch in batches:
-            for row, stop, data, offsets in tb.blocks(batch.column(1)):
-                rows, bounds, units = coder.cut(data, offsets, batch.column(1)[row:stop].to_pylist())
-                given = {m["unit"]: m["ids"] for more in batch.column(2)[row:stop].to_pylist() for m in more or ()}
-                # the block's own units follow those of the head
-                own = {u: k for k, u in enumerate(dict.fromkeys(units.values()))}
-                if own:
-                    rows = rows.copy()
-                    rows[list(units)] = [len(coder.sizes) + own[u] for u in units.values()]
-                added = [given[u] if len(u) <= LONGEST else coder.long_ids(u) for u in own]
-                more_sizes = np.array([len(ids) for ids in added], dtype=np.int64)
-                sizes = np.concatenate([coder.sizes, more_sizes])
-                starts = np.concatenate([coder.first, len(coder.flat) + np.cumsum(more_sizes) - more_sizes])
-                flat = np.concatenate([coder.flat, np.array([i for ids in added for i in ids], dtype=np.int32)])
-                length = sizes[rows]
+            counts = batch.column(2).to_numpy()
+            group = np.cumsum(counts) // tb.BLOCK
+            for at in np.split(np.arange(len(counts)), np.flatnonzero(np.diff(group)) + 1) if len(counts) else ():
+                own, sizes, flat, total = [], [head_sizes], [head_flat], len(head_sizes)
+                columns = (batch.column(j)[at[0] : at[-1] + 1] for j in (1, 2, 3, 6))
+                for packed, n, long, more in zip(*(c.to_pylist() for c in columns)):
+                    rows = numbers_of(packed, n)
+                    own.append(np.where(rows < len(head_sizes), rows, rows + (total - len(head_sizes))))
+                    # a place in four bytes, then the ids
+                    given = sorted(more or ())
+                    bytes_ = np.frombuffer(b"".join(x[4:] for x in given), dtype=np.uint8).reshape(-1, width).astype(np.int32)
+                    flat += [bytes_ @ (256 ** np.arange(width - 1, -1, -1, dtype=np.int32)), *(np.array(x, dtype=np.int32) for x in long)]
+                    sizes.append(np.array([*((len(x) - 4) // width for x in given), *map(len, long)], dtype=np.int64))
+                    total += len(sizes[-1])
+                rows, size, all_ids = np.concatenate(own), np.concatenate(sizes), np.concatenate(flat)
+                starts, length = np.cumsum(size) - size, size[rows]
                 stops = np.concatenate([[0], np.cumsum(length)])
-                ids = flat[np.arange(stops[-1]) + np.repeat(starts[rows] - stops[:-1], length)]
-                lists = pa.ListArray.from_arrays(pa.array(stops[bounds], pa.int32()), pa.array(ids, pa.int32()))
-                out = [batch.column(0)[row:stop], lists]
+                ids = all_ids[np.arange(stops[-1]) + np.repeat(starts[rows] - stops[:-1], length)]
+                bounds = stops[np.concatenate([[0], np.cumsum(counts[at])])]
+                out = [batch.column(0)[at[0] : at[-1] + 1], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
                 if check:
-                    out.append(pa.array(decoder.same(ids, stops[bounds], data, offsets)))
+                    back, offsets = decoder.texts(ids, bounds)
+                    same = np.diff(offsets) == batch.column(4).to_numpy()[at]
+                    out.append(pa.array(same & (tb.range_hashes(back, offsets[:-1], offsets[1:]).view(np.int64) == batch.column(5).to_numpy()[at])))
                 yield pa.RecordBatch.from_arrays(out, ["row", "ids", "round_trip"][: len(out)])
 
-    looked = texts.mapInArrow(rare, "h1 bigint, h2 bigint, unit string").join(coded.select("unit", "ids"), "unit")
-    looked = looked.groupBy("h1", "h2").agg(F.collect_set(F.struct("unit", "ids")).alias("more"))
-    full = keyed.join(looked, ["h1", "h2"], "left").select("row", "text", "more")
-    schema = f"row {keyed.schema['row'].dataType.simpleString()}, ids array<int>" + ", round_trip boolean" * check
-    found = full.mapInArrow(assembled, schema)
+    names = ["row", "h1", "h2", "numbers", "n", "long", "size", "mark"]
+    kind = keyed.schema["row"].dataType.simpleString()
+    numbers = keyed.mapInArrow(cut, f"row {kind}, h1 bigint, h2 bigint, numbers binary, n bigint, long array<array<int>>, size bigint, mark bigint")
+    as_bytes = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 2 * width, "0")), ""))
+    looked = texts.mapInArrow(rare, "h1 bigint, place bigint, unit string").join(rest.select("unit", as_bytes.alias("ids")), "unit")
+    entry = F.concat(F.unhex(F.lpad(F.hex(F.shiftrightunsigned("place", 32)), 8, "0")), "ids")
+    looked = looked.groupBy("h1", F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("h2")).agg(F.collect_set(entry).alias("more"))
+    full = numbers.join(looked, ["h1", "h2"], "left").select("row", "numbers", "n", "long", "size", "mark", "more")
+    found = full.mapInArrow(assembled, f"row {kind}, ids array<int>" + ", round_trip boolean" * check)
     return found.select("row.*", "ids", F.size("ids").cast("bigint").alias("n_tokens"), *["round_trip"] * check)

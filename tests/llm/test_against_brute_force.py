@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,34 @@ def by_id(df, key="doc_id"):
     return out
 
 
+def test_pieces_shuffle_neither_texts_nor_the_dictionary(spark, folder):
+    docs = prepared(spark).read.parquet(f"{folder}/documents.parquet")
+    model = sentence_pieces.load_model(tokenizer_path(PIECE_MODEL))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sentence_pieces.encoded(docs, model, head=50, columns=["doc_id"], check=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"Exchange hashpartitioning\(([^,]*)#", plan)
+    # the numbers of the texts' units, the rare units, the ids found for them
+    assert sorted(shuffled) == ["h1", "h1", "unit"]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("units")]
+    assert {r.round_trip for r in found.collect()} == {True}
+
+
+def test_numbers_and_units_packed():
+    rng = np.random.default_rng(1)
+    for own in ([], [0], [0] * 9, [2**31, 0, 5], [*range(300)] * 3, rng.integers(0, 4000, 999).tolist(), rng.integers(0, 2**32 - 1, 99).tolist()):
+        packed = sentence_pieces.numbered(np.array(own, dtype=np.int64))
+        assert sentence_pieces.numbers_of(packed, len(own)).tolist() == own
+    repeated, spread = np.tile(rng.integers(0, 4000, 50), 20), rng.integers(0, 4000, 999)
+    assert sentence_pieces.numbered(repeated)[0] == 0 and sentence_pieces.numbered(spread)[0] == 1
+    units = ["", "\u2581a", "\x00", "\U0001f600" * 96]
+    table = sentence_pieces.unpacked_units(*sentence_pieces.packed_units(units, [1, 2**40, 3, 4]))
+    assert table.to_pydict() == {"unit": units, "n": [1, 2**40, 3, 4]}
+
+
 def test_sentence_pieces_equal_the_library(docs, rows):
     import sentencepiece
 
