@@ -4,10 +4,10 @@
    before it, a run of other characters) and count them. Only distinct units are encoded.
 2. Lattice: each unit is exploded into its substrings up to the longest piece, these are equi-joined
    to the piece table (of the model's size, a bounded broadcast), and the edges are grouped by unit.
-3. Fold: a higher-order aggregate over the edges gives the pieces of each unit. For a unigram
-   model that is Viterbi. For a BPE model, whose result is not the best path but the outcome of
-   its merges, each step of the fold joins the neighbouring pieces that make the highest-scored
-   piece. Characters outside the model become their bytes.
+3. Fold over the edges, which gives the pieces of each unit. For a unigram model that is Viterbi,
+   a higher-order aggregate. For a BPE model, whose result is not the best path but the outcome of
+   its merges, each step joins in every unit the neighbouring pieces that make the highest-scored
+   piece; tasks do that for many units at a time. Characters outside the model become their bytes.
 4. Texts get their units' ids: the most frequent units, at most ``HEAD`` and ``HEAD_BYTES``, travel
    to the tasks; the rest are joined by unit. Units longer than ``LONGEST`` characters go to the
    library in the task, as a lattice fold grows with the square of a unit. No text is shuffled, but
@@ -34,6 +34,7 @@ from slatewright.session import bucketed
 
 HEAD, HEAD_BYTES = 400_000, 24 << 20
 UNITS = 400_000  # that a task counts before it hands them on
+FOLDED = 8192  # units folded at a time
 LONGEST = 96
 SPACE = "▁"
 IDS = 1 << 17  # more than a model has ids
@@ -83,14 +84,24 @@ def load_model(path: str, kind: str = "bpe") -> Model:
     return Model(data, pieces, surfaces, byte_ids, units, kind)
 
 
-def packed_units(units: list[str], counts: list[int]) -> tuple[int, bytes]:
+def packed_units(units: pa.Array | list[str], counts: np.ndarray | list[int]) -> tuple[int, bytes]:
     """Units and their counts as bytes: the size, and the bytes compressed."""
-    raw = [u.encode() for u in units]
-    numbers = np.array([len(raw), *map(len, raw)], dtype="<u4"), np.array(counts, dtype="<i8")
-    data = b"".join([*(x.tobytes() for x in numbers), *raw])
+    held = pa.array(units, pa.string()) if isinstance(units, list) else units
+    lengths = pc.binary_length(held).to_numpy(zero_copy_only=False)
+    numbers = np.concatenate([[len(held)], lengths]).astype("<u4"), np.asarray(counts, dtype="<i8")
+    data = b"".join([*(x.tobytes() for x in numbers), flat(held)[0].tobytes()])
     return len(data), pa.Codec("zstd").compress(data, asbytes=True)
 
 
+def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, none of them null, and their offsets."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = texts.buffers()[2]
+    if not len(texts) or held is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(texts) + 1, dtype=np.int64)
+    return np.frombuffer(held, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def unpacked_units(size: int, packed: bytes) -> pa.Table:
     """unit, n of :func:`packed_units`."""
     data = pa.Codec("zstd").decompress(packed, size, asbytes=True)
@@ -113,15 +124,22 @@ def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
         cutter, odd, even = Cutter(pattern), Counter(), UnitTally()
 
         def held() -> pa.RecordBatch:
-            for unit, n in even.emptied():
-                odd[unit] += n
-            some = sorted(u for u in odd if len(u) <= LONGEST)  # in order, they compress better
-            bucket = (tb.text_hashes(some) % np.uint64(parts)).astype(np.int64)
+            units, counts = even.emptied()
+            if odd:
+                units = pa.concat_arrays([units, pa.array(odd, pa.string())])
+                counts = np.concatenate([counts, np.fromiter(odd.values(), np.int64, len(odd))])
+                odd.clear()
+            short = np.flatnonzero(pc.less_equal(pc.utf8_length(units), LONGEST).to_numpy(zero_copy_only=False))
+            units = units.take(pa.array(short))
+            order = pc.sort_indices(units)  # in order, they compress better
+            units, counts = units.take(order), counts[short][order.to_numpy()]
+            data, offsets = flat(units)
+            bucket = (tb.range_hashes(data, offsets[:-1], offsets[1:]) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if some else []
-            packs = [packed_units([some[k] for k in g], [odd[some[k]] for k in g]) for g in map(np.ndarray.tolist, groups)]
-            odd.clear()
-            numbers = [pa.array([int(bucket[g[0]]) for g in groups], pa.int32()), pa.array([n for n, _ in packs], pa.int64())]
+            units, counts, bucket = units.take(pa.array(order)), counts[order], bucket[order]
+            at = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist() if len(bucket) else []
+            packs = [packed_units(units[a:b], counts[a:b]) for a, b in zip(at[:-1], at[1:])]
+            numbers = [pa.array(bucket[at[:-1]], pa.int32()), pa.array([n for n, _ in packs], pa.int64())]
             return pa.RecordBatch.from_arrays([*numbers, pa.array([x for _, x in packs], pa.binary())], ["bucket", "size", "packed"])
 
         for batch in batches:
@@ -131,7 +149,7 @@ def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
                     odd.update(found)
                 fast = np.flatnonzero(~np.isin(text, list(slow))) if slow else np.arange(len(text))
                 even.add(data, starts[fast], ends[fast], spaces[fast], keys[fast])
-                if len(odd) + len(even.units) > UNITS:
+                if len(odd) + len(even) > UNITS:
                     yield held()
         yield held()
 
@@ -159,8 +177,9 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     spans = bounded.select("unit", "n", "start", F.explode(sizes).alias("size"))
     spread = spans.select("unit", "n", "start", "size", F.expr("substring(unit, start + 1, size)").alias("piece"))
     # a hash of the text finds the piece, the text itself confirms it
-    table = pieces.select(F.xxhash64("piece").alias("own"), F.col("piece").alias("text"), "code")
-    joined = spread.join(F.broadcast(table), (F.xxhash64("piece") == F.col("own")) & (F.col("piece") == F.col("text")))
+    table = pieces.select(F.xxhash64("piece").alias("own"), F.col("piece").alias("text"), F.length("piece").alias("chars"), "code")
+    same = F.startswith("text", "piece") & (F.col("chars") <= F.col("size"))  # no second key, which would cost more
+    joined = spread.join(F.broadcast(table), (F.xxhash64("piece") == F.col("own")) & same)
     return joined.groupBy("unit").agg(F.collect_list(packed("code", "start", "size")).alias("edges"), F.first("n").alias("n"))
 
 
@@ -169,19 +188,92 @@ def packed(code: str, start: str, size: str) -> F.Column:
     return F.expr(f"{code} * 16384 + {start} * 128 + {start} + {size}")
 
 
-def merged_cuts() -> str:
-    """Fold for BPE: the places between pieces after all merges, from ``merges`` (codes by span) and ``n_chars``."""
-    # the merge candidates of neighbours i and i + 1 as one number: higher order first, then leftmost
-    best = (
-        "array_max(transform(sequence(0, size(s) - 3), i -> "
-        f"try_element_at(merges, get(s, i) * 128L + get(s, i + 2)) div {IDS} * 128 + (127 - i)))"
-    )
-    # -1 at the end: nothing is left to merge
-    step = (
-        f"if(size(s) < 3 or element_at(s, -1) < 0, s, element_at(transform(array({best}), b -> "
-        "if(b is null, array_append(s, -1), array_remove(s, get(s, cast(128 - b % 128 as int))))), 1))"
-    )
-    return f"aggregate(sequence(1, n_chars), sequence(0, n_chars), (s, x) -> {step}, s -> if(element_at(s, -1) < 0, slice(s, 1, size(s) - 1), s))"
+def merged_ids(units: pa.Array, edges: pa.Array, byte_ids: np.ndarray) -> pa.Array:
+    """Fold for BPE: the ids of each unit after all merges, from the edges of its lattice (see ``packed``).
+
+    Each step joins in every unit the two neighbours that make its highest-scored piece, the leftmost of equals.
+    """
+    data, offsets = flat(units)
+    begins = np.flatnonzero((data & 0xC0) != 0x80)  # bytes at which characters begin
+    base, widths = np.searchsorted(begins, offsets), np.diff(begins, append=len(data))
+    owner = np.repeat(np.arange(len(units)), pc.list_value_length(edges).to_numpy(zero_copy_only=False))
+    packs = edges.flatten().to_numpy(zero_copy_only=False)
+    # a piece by the place of its first character among those of all units, and its size
+    spans = (base[owner] + (packs >> 7 & 127)) * 128 + (packs & 127) - (packs >> 7 & 127)
+    order = np.argsort(spans)
+    spans, codes = np.append(spans[order], -1), np.append((packs >> 14)[order], -1)
+
+    def code(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Codes of the pieces between two places; -1 where there is none."""
+        want = starts * 128 + stops - starts
+        found = np.searchsorted(spans[:-1], want)
+        return np.where(spans[found] == want, codes[found], -1)
+
+    def rank(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Higher score first, then leftmost."""
+        found = code(starts, stops)
+        return np.where(found < 0, -1, found // IDS * len(widths) + len(widths) - 1 - starts)
+
+    stop = base[1:]  # of each unit
+    starts, unit, done = np.arange(len(widths)), np.repeat(np.arange(len(units)), np.diff(base)), []
+    ranks = np.full(len(starts), -1)
+    two = np.flatnonzero(unit[:-1] == unit[1:])
+    ranks[two] = rank(two, two + 2)
+    while len(starts):
+        first = np.flatnonzero(np.diff(unit, prepend=-1))
+        sizes = np.diff(first, append=len(unit))
+        best = np.maximum.reduceat(ranks, first)
+        live = np.repeat(best >= 0, sizes)
+        done.append(starts[~live])
+        starts, unit, ranks = starts[live], unit[live], ranks[live]
+        if not len(starts):
+            break
+        at = np.flatnonzero(ranks == np.repeat(best[best >= 0], sizes[best >= 0]))  # one of each unit
+        keep = np.ones(len(starts), dtype=bool)
+        keep[at + 1] = False
+        starts, unit, ranks = starts[keep], unit[keep], ranks[keep]
+        at -= np.arange(len(at))
+        after, last = np.append(starts, -1), np.append(unit, -1)  # a piece ends where the next one begins
+        for left in (at, at[(at > 0) & (last[at - 1] == last[at])] - 1):
+            right = last[left + 1] == last[left]
+            ranks[left[~right]] = -1
+            left = left[right]
+            beyond = np.minimum(left + 2, len(starts))
+            ranks[left] = rank(starts[left], np.where(last[beyond] == last[left], after[beyond], stop[last[left]]))
+    starts = np.sort(np.concatenate([np.zeros(0, dtype=np.int64), *done]))
+    found = code(starts, np.append(starts[1:], len(widths)))
+    # a character outside the model as its bytes
+    counts = np.where(found < 0, widths[starts], 1)
+    stops = np.concatenate([[0], np.cumsum(counts)])
+    ids = np.repeat(found % IDS, counts)
+    loose = np.flatnonzero(np.repeat(found < 0, counts))
+    places = np.arange(stops[-1]) + np.repeat(begins[starts] - stops[:-1], counts)
+    ids[loose] = byte_ids[data[places[loose]]]
+    bounds = stops[np.searchsorted(starts, base)]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def folded(rows: DataFrame, model: Model) -> DataFrame:
+    """unit, n, ids of a BPE model's lattices, many units at a time."""
+    byte_ids = np.array(model.byte_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def ids() -> pa.RecordBatch:
+            some = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            return pa.RecordBatch.from_arrays([some["unit"], some["n"], merged_ids(some["unit"], some["edges"], byte_ids)], ["unit", "n", "ids"])
+
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+            if sum(map(len, held)) >= FOLDED:
+                yield ids()
+        if held:
+            yield ids()
+
+    return rows.select("unit", "n", "edges").mapInArrow(run, "unit string, n bigint, ids array<int>")
 
 
 def viterbi_cuts(scores: list[float], unknown: float) -> str:
@@ -212,17 +304,15 @@ def unit_ids(units: DataFrame, model: Model) -> DataFrame:
     """unit, n, ids: the encoding of every unit."""
     longest = max(len(p) for p, *_ in model.pieces)
     rows = lattice(units, piece_table(units.sparkSession, model), longest)
+    if model.kind == "bpe":
+        return folded(rows, model)
     # pieces of two characters and more by their span; those of one character are looked up among the edges
     long_ones = "filter(edges, e -> e % 128 - e div 128 % 128 > 1)"
     merges = f"map_from_entries(transform({long_ones}, e -> struct(e % 16384, e div 16384)))"
     rows = rows.select("unit", "n", "edges", F.length("unit").alias("n_chars"), F.expr(merges).alias("merges"))
-    if model.kind == "bpe":
-        fold = merged_cuts()
-    else:
-        by_order = dict((order, score) for *_, order, score in model.pieces)
-        scores = [by_order.get(k, 0.0) for k in range(max(by_order) + 1)]
-        fold = viterbi_cuts(scores, min(scores) - 10)
-    rows = rows.withColumn("cuts", F.expr(fold))
+    by_order = dict((order, score) for *_, order, score in model.pieces)
+    scores = [by_order.get(k, 0.0) for k in range(max(by_order) + 1)]
+    rows = rows.withColumn("cuts", F.expr(viterbi_cuts(scores, min(scores) - 10)))
     byte_ids = "array(" + ", ".join(map(str, model.byte_ids)) + ")"
     # a character outside the model as its bytes
     as_bytes = (
@@ -266,6 +356,12 @@ def unit_keys(hashes: np.ndarray, spaces: np.ndarray) -> np.ndarray:
     return tb.mix(hashes + spaces.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys as they come, and the place among them of each key."""
+    coded = pa.array(keys).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy()
+
+
 class Cutter:
     """In a task: the units of many texts at a time.
 
@@ -278,6 +374,8 @@ class Cutter:
 
         self.cut = regex.compile(pattern).findall
         self.fine = pattern == FINE
+        self.letter = regex.compile(r"\p{L}").match
+        self.letters: set[str] = set()  # those seen beyond ASCII
         self.odd = regex.compile(r"[^\x00-\x7f\p{L}]| \Z").search
 
     def units(self, text: str) -> list[str]:
@@ -285,7 +383,14 @@ class Cutter:
 
     def block(self, data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> tuple[dict[int, list[str]], tuple]:
         """Units of the texts cut one by one, and starts, ends, each text's first, texts, space marks and keys of all by classes."""
-        slow = {k: self.units(t) for k, t in enumerate(texts) if t and (not self.fine or self.odd(t))}
+        if not self.fine:
+            some = range(len(texts))
+        elif self._lettered(data):
+            last = np.flatnonzero(np.diff(offsets) > 0)
+            some = last[data[offsets[last + 1] - 1] == 32].tolist()
+        else:
+            some = [k for k, t in enumerate(texts) if t and self.odd(t)]
+        slow = {k: self.units(texts[k]) for k in some if texts[k]}
         starts, ends, first = self._runs(data, offsets)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
@@ -294,6 +399,12 @@ class Cutter:
         spaces = starts - np.where(opening, offsets[:-1][text] - 1, begins)
         return slow, (starts, ends, first, text, spaces, unit_keys(tb.range_hashes(data, starts, ends), spaces))
 
+    def _lettered(self, data: np.ndarray) -> bool:
+        """Whether all characters beyond ASCII are letters."""
+        new = set(data[data > 127].tobytes().decode()) - self.letters
+        self.letters |= {c for c in new if self.letter(c)}
+        return new <= self.letters
+
     @staticmethod
     def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of runs of one class, line feeds singly, spaces none; each text's first run."""
@@ -315,24 +426,39 @@ class UnitTally:
         self.keys, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.counts, self.units = np.zeros(0, dtype=np.int64), []
 
+    def __len__(self) -> int:
+        return len(self.counts)
+
     def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaces: np.ndarray, keys: np.ndarray) -> None:
-        keys, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        keys, codes = distinct(keys)
+        first, counts = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1)), np.bincount(codes, minlength=len(keys))
+        order = np.argsort(keys)
+        keys, first, counts = keys[order], first[order], counts[order]
         place, held = np.searchsorted(self.keys, keys), np.zeros(len(keys), dtype=bool)
         if len(self.keys):
             held = self.keys[np.minimum(place, len(self.keys) - 1)] == keys
         self.counts[self.rows[place[held]]] += counts[held]
-        new, rows = first[~held], len(self.units) + np.arange(int((~held).sum()))
+        new, rows = first[~held], len(self) + np.arange(int((~held).sum()))
         self.keys, self.rows = np.insert(self.keys, place[~held], keys[~held]), np.insert(self.rows, place[~held], rows)
         self.counts = np.concatenate([self.counts, counts[~held]])
-        raw = data.tobytes()
-        self.units += [SPACE * n + raw[a:b].decode() for n, a, b in zip(spaces[new].tolist(), starts[new].tolist(), ends[new].tolist())]
+        self.units.append(marked(data, starts[new], ends[new], spaces[new]))
 
-    def emptied(self) -> list[tuple[str, int]]:
-        out = list(zip(self.units, self.counts.tolist()))
+    def emptied(self) -> tuple[pa.Array, np.ndarray]:
+        """The units and their counts."""
+        out = pa.concat_arrays([pa.array([], pa.string()), *self.units]), self.counts
         self.__init__()
         return out
 
 
+def marked(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaces: np.ndarray) -> pa.Array:
+    """The byte ranges as texts, each after so many space marks."""
+    sizes = ends - starts
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    held = data[np.arange(stops[-1]) + np.repeat(starts - stops[:-1], sizes)]
+    bare = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(held))
+    return pc.binary_join_element_wise(pc.binary_repeat(pa.scalar(SPACE), pa.array(spaces)), bare, "")
+
+
 def head_column(head: bytes, name: str) -> pa.Array:
     table = pa.ipc.open_stream(head).read_all().combine_chunks()
     return table[name].chunk(0) if table.num_rows else pa.array([], table[name].type)
@@ -360,8 +486,11 @@ class Coder:
         """Rows in the head; -1 for units that are not there."""
         if not len(self.keys):
             return np.full(len(keys), -1, dtype=np.int64)
-        found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[found] == keys, self.rows[found], -1)
+        keys, codes = distinct(keys)
+        order = np.argsort(keys)  # neighbours are found near each other
+        found = np.empty(len(keys), dtype=np.int64)
+        found[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
+        return np.where(self.keys[found] == keys, self.rows[found], -1)[codes]
 
     def _alone(self, units: list[str]) -> np.ndarray:
         bare = [u.lstrip(SPACE) for u in units]
@@ -415,36 +544,68 @@ class Decoder:
         return data[keep], offsets - dropped[offsets]
 
 
+_SPAN = 5  # bytes over which the 32 bits of a number may lie
+
+
 def numbered(data: np.ndarray) -> bytes:
     """Numbers as bytes, the shorter of two codes: planes of their bytes (better where runs of them
     repeat), or for each number how many bits follow its first one, and then these bits."""
-    codec = pa.Codec("zstd")
-    planes = codec.compress(np.ascontiguousarray(data.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), asbytes=True)
-    sizes, owner, place = _bit_places(np.frexp((data + 1).astype(np.float64))[1].astype(np.int64) - 1)
-    bits = np.packbits((((data + 1)[owner] >> place) & 1).astype(np.uint8)).tobytes()
-    small = codec.compress(sizes.astype(np.uint8).tobytes(), asbytes=True)
-    if len(planes) <= len(small) + len(bits) + 4:
-        return b"\0" + planes
-    return b"\1" + len(small).to_bytes(4, "little") + small + bits
+    return all_numbered(data, np.array([0, len(data)]))[0]
+
+
+def all_numbered(data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """:func:`numbered` of many texts, whose first numbers are at ``bounds``."""
+    codec, wide = pa.Codec("zstd"), data.astype("<u4").view(np.uint8).reshape(-1, 4)
+    value = data + 1
+    sizes = np.frexp(value.astype(np.float64))[1].astype(np.int64) - 1
+    at, stops = _bit_places(sizes, bounds)
+    shifted, bits = (value - (np.int64(1) << sizes)) << (at & 7), np.zeros(int(stops[-1]) + _SPAN)
+    for k in range(int(sizes.max(initial=0) + 14) // 8):  # bits don't overlap, so sums are exact
+        bits += np.bincount((at >> 3) + k, weights=(shifted >> 8 * k) & 255, minlength=len(bits))
+    raw, short, out = bits.astype(np.uint8).tobytes(), sizes.astype(np.uint8).tobytes(), []
+    for a, b, c, d in zip(bounds.tolist(), bounds[1:].tolist(), stops.tolist(), stops[1:].tolist()):
+        planes, small = codec.compress(wide[a:b].T.tobytes(), asbytes=True), codec.compress(short[a:b], asbytes=True)
+        if len(planes) <= len(small) + (d - c) + 4:
+            out.append(b"\0" + planes)
+        else:
+            out.append(b"\1" + len(small).to_bytes(4, "little") + small + raw[c:d])
+    return out
 
 
 def numbers_of(packed: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers of :func:`numbered`."""
-    codec = pa.Codec("zstd")
-    if packed[0] == 0:
-        planes = np.frombuffer(codec.decompress(packed[1:], 4 * n, asbytes=True), dtype=np.uint8)
-        return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(-1).astype(np.int64)
-    stop = 5 + int.from_bytes(packed[1:5], "little")
-    sizes, owner, place = _bit_places(np.frombuffer(codec.decompress(packed[5:stop], n, asbytes=True), dtype=np.uint8).astype(np.int64))
-    bits = np.unpackbits(np.frombuffer(packed, dtype=np.uint8, offset=stop), count=len(owner)).astype(np.int64)
-    rest = np.bincount(owner, weights=bits << place, minlength=n).astype(np.int64)  # exact: below 2**32
-    return (np.int64(1) << sizes) + rest - 1
+    return all_numbers([packed], np.array([0, n]))
 
 
-def _bit_places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes, and for each bit its number and its place in it."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return sizes, owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def all_numbers(packs: list[bytes], bounds: np.ndarray) -> np.ndarray:
+    """The numbers of :func:`all_numbered`."""
+    codec, short, raw, planar = pa.Codec("zstd"), [], [], []
+    for packed, a, b in zip(packs, bounds.tolist(), bounds[1:].tolist()):
+        if packed[0] == 0:
+            planes = np.frombuffer(codec.decompress(packed[1:], 4 * (b - a), asbytes=True), dtype=np.uint8)
+            planar.append((a, b, np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1)))
+            short.append(bytes(b - a))
+        else:
+            stop = 5 + int.from_bytes(packed[1:5], "little")
+            short.append(codec.decompress(packed[5:stop], b - a, asbytes=True))
+            raw.append(packed[stop:])
+    sizes = np.frombuffer(b"".join(short), dtype=np.uint8).astype(np.int64)
+    at, _ = _bit_places(sizes, bounds)
+    bits, rest = np.frombuffer(b"".join(raw) + bytes(_SPAN), dtype=np.uint8), np.zeros(len(sizes), dtype=np.int64)
+    for k in range(int(sizes.max(initial=0) + 14) // 8):
+        rest |= bits[(at >> 3) + k].astype(np.int64) << 8 * k
+    first = np.int64(1) << sizes
+    out = first + ((rest >> (at & 7)) & (first - 1)) - 1
+    for a, b, numbers in planar:
+        out[a:b] = numbers
+    return out
+
+
+def _bit_places(sizes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bit at which each number of so many bits begins, each text's first byte (with the total at the end)."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    stops = np.concatenate([[0], np.cumsum((np.diff(ends[bounds]) + 7) // 8)])
+    return ends[:-1] + np.repeat(8 * stops[:-1] - ends[bounds[:-1]], np.diff(bounds)), stops
 
 
 def own_units(bounds: np.ndarray, units: dict[int, str]) -> dict[int, dict[str, int]]:
@@ -514,7 +675,7 @@ def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str]
                 rows[list(units)] = [len(coder.rows) + own[k][u] for k, u in zip(owners.tolist(), units.values())]
                 long = [[coder.long_ids(u) for u in own.get(k, ()) if len(u) > LONGEST] for k in range(stop - row)]
                 more = [
-                    pa.array([numbered(rows[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                    pa.array(all_numbered(rows, bounds), pa.binary()),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(long, pa.list_(pa.list_(pa.int32()))),
                     pa.array(np.diff(offsets), pa.int64()),
@@ -531,22 +692,24 @@ def encoded(docs: DataFrame, model: Model, head: int = HEAD, columns: list[str]
             counts = batch.column(2).to_numpy()
             group = np.cumsum(counts) // tb.BLOCK
             for at in np.split(np.arange(len(counts)), np.flatnonzero(np.diff(group)) + 1) if len(counts) else ():
-                own, sizes, flat, total = [], [head_sizes], [head_flat], len(head_sizes)
-                columns = (batch.column(j)[at[0] : at[-1] + 1] for j in (1, 2, 3, 6))
-                for packed, n, long, more in zip(*(c.to_pylist() for c in columns)):
-                    rows = numbers_of(packed, n)
-                    own.append(np.where(rows < len(head_sizes), rows, rows + (total - len(head_sizes))))
+                sizes, flat, total, before = [head_sizes], [head_flat], len(head_sizes), []
+                packs, longs, mores = (batch.column(j)[at[0] : at[-1] + 1].to_pylist() for j in (1, 3, 6))
+                for long, more in zip(longs, mores):
+                    before.append(total - len(head_sizes))
                     # a place in four bytes, then the ids
                     given = sorted(more or ())
                     bytes_ = np.frombuffer(b"".join(x[4:] for x in given), dtype=np.uint8).reshape(-1, width).astype(np.int32)
                     flat += [bytes_ @ (256 ** np.arange(width - 1, -1, -1, dtype=np.int32)), *(np.array(x, dtype=np.int32) for x in long)]
                     sizes.append(np.array([*((len(x) - 4) // width for x in given), *map(len, long)], dtype=np.int64))
                     total += len(sizes[-1])
-                rows, size, all_ids = np.concatenate(own), np.concatenate(sizes), np.concatenate(flat)
+                first = np.concatenate([[0], np.cumsum(counts[at])])
+                rows = all_numbers(packs, first)
+                rows += np.where(rows < len(head_sizes), 0, np.repeat(before, counts[at]))
+                size, all_ids = np.concatenate(sizes), np.concatenate(flat)
                 starts, length = np.cumsum(size) - size, size[rows]
                 stops = np.concatenate([[0], np.cumsum(length)])
                 ids = all_ids[np.arange(stops[-1]) + np.repeat(starts[rows] - stops[:-1], length)]
-                bounds = stops[np.concatenate([[0], np.cumsum(counts[at])])]
+                bounds = stops[first]
                 out = [batch.column(0)[at[0] : at[-1] + 1], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))]
                 if check:
                     back, offsets = decoder.texts(ids, bounds)

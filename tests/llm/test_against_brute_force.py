@@ -4,10 +4,11 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from slatewright.llm import decontaminate, licenses, personal_data, quality_rules, sentence_pieces, simhash, token_counts, url_blocks
+from slatewright.llm import decontaminate, licenses, personal_data, quality_rules, sentence_pieces, simhash, textbytes, token_counts, url_blocks
 from slatewright.llm.queries import PIECE_MODEL, TOKENIZER, prepared, tokenizer_path
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -89,6 +90,39 @@ def test_numbers_and_units_packed():
     assert table.to_pydict() == {"unit": units, "n": [1, 2**40, 3, 4]}
 
 
+def test_texts_of_letters_are_cut_without_a_search_of_each():
+    cutter = sentence_pieces.Cutter(sentence_pieces.FINE)
+    cutter.odd = None
+    texts = ["One  two\nthree, 4!", None, "", "straße ÀÉÎ 日本語", "ends in a space ", " İstanbul\n\n x"]
+    batch = pa.array(texts, pa.string())
+    (_, _, data, offsets), = textbytes.blocks(batch)
+    slow, (starts, ends, first, text, spaces, _) = cutter.block(data, offsets, texts)
+    assert list(slow) == [4] and slow[4] == cutter.units(texts[4])
+    cut = sentence_pieces.marked(data, starts, ends, spaces).to_pylist()
+    for k, t in enumerate(texts):
+        if t and k not in slow:
+            assert cut[first[k] : first[k + 1]] == cutter.units(t)
+    tally = sentence_pieces.UnitTally()
+    for _ in range(2):
+        tally.add(data, starts, ends, spaces, sentence_pieces.unit_keys(textbytes.range_hashes(data, starts, ends), spaces))
+    units, counts = tally.emptied()
+    assert dict(zip(units.to_pylist(), counts.tolist())) == {u: 2 * cut.count(u) for u in cut} and len(tally) == 0
+
+
+def test_merges_of_many_units_at_a_time_equal_the_library():
+    import sentencepiece
+
+    path = tokenizer_path(PIECE_MODEL)
+    library, model = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.load_model(path)
+    texts = ["banana", "aaaaaaa", "unbelievably", "日本🙂語", "é\u0301x", "\x00ü", "x" * 95, "ab" * 40, "Q", "🙂", "internationalisation"]
+    units = [sentence_pieces.SPACE + t for t in texts]
+    codes = {p: order * sentence_pieces.IDS + i for p, i, order, _ in model.pieces} | {"": 0}
+    places = [[(a, b) for a in range(len(u)) for b in range(a, len(u) + 1) if u[a:b] in codes] for u in units]
+    edges = [[codes[u[a:b]] * 16384 + a * 128 + b for a, b in some][::-1] for u, some in zip(units, places)]
+    found = sentence_pieces.merged_ids(pa.array(units), pa.array(edges, pa.list_(pa.int64())), np.array(model.byte_ids))
+    assert found.to_pylist() == [library.encode(t) for t in texts]
+
+
 def test_sentence_pieces_equal_the_library(docs, rows):
     import sentencepiece
 
