@@ -345,7 +345,7 @@ def dictionary(docs: DataFrame, model: Model) -> DataFrame:
     return bucketed(unit_ids(unit_counts(docs, model), model), "units", "unit", parts)
 
 
-#: classes of bytes for texts of ASCII and letters only: space, letter, line feed, other
+#: classes of bytes, of those beyond ASCII for letters only: space, letter, line feed, other
 _CLASS = np.full(256, 3, dtype=np.uint8)
 _CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _CLASS[32], _CLASS[10] = 0, 2
@@ -365,8 +365,8 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Cutter:
     """In a task: the units of many texts at a time.
 
-    Texts of ASCII and letters that don't end in a space are cut by byte classes, which gives the
-    same units as the pattern; other texts are cut one by one.
+    Texts without a space mark of the model that don't end in a space are cut by classes of their
+    characters, which gives the same units as the pattern; other texts are cut one by one.
     """
 
     def __init__(self, pattern: str):
@@ -376,22 +376,19 @@ class Cutter:
         self.fine = pattern == FINE
         self.letter = regex.compile(r"\p{L}").match
         self.letters: set[str] = set()  # those seen beyond ASCII
-        self.odd = regex.compile(r"[^\x00-\x7f\p{L}]| \Z").search
 
     def units(self, text: str) -> list[str]:
         return self.cut(SPACE + text.replace(" ", SPACE))
 
     def block(self, data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> tuple[dict[int, list[str]], tuple]:
         """Units of the texts cut one by one, and starts, ends, each text's first, texts, space marks and keys of all by classes."""
-        if not self.fine:
-            some = range(len(texts))
-        elif self._lettered(data):
-            last = np.flatnonzero(np.diff(offsets) > 0)
-            some = last[data[offsets[last + 1] - 1] == 32].tolist()
-        else:
-            some = [k for k, t in enumerate(texts) if t and self.odd(t)]
-        slow = {k: self.units(texts[k]) for k in some if texts[k]}
-        starts, ends, first = self._runs(data, offsets)
+        kind, marks = self._classes(data)
+        some = np.flatnonzero(np.diff(offsets) > 0)
+        if self.fine:
+            closed = some[data[offsets[some + 1] - 1] == 32]
+            some = np.union1d(closed, np.searchsorted(offsets, marks, "right") - 1)
+        slow = {k: self.units(texts[k]) for k in some.tolist()}
+        starts, ends, first = self._runs(kind, offsets)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         opening = np.zeros(len(starts), dtype=bool)
@@ -399,20 +396,27 @@ class Cutter:
         spaces = starts - np.where(opening, offsets[:-1][text] - 1, begins)
         return slow, (starts, ends, first, text, spaces, unit_keys(tb.range_hashes(data, starts, ends), spaces))
 
-    def _lettered(self, data: np.ndarray) -> bool:
-        """Whether all characters beyond ASCII are letters."""
-        new = set(data[data > 127].tobytes().decode()) - self.letters
+    def _classes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The class of each byte, that of its character, and the places of space marks of the model."""
+        kind, beyond = _CLASS[data], data[data > 127].tobytes().decode()
+        new = set(beyond) - self.letters
         self.letters |= {c for c in new if self.letter(c)}
-        return new <= self.letters
+        if new <= self.letters:
+            return kind, np.zeros(0, dtype=np.int64)
+        chars, which = np.unique(np.frombuffer(beyond.encode("utf-32-le"), dtype="<u4"), return_inverse=True)
+        other = np.array([chr(c) not in self.letters for c in chars.tolist()])[which]
+        leads = np.flatnonzero(data > 191)
+        for k, least in enumerate((0, 0, 224, 240)):  # the bytes of a character
+            kind[leads[other & (data[leads] >= least)] + k] = 3
+        return kind, leads[(chars == ord(SPACE))[which]]
 
     @staticmethod
-    def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _runs(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of runs of one class, line feeds singly, spaces none; each text's first run."""
-        if not len(data):
+        if not len(kind):
             none = np.zeros(0, dtype=np.int64)
             return none, none, np.zeros(len(offsets), dtype=np.int64)
-        kind = _CLASS[data]
-        change = np.ones(len(data) + 1, dtype=bool)
+        change = np.ones(len(kind) + 1, dtype=bool)
         change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
         change[offsets] = True
         starts = np.flatnonzero(change[:-1] & (kind > 0))
